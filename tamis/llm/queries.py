@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm import encode, tokens
+from tamis.llm import capping, encode, mixing, tokens
+from tamis.llm.labels import with_contributor
 from tamis.tables import table
 
 
@@ -21,6 +22,45 @@ def p1_token_cube(spark: SparkSession, d: str) -> DataFrame:
     return tokens.cube(tokens.apply_cells(None, tokens.signed_cells(None, per)))
 
 
+#: Share of all rows above which a contributor dominates, and to which it is held.
+DOMINANT = 0.05
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """Every spelling of the dominant contributors."""
+    records, catalog = table(spark, d, "arabic_derja"), table(spark, d, "source_catalog")
+    big = capping.dominant(records, catalog, DOMINANT).select("contributor")
+    return capping.contributor_totals(records, catalog).join(big, "contributor").where("source is not null").select("source").distinct()
+
+
+def p3_capped(spark: SparkSession, d: str) -> DataFrame:
+    """The records that stay when each dominant contributor is held to a twentieth of all rows."""
+    records, catalog = table(spark, d, "arabic_derja"), table(spark, d, "source_catalog")
+    limits = capping.dominant(records, catalog, DOMINANT).select("contributor", F.floor(F.lit(DOMINANT) * F.col("total")).alias("keep"))
+    named = with_contributor(records.select("line_no", "source", "quality"), catalog).withColumn("score", capping.quality_score(F.col("quality")))
+    return capping.cap_contributors(named.select("line_no", "contributor", "score"), limits, F.col("score"), "line_no")
+
+
+def _mixture(spark: SparkSession, d: str) -> mixing.Mixture:
+    targets = table(spark, d, "mixture_targets")
+    return mixing.Mixture(mixing.members(table(spark, d, "arabic_derja"), table(spark, d, "source_catalog"), targets), targets)
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """Sources that cannot reach their target."""
+    return _mixture(spark, d).short()
+
+
+def p4_mixture(spark: SparkSession, d: str) -> DataFrame:
+    """The chosen records, how often each is used and for which source."""
+    return _mixture(spark, d).selection().select("line_no", "source", "repeats")
+
+
+def p4_report(spark: SparkSession, d: str) -> DataFrame:
+    """Target and actual share of every source."""
+    return _mixture(spark, d).report()
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode.corpus_ids(table(spark, d, "documents"))
 
@@ -29,5 +69,16 @@ def queries() -> dict:
     return {k: f for k, f in globals().items() if k[:1] == "p" and k[1:2].isdigit()}
 
 
+_KEY = "regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(trim({0})), '^[a-z]+:', ''), '[@/].*$', ''), '[_\\-. ]v[0-9]+([.][0-9]+)*\\s*$', ''), '[^\\p{{L}}\\p{{N}}]', '', 'g')"
+_NAMED = f"with c as (select source as contributor, {_KEY.format('source')} as k from source_catalog), r as (select a.*, c.contributor from arabic_derja a left join c on c.k = {_KEY.format('a.source')}), n as (select count(*) as total from r), d as (select contributor, total from r, n where contributor is not null group by contributor, total having count(*) > 0.05::double * total)"
+_SIZE = "coalesce(list_sum(list_transform(messages, lambda m: coalesce(length(m.content), 0))), 0)"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    score = "(case when quality.flagged then 0 else 27 end + 9 * case quality.synthetic when false then 2 when true then 0 else 1 end + 3 * case quality.reviewed when true then 2 when false then 0 else 1 end + case quality.native_authored when true then 2 when false then 0 else 1 end)::int"
+    sizes = f", z as (select contributor, sum({_SIZE}) as size from r where split = 'train' group by 1), t as (select m.*, coalesce(z.size, 0) as size from mixture_targets m left join z on z.contributor = m.source)"
+    return {
+        "p3_found": f"{_NAMED} select distinct source from r where contributor in (select contributor from d)",
+        "p3_capped": f"{_NAMED}, s as (select line_no, contributor, {score} as score from r), o as (select *, row_number() over (partition by contributor order by score desc, line_no) as k from s) select o.line_no, o.contributor, o.score from o left join d using (contributor) where d.total is null or k <= floor(0.05::double * d.total)",
+        "p4_found": f"{_NAMED}{sizes} select source from t where size * max_repeat < target_share * (select sum(size) from t)",
+    }
