@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm import capping, encode, mixing, tokens
+from tamis.llm import capping, encode, lookalike, mixing, overlap, tokens
 from tamis.llm.labels import with_contributor
 from tamis.tables import table
 
@@ -61,6 +61,27 @@ def p4_report(spark: SparkSession, d: str) -> DataFrame:
     return _mixture(spark, d).report()
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of val or test and the rows of train that are nearly the same."""
+    pairs = overlap.cross_split_pairs(table(spark, d, "arabic_derja"))
+    return pairs.select(F.least("evaluation", "train").alias("line_a"), F.greatest("evaluation", "train").alias("line_b")).distinct()
+
+
+def p5_report(spark: SparkSession, d: str) -> DataFrame:
+    """Overlap by split and contributor."""
+    return overlap.overlap_report(table(spark, d, "arabic_derja"), table(spark, d, "source_catalog"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of rows that look the same and differ in their characters."""
+    return lookalike.lookalike_pairs(table(spark, d, "arabic_derja"))
+
+
+def p7_canonical(spark: SparkSession, d: str) -> DataFrame:
+    """The canonical form of every content."""
+    return lookalike.canonical_messages(table(spark, d, "arabic_derja"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode.corpus_ids(table(spark, d, "documents"))
 
