@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm import capping, encode, lookalike, mixing, overlap, tokens
+from tamis.llm import capping, encode, lookalike, mixing, overlap, pii, tokens
 from tamis.llm.labels import with_contributor
 from tamis.tables import table
 
@@ -86,6 +86,16 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode.corpus_ids(table(spark, d, "documents"))
 
 
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    """Personal information as it stands in the documents."""
+    return pii.find_pii(table(spark, d, "documents"), table(spark, d, "given_names")).distinct()
+
+
+def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
+    """Every document with typed placeholders."""
+    return pii.find_pii(table(spark, d, "documents"), table(spark, d, "given_names"), redact=True)
+
+
 def queries() -> dict:
     return {k: f for k, f in globals().items() if k[:1] == "p" and k[1:2].isdigit()}
 
