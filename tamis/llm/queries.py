@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm import capping, encode, lookalike, mixing, overlap, pii, tokens
+from tamis.llm import capping, encode, leakage, lookalike, mixing, overlap, pii, tokens
 from tamis.llm.labels import with_contributor
 from tamis.tables import table
 
@@ -86,6 +86,18 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode.corpus_ids(table(spark, d, "documents"))
 
 
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with 15 or more consecutive words of an item: those of the passages found that need no edit."""
+    leaks = leakage.find_leaks(table(spark, d, "documents"), table(spark, d, "eval_prompts"))
+    return leaks.where("edits = 0").select("doc_id", F.col("item").alias("item_id")).distinct()
+
+
+def p9_leaks(spark: SparkSession, d: str) -> DataFrame:
+    """The same with passages that differ in one word."""
+    leaks = leakage.find_leaks(table(spark, d, "documents"), table(spark, d, "eval_prompts"))
+    return leaks.groupBy("doc_id", F.col("item").alias("item_id")).agg(F.min("edits").alias("edits"))
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     """Personal information as it stands in the documents."""
     return pii.find_pii(table(spark, d, "documents"), table(spark, d, "given_names")).distinct()
