@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm import capping, encode, leakage, lookalike, mixing, overlap, pii, tokens
+from tamis.llm import capping, encode, langid, leakage, lookalike, mixing, overlap, pii, tokens
 from tamis.llm.labels import with_contributor
 from tamis.tables import table
 
@@ -72,6 +72,25 @@ def p5_report(spark: SparkSession, d: str) -> DataFrame:
     return overlap.overlap_report(table(spark, d, "arabic_derja"), table(spark, d, "source_catalog"))
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    """Languages of records whose label is missing or wrong, or that are in several languages."""
+    rows = langid.relabelled(table(spark, d, "arabic_derja"))
+    cases = rows.where("right is not null and (label is null or label <> right or size(languages) > 1)")
+    return cases.select("line_no", F.explode("languages.lang").alias("lang")).distinct()
+
+
+def p6_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Found label of every record, with the confidence of each language."""
+    rows = langid.relabelled(table(spark, d, "arabic_derja"))
+    return rows.select("line_no", "label", F.col("right").alias("found"), F.explode_outer("languages").alias("l")).select("line_no", "label", "found", "l.lang", "l.sentences", F.round("l.confidence", 4).alias("confidence"))
+
+
+def p6_segments(spark: SparkSession, d: str) -> DataFrame:
+    """Language of every sentence of the user turns."""
+    records = table(spark, d, "arabic_derja")
+    return langid.segments(records, langid.fit(records)).drop("text")
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of rows that look the same and differ in their characters."""
     return lookalike.lookalike_pairs(table(spark, d, "arabic_derja"))
