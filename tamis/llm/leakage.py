@@ -8,6 +8,8 @@ each hit Myers' bit-parallel distance decides, a word being a symbol.
 
 from __future__ import annotations
 
+from itertools import chain
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +53,21 @@ def myers_ends(pattern: list[int], text: list[int], budget: int) -> list[int]:
     return out
 
 
+class _Symbols(dict):
+    """Symbols of a piece of text between white space, remembered up to a bound."""
+
+    def __init__(self, symbol: dict[str, int]):
+        self.symbol = symbol
+
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        from tamis.llm.forms import words
+
+        if len(self) >= 400_000:
+            self.clear()
+        w = self[piece] = tuple(self.symbol.get(x, 0) for x in words(piece))
+        return w
+
+
 class Index:
     """Pieces of item texts: (item, text as words) each; words outside of it have the symbol 0."""
 
@@ -74,6 +91,9 @@ class Index:
                 at.setdefault(int(self.hashes(ids[o : o + self.piece])[0]), []).append((n, o))
         self.at = at
         self.keys = np.array(sorted(at), np.uint64)
+        self.filter = np.zeros(1 << max(16, (8 * len(at)).bit_length()), bool)
+        self.filter[(self.keys & np.uint64(len(self.filter) - 1)).astype(np.int64)] = True
+        self._pieces = None
 
     def hashes(self, ids):
         """Hash of every stretch of a piece's length."""
@@ -87,34 +107,54 @@ class Index:
                 out ^= out >> np.uint64(32)
         return out
 
-    def search(self, words: list[str]) -> dict[object, int]:
-        """For each item found in a document its least number of edits."""
+    def symbols(self, text: str | None) -> list[int]:
+        """Symbols of the folded words of a text; pieces between white space are remembered."""
+        return list(chain.from_iterable(map(self.pieces().__getitem__, text.split()))) if text else []
+
+    def pieces(self):
+        if self._pieces is None:
+            self._pieces = _Symbols(self.symbol)
+        return self._pieces
+
+    def search(self, docs: list[list[int]]) -> list[tuple[int, object, int]]:
+        """(document, item, least edits) for documents given as symbols; a batch is hashed as one array."""
         import numpy as np
 
-        if len(words) < self.passage - self.errors or not len(self.keys):
-            return {}
-        get = self.symbol.get
-        ids = np.fromiter((get(w, 0) for w in words), np.uint64, len(words))
+        if not len(self.keys) or not docs:
+            return []
+        gap = [0] * self.piece
+        size = np.fromiter((len(d) + self.piece for d in docs), np.int64, len(docs))
+        starts = np.cumsum(size) - size
+        ids = np.fromiter(chain.from_iterable(x for d in docs for x in (d, gap)), np.uint64, int(size.sum()))
         h = self.hashes(ids)
-        hits = np.flatnonzero(np.isin(h, self.keys))
-        if not len(hits):
-            return {}
-        doc, found, done = ids.astype(np.int64).tolist(), {}, set()
-        for p in hits.tolist():
-            for n, o in self.at[int(h[p])]:
-                text = self.texts[n]
-                if doc[p : p + self.piece] != text[o : o + self.piece]:
+        low = np.uint64(len(self.filter) - 1)
+        maybe = np.flatnonzero(self.filter[(h & low).astype(np.int64)])
+        owner = np.searchsorted(starts, maybe, "right") - 1
+        out, at = [], self.at
+        found: dict = {}
+        done: set = set()
+        last = -1
+        for p, key, d in zip((maybe - starts[owner]).tolist(), h[maybe].tolist(), owner.tolist()):
+            here = at.get(key)
+            if here is None:
+                continue
+            if d != last:
+                out += [(last, i, e) for i, e in found.items()]
+                found, done, last = {}, set(), d
+            doc = docs[d]
+            for n, o in here:
+                text, shift = self.texts[n], p - o
+                if (n, shift) in done or found.get(self.items[n]) == 0 or doc[p : p + self.piece] != text[o : o + self.piece]:
                     continue
-                shift = p - o
-                if (n, shift) in done or found.get(self.items[n]) == 0:
+                best = self.verify(doc, text, shift, o)
+                if best is None:
                     continue
-                done.add((n, shift))
-                best = self.verify(doc, text, shift, p, o)
-                if best is not None:
-                    found[self.items[n]] = min(best, found.get(self.items[n], best))
-        return found
+                if best == 0:
+                    done.add((n, shift))
+                found[self.items[n]] = min(best, found.get(self.items[n], best))
+        return out + [(last, i, e) for i, e in found.items()]
 
-    def verify(self, doc: list[int], text: list[int], shift: int, p: int, o: int) -> int | None:
+    def verify(self, doc: list[int], text: list[int], shift: int, o: int) -> int | None:
         """Least distance of a window of the text that covers the pieces on this diagonal to the document."""
         w, k = self.passage, self.errors
         # the exact stretch through the hit: every window inside it has distance 0
@@ -125,10 +165,11 @@ class Index:
             b += 1
         if b - a >= w:
             return 0
-        if not k:
+        # k edits leave k + 1 untouched stretches, the longest of which has its share of the words at least
+        if not k or (b - a) * (k + 1) < w - k:
             return None
         best = None
-        for start in range(max(0, o + self.piece - w), min(o, len(text) - w) + 1):
+        for start in range(max(0, b - w), min(a, len(text) - w) + 1):
             lo, hi = max(0, start + shift - k), min(len(doc), start + shift + w + k)
             if (d := min(myers_ends(text[start : start + w], doc[lo:hi], k), default=k + 1)) <= k and (best is None or d < best):
                 best = d
@@ -171,16 +212,10 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
         def run(batches, shared=shared):
             import pyarrow as pa
 
-            from tamis.llm.forms import words
-
             ix = shared.value
             for batch in batches:
-                at, item, edits = [], [], []
-                for i, text in enumerate(batch.column(1).to_pylist()):
-                    for k, e in ix.search(words(text)).items():
-                        at.append(i)
-                        item.append(k)
-                        edits.append(e)
+                hits = ix.search(list(map(ix.symbols, batch.column(1).to_pylist())))
+                at, item, edits = map(list, zip(*hits)) if hits else ([], [], [])
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int32())), pa.array(item), pa.array(edits, pa.int32())] if at else [batch.column(0).slice(0, 0), pa.array([], _arrow(item_kind)), pa.array([], pa.int32())], names=[id_col, "item", "edits"])
 
         part = docs.mapInArrow(run, f"`{id_col}` {kind}, item {item_kind}, edits int")

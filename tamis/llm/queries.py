@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm import capping, encode, langid, leakage, lookalike, mixing, overlap, pii, tokens
+from tamis.llm import capping, encode, langid, leakage, lookalike, mixing, overlap, pairs, pii, tokens
 from tamis.llm.labels import with_contributor
 from tamis.tables import table
 
@@ -22,6 +22,11 @@ def p1_token_cube(spark: SparkSession, d: str) -> DataFrame:
     return tokens.cube(tokens.apply_cells(None, tokens.signed_cells(None, per)))
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    """Defective answers and their defect."""
+    return pairs.defective_pairs(table(spark, d, "arabic_derja")).distinct()
+
+
 #: Share of all rows above which a contributor dominates, and to which it is held.
 DOMINANT = 0.05
 
