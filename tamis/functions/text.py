@@ -40,7 +40,7 @@ def clean_bom(x: Column) -> Column:
 
 def norm_key(x: Column) -> Column:
     """Lower case without punctuation."""
-    return strip(F.regexp_replace(F.lower(x), r"(?U)[^\w\s]", ""))
+    return strip(F.regexp_replace(F.lower(x), r"(?U)[^\p{L}\p{N}_\s]", ""))
 
 
 def as_text(x: Column) -> Column:
