@@ -33,6 +33,8 @@ _MAYBE = "".join(chr(c) for a, b in ((0x300, 0x36F), (0x653, 0x655)) for c in ra
 _SINGLE = "".join(chr(c) for c in (0x340, 0x341, 0x343, 0x344, 0x374, 0x37E, 0x387, 0x212A, 0x212B, 0x2126))
 _UNSTABLE = re.escape("".join(map(chr, LOOKALIKE))) + re.escape(FARSI_YEH + JOINER + _MAYBE + _SINGLE) + _PRESENTATION
 _SEGMENT = re.compile(f"[^{_MARKS}{_UNSTABLE}]?[{_MARKS}{_UNSTABLE}]*[{_UNSTABLE}][{_MARKS}{_UNSTABLE}]*|[{_MARKS}]{{2,}}")
+#: Quick check: a text in which nothing is found is canonical as it stands.
+_QUICK = re.compile(f"[{_UNSTABLE}]|[{_MARKS}]{{2}}")
 _FORMS = re.compile(f"[{_PRESENTATION}]")
 _YEH = re.compile(f"{FARSI_YEH}(?=[{_MARKS}]*[\\u0620-\\u064a\\u066e-\\u06d3])")
 
@@ -60,7 +62,7 @@ def canonical(text: str | None) -> str | None:
 
     Accents, hamza, case, punctuation, the number of spaces and line breaks are visible and stay.
     """
-    return _SEGMENT.sub(_segment, text) if text else text
+    return _SEGMENT.sub(_segment, text) if text and _QUICK.search(text) else text
 
 
 _WORD = re.compile(r"[^\W_]+")
