@@ -3,8 +3,8 @@
 The greedy fill takes records in stable order while the total stays below the upper bound and stops in
 the band around the target. Where no record is larger than the band, none is ever skipped, and the fill is
 a prefix sum: ``before < lower``. The prefix sum has two levels, so that no group is ordered in one task.
-Where larger records exist, only the slim rows up to the place where the small ones alone reach the band
-go through a streaming fold of their group.
+Where larger records exist, the slim rows up to the place where the small ones alone reach the band are
+taken in rounds of such sums; a fold in one task sees only the few that are left.
 """
 
 from __future__ import annotations
@@ -34,74 +34,99 @@ def prefix_sums(df: DataFrame, group: str, key: str, value: str, ident: str) ->
     return b.withColumn("__in", inside).join(base, [group, "__b"]).withColumn("before", F.col("__base") + F.col("__in")).drop("__b", "__in", "__base")
 
 
-def greedy_fill(pool: DataFrame, targets: DataFrame, group: str, value: str, tolerance: float, seed: int = 42, ident: str = "id") -> DataFrame:
-    """The rows of ``pool`` that fill the target of their group (``group``, target); all columns come back.
+#: Slim rows (group, id, key, value) up to which what is left of a fold goes through one task a group.
+FOLD_ROWS = 500_000
 
-    Rows of no value are passed over; groups without or with a non-positive target get nothing.
+
+def take_fitting(slim: DataFrame, state: DataFrame, group: str, fold_rows: int = FOLD_ROWS) -> DataFrame:
+    """``group`` and ``__id`` of the rows that are taken when each group's rows are visited in order of ``__key``.
+
+    ``slim``: group, __id, __key (hex hash), __v. ``state``: group, acc (taken so far), room, stop. A row is
+    taken while ``acc < stop`` where ``acc + v <= room``; others are passed over. In a round, all rows that
+    still fit on their own are summed up in order; those before the first that overflows are taken at
+    once, and the next round goes on behind it with less room. Sums run over two levels, so no group is
+    ordered in one task; only when few candidates are left do they go through a streaming fold.
     """
-    t = targets.where("target > 0").select(group, (F.col("target") * (1 - tolerance)).alias("lower"), (F.col("target") * (1 + tolerance)).alias("upper"))
-    slim = pool.select(group, F.col(ident).alias("__id"), F.col(value).cast("double").alias("__v")).where("__v > 0").withColumn("__key", stable_key("__id", seed)).join(F.broadcast(t), group)
-    slim = slim.withColumn("__small", F.when(F.col("__v") <= F.col("upper") - F.col("lower"), F.col("__v")).otherwise(0.0))
-    near = prefix_sums(slim, group, "__key", "__small", "__id").where(F.col("before") < F.col("lower"))
-    near = cut(near.select(group, "__id", "__key", "__v", "__small", "before", "lower", "upper"))
-    large = near.where("__small = 0").select(group).distinct()
-    fast = near.join(F.broadcast(large), group, "left_anti").select(group, "__id")
-    slow = near.join(F.broadcast(large), group, "left_semi").repartition(group).sortWithinPartitions(group, "__key", "__id")
-    kinds = dict(near.dtypes)
+    kinds = dict(slim.dtypes)
+    spark = slim.sparkSession
+    state = cut(state.select(group, F.col("acc").cast("double").alias("acc"), F.col("room").cast("double").alias("room"), F.col("stop").cast("double").alias("stop"), F.lit("").alias("pos")))
+    chosen = spark.createDataFrame([], f"`{group}` {kinds[group]}, __id {kinds['__id']}")
 
     def fold(batches: Iterator) -> Iterator:
         import pandas as pd
 
-        now, total = None, 0.0
+        now, acc = None, 0.0
         for b in batches:
             keep = []
-            for g, v, lo, hi in zip(b[group], b["__v"], b["lower"], b["upper"]):
+            for g, v, a, room, stop in zip(b[group], b["__v"], b["acc"], b["room"], b["stop"]):
                 if g != now:
-                    now, total = g, 0.0
-                take = total < lo and total + v <= hi
-                total += v if take else 0.0
+                    now, acc = g, a
+                take = acc < stop and acc + v <= room
+                acc += v if take else 0.0
                 keep.append(take)
             yield b.loc[pd.Series(keep, index=b.index, dtype=bool), [group, "__id"]]
 
-    folded = slow.mapInPandas(fold, f"`{group}` {kinds[group]}, __id {kinds['__id']}")
+    left = slim
+    while True:
+        left = left.join(F.broadcast(state), group).where("acc < stop and __key > pos and __v <= room - acc")
+        if left.limit(fold_rows + 1).count() <= fold_rows:
+            ordered = left.repartition(group).sortWithinPartitions(group, "__key", "__id")
+            return chosen.unionByName(ordered.mapInPandas(fold, f"`{group}` {kinds[group]}, __id {kinds['__id']}"))
+        placed = cut(prefix_sums(left, group, "__key", "__v", "__id"))
+        bad = (F.col("acc") + F.col("before") + F.col("__v") > F.col("room")) | (F.col("acc") + F.col("before") >= F.col("stop"))
+        first = placed.where(bad).groupBy(group).agg(F.min("__key").alias("__bad"))
+        taken = cut(placed.join(F.broadcast(first), group, "left").where("__bad is null or __key < __bad").select(group, "__id", "__v"))
+        chosen = chosen.unionByName(taken.select(group, "__id"))
+        sums = taken.groupBy(group).agg(F.sum("__v").alias("__s"))
+        # a row with the very key of the first that overflows is looked at again; ties of a 256-bit hash are repeated ids
+        state = cut(state.join(sums, group, "left").join(first, group, "inner").select(group, (F.col("acc") + F.coalesce("__s", F.lit(0.0))).alias("acc"), "room", "stop", F.col("__bad").alias("pos")))
+        left = slim
+
+
+def greedy_fill(pool: DataFrame, targets: DataFrame, group: str, value: str, tolerance: float, seed: int = 42, ident: str = "id", fold_rows: int = FOLD_ROWS) -> DataFrame:
+    """The rows of ``pool`` that fill the target of their group (``group``, target); all columns come back.
+
+    Rows of no value are passed over; groups without or with a non-positive target get nothing.
+    """
+    t = targets.where("target > 0").select(group, (F.col("target") * (1 - tolerance)).alias("lower"), (F.col("target") * (1 + tolerance)).alias("upper"))
+    slim = pool.select(group, F.col(ident).alias("__id"), F.col(value).cast("double").alias("__v")).where("__v > 0").withColumn("__key", stable_key("__id", seed)).join(F.broadcast(t), group)
+    slim = slim.withColumn("__small", F.when(F.col("__v") <= F.col("upper") - F.col("lower"), F.col("__v")).otherwise(0.0))
+    near = prefix_sums(slim, group, "__key", "__small", "__id").where(F.col("before") < F.col("lower"))
+    near = cut(near.select(group, "__id", "__key", "__v", "__small", "before", "lower", "upper"))
+    large = near.where("__small = 0").select(group).distinct()
+    fast = near.join(F.broadcast(large), group, "left_anti").select(group, "__id")
+    slow = near.join(F.broadcast(large), group, "left_semi").select(group, "__id", "__key", "__v")
+    folded = take_fitting(slow, t.join(large, group).select(group, F.lit(0).alias("acc"), F.col("upper").alias("room"), F.col("lower").alias("stop")), group, fold_rows)
     chosen = fast.unionByName(folded)
     return pool.join(chosen.select(F.col(group), F.col("__id").alias(ident)), [group, ident], "left_semi")
 
 
-def nested_variants(df: DataFrame, fractions: dict[str, float], preserve: list[str], fill: list[str], language: str = "language", tokens: str = "tokens", seed: int = 42, ident: str = "id") -> DataFrame:
+def nested_variants(df: DataFrame, fractions: dict[str, float], preserve: list[str], fill: list[str], language: str = "language", tokens: str = "tokens", seed: int = 42, ident: str = "id", fold_rows: int = FOLD_ROWS) -> DataFrame:
     """``ident`` and ``variant`` (the smallest variant the row is in; each larger one holds it too).
 
     Classes in ``preserve`` are in all. The others are visited in stable order and taken where they fit,
-    level by level; what did not fit comes up again at the next level. The fold is sequential by nature
-    and runs as a stream over (id, tokens) with one number of state a level.
+    level by level; what did not fit comes up again at the next level. The first row of a level needs to
+    fit into the whole budget only.
     """
     levels = sorted(fractions.items(), key=lambda x: x[1])
     total = df.agg(F.coalesce(F.sum(tokens), F.lit(0))).first()[0]
-    kept = df.where(F.col(language).isin(preserve)).select(ident, F.lit(levels[0][0]).alias("variant"))
-    spent = df.where(F.col(language).isin(preserve)).agg(F.coalesce(F.sum(tokens), F.lit(0))).first()[0]
-    pool = cut(df.where(F.col(language).isin(fill)).select(F.col(ident).alias("__id"), F.col(tokens).cast("long").alias("__v"), stable_key(ident, seed).alias("__k")))
-    kind = dict(df.dtypes)[ident]
-    out = kept
-    left = pool
+    whole = df.where(F.col(language).isin(preserve))
+    out = whole.select(ident, F.lit(levels[0][0]).alias("variant"))
+    spent = whole.agg(F.coalesce(F.sum(tokens), F.lit(0))).first()[0]
+    left = cut(df.where(F.col(language).isin(fill)).select(F.lit(0).alias("__g"), F.col(ident).alias("__id"), stable_key(ident, seed).alias("__key"), F.coalesce(F.col(tokens), F.lit(0)).cast("double").alias("__v")))
     for name, fraction in levels:
         budget = int(total * fraction)
         room = max(budget - spent, 0)
-
-        def fold(batches: Iterator, room=room, budget=budget) -> Iterator:
-            added, any_ = 0, False
-            for b in batches:
-                take = []
-                for v in b["__v"]:
-                    ok = added + v <= room or (not any_ and v <= budget)
-                    added, any_ = added + (v if ok else 0), any_ or ok
-                    take.append(ok)
-                yield b.assign(__take=take)
-
-        seen = cut(left.repartition(1).sortWithinPartitions("__k", "__id").mapInPandas(fold, f"__id {kind}, __v long, __k string, __take boolean"))
-        taken = seen.where("__take")
-        spent += taken.agg(F.coalesce(F.sum("__v"), F.lit(0))).first()[0]
+        head = left.where(F.col("__v") <= budget).orderBy("__key", "__id").limit(1).collect()
+        if not head:
+            continue
+        rest = left.where((F.col("__key") > head[0]["__key"]) & (F.col("__id") != head[0]["__id"]))
+        state = df.sparkSession.createDataFrame([(0, float(head[0]["__v"]), float(room), float("inf"))], "__g int, acc double, room double, stop double")
+        first = left.where(F.col("__id") == head[0]["__id"]).select("__g", "__id")
+        taken = cut(take_fitting(rest, state, "__g", fold_rows).unionByName(first).join(left, ["__g", "__id"]))
+        spent += int(taken.agg(F.coalesce(F.sum("__v"), F.lit(0.0))).first()[0])
         out = out.unionByName(taken.select(F.col("__id").alias(ident), F.lit(name).alias("variant")))
-        left = seen.where("not __take").drop("__take")
+        left = cut(left.join(taken.select("__id"), "__id", "left_anti"))
     return out
 
 

@@ -24,22 +24,23 @@ def naive_fill(rows, target, tol):
     return set(out)
 
 
-@pytest.mark.parametrize("big", [0, 40])
-def test_greedy_fill_against_naive(spark, big):
+@pytest.mark.parametrize(("big", "fold"), [(0, 1000), (40, 1000), (40, 0)])
+def test_greedy_fill_against_naive(spark, big, fold):
     rng = random.Random(big)
     rows = [(i, g, rng.choice([0, 1, 2, 3, 5]) + (rng.random() < 0.3) * big) for g in "abc" for i in range(ord(g) * 1000, ord(g) * 1000 + 120)]
     df = spark.createDataFrame(rows, "id long, g string, v long")
     targets = {"a": 150.0, "b": 60.0, "c": 0.0}
-    got = budget.greedy_fill(df, spark.createDataFrame(list(targets.items()), "g string, target double"), "g", "v", 0.05)
+    got = budget.greedy_fill(df, spark.createDataFrame(list(targets.items()), "g string, target double"), "g", "v", 0.05, fold_rows=fold)
     want = set().union(*(naive_fill([(i, v) for i, gg, v in rows if gg == g], t, 0.05) if t else set() for g, t in targets.items()))
     assert {r["id"] for r in got.collect()} == want
 
 
-def test_nested_variants_against_naive(spark):
+@pytest.mark.parametrize("fold", [1000, 10])
+def test_nested_variants_against_naive(spark, fold):
     rng = random.Random(3)
     rows = [(i, rng.choice(["ar", "en", "arabizi", "fr"]), rng.randrange(1, 60)) for i in range(200)]
     df = spark.createDataFrame(rows, "id long, language string, tokens long")
-    got = {r["id"]: r["variant"] for r in budget.nested_variants(df, {"v25": 0.25, "v50": 0.5, "v75": 0.75}, ["arabizi"], ["ar", "en"]).collect()}
+    got = {r["id"]: r["variant"] for r in budget.nested_variants(df, {"v25": 0.25, "v50": 0.5, "v75": 0.75}, ["arabizi"], ["ar", "en"], fold_rows=fold).collect()}
     total, spent = sum(v for _, _, v in rows), sum(v for _, lang, v in rows if lang == "arabizi")
     want = {i: "v25" for i, lang, _ in rows if lang == "arabizi"}
     pool = sorted(((i, v) for i, lang, v in rows if lang in ("ar", "en")), key=lambda r: key(r[0]))
