@@ -263,3 +263,28 @@ def cross_contamination(df: DataFrame, a: str, b: str, category: str = "category
     text = last_of(F.col("messages"), "user")
     side = lambda c: df.where(F.col(category) == c).select(text.alias("text")).where("text <> ''")
     return side(a).intersect(side(b))
+
+
+def select_slice(df: DataFrame, multipliers: dict[str, float], anchor: str, languages: list[str], scripts: list[str] | None = None, unit: int | None = None, metric: str = "assistant", holdout_ratio: float = 0.05, tolerance: float = 0.02, max_tokens: int = 15_500, seed: int = 42, order: str = "line_no", ident: str = "id") -> Selection:
+    """Budgets of one slice around its whole anchor category, or around a unit given from elsewhere; filling less than asked is allowed.
+
+    A holdout of ``holdout_ratio`` of the unit is reserved in proportion to the multipliers, then every category is filled.
+    """
+    spec = RetentionSpec(languages=tuple(languages), multipliers=multipliers, anchor=anchor, metric=metric)
+    judged = eligible(df, spec, list(multipliers))
+    if scripts is not None:
+        judged = judged.withColumn("reject_reason", F.coalesce("reject_reason", F.when(~F.coalesce(F.col("script").isin(scripts), F.lit(False)), "script_not_allowed")))
+    name = f"tokens_{metric}"
+    sized = _first_by_id(judged.where("reject_reason is null"), ident, order).withColumns({"tokens_total": tokens_total(F.col("messages")), "tokens_assistant": tokens_assistant(F.col("messages"))}).drop("reject_reason")
+    pool = cut(sized.where(F.col("tokens_total") <= max_tokens))
+    if unit is None:
+        unit = pool.where(F.col("category") == anchor).agg(F.coalesce(F.sum(name), F.lit(0))).first()[0]
+    share = sum(multipliers.values())
+    spark = df.sparkSession
+    held = spark.createDataFrame([(c, holdout_ratio * unit * m / share) for c, m in multipliers.items()], "category string, target double")
+    holdout = cut(greedy_fill(pool, held, "category", name, tolerance, seed, ident))
+    rest = pool.join(holdout.select(ident), ident, "left_anti")
+    wanted = spark.createDataFrame([(c, float(m * unit)) for c, m in multipliers.items()], "category string, target double")
+    train = cut(greedy_fill(rest, wanted, "category", name, tolerance, seed, ident))
+    rejected = judged.where("reject_reason is not null").groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
+    return Selection(train, holdout, rejected, {"unit_tokens": unit, "multipliers": multipliers, "seed": seed})

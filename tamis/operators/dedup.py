@@ -129,3 +129,46 @@ def keep_first(df: DataFrame, keys: list[Column], order: str) -> DataFrame:
     named = df.withColumns({f"__k{i}": k for i, k in enumerate(keys)})
     w = Window.partitionBy(*[f"__k{i}" for i in range(len(keys))]).orderBy(order)
     return named.withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__r", *[f"__k{i}" for i in range(len(keys))])
+
+
+def semantic_duplicates(df: DataFrame, ident: str, vector: str, similarity: float = 0.85, tables: int = 40, bits: int = 10, seed: int = 7) -> DataFrame:
+    """``ident`` and ``class_id`` of rows whose vectors have a cosine of ``similarity`` or more, over random hyperplanes.
+
+    Candidates share all signs of one table of hyperplanes; links are exact cosines. Buckets of up to ``PAIRED``
+    members pair each with each; a larger one goes through rounds in which its least member meets all
+    others and leaves. Equal vectors collapse first; null, empty and zero vectors are classes of their own.
+    """
+    import random
+
+    norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+    rows = df.select(F.col(ident).alias("id"), F.transform(vector, lambda x: x.cast("double")).alias("v"), norm.alias("n"))
+    live = rows.where("n > 0")
+    size = live.select(F.max(F.size("v"))).first()[0] or 0
+    same = cut(live.groupBy(F.xxhash64("v").alias("h"), "v").agg(F.min("id").alias("rep"), F.first("n").alias("n")))
+    rng = random.Random(seed)
+    planes = [[rng.gauss(0, 1) for _ in range(size)] for _ in range(tables * bits)]
+    # planes are a small constant of size x tables x bits numbers; each gives one sign
+    shared = df.sparkSession.createDataFrame([(t, [planes[t * bits + b] for b in range(bits)]) for t in range(tables)], "t int, planes array<array<double>>")
+    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+    signs = F.array_join(F.transform("planes", lambda p: F.when(dot(p, F.col("v")) > 0, "1").otherwise("0")), "")
+    open_ = cut(same.select("rep", "v").crossJoin(F.broadcast(shared)).select("rep", "t", signs.alias("bucket")))
+    unit = same.select("rep", F.transform("v", lambda x: x / F.col("n")).alias("u"))
+    links = df.sparkSession.createDataFrame([], f"a {dict(same.dtypes)['rep']}, b {dict(same.dtypes)['rep']}")
+
+    def confirm(pairs: DataFrame) -> DataFrame:
+        x, y = unit.select(F.col("rep").alias("a"), F.col("u").alias("x")), unit.select(F.col("rep").alias("b"), F.col("u").alias("y"))
+        return pairs.distinct().join(x, "a").join(y, "b").where(dot(F.col("x"), F.col("y")) >= similarity).select("a", "b")
+
+    sizes = open_.groupBy("t", "bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    few = open_.join(sizes.where(F.col("c") <= PAIRED).drop("c"), ["t", "bucket"])
+    met = few.select("t", "bucket", F.col("rep").alias("a")).join(few.select("t", "bucket", F.col("rep").alias("b")), ["t", "bucket"]).where("a < b")
+    links = links.unionByName(cut(confirm(met.select("a", "b"))))
+    open_ = cut(open_.join(sizes.where(F.col("c") > PAIRED).drop("c"), ["t", "bucket"]))
+    while not open_.isEmpty():
+        heads = open_.groupBy("t", "bucket").agg(F.min("rep").alias("a"))
+        open_ = cut(open_.join(heads, ["t", "bucket"]).where("rep <> a"))
+        links = links.unionByName(cut(confirm(open_.select("a", F.col("rep").alias("b")))))
+        open_ = open_.drop("a")
+    classes = components(cut(links.distinct()), same.select(F.col("rep").alias("id"))).withColumnRenamed("id", "rep")
+    found = live.select("id", "v").join(same.select("v", "rep"), "v").join(classes, "rep").select(F.col("id").alias(ident), "class_id")
+    return found.unionByName(rows.where("n is null or n <= 0").select(F.col("id").alias(ident), F.col("id").alias("class_id")))

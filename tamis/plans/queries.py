@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tamis.functions import adapters as A
 from tamis.functions import classify as C
+from tamis.functions import formats
 from tamis.functions import messages as M
 from tamis.functions import text as T
 from tamis.operators import budget, dedup, integrity, mixture, profile, sampling, validate
@@ -591,6 +592,52 @@ def secret_scan(spark, d):
     return integrity.secrets(docs(spark, d), "text").select("doc_id", "hits")
 
 
+_OK = " and ".join(f"coalesce({_strip(c)} <> '', false)" for c in ("instruction", "output"))
+
+
+@query(f"select count(*) as rows, count_if({_OK}) as valid from raw_dialect_qa")
+def alpaca_format(spark, d):
+    return formats.report(table(spark, d, "raw_dialect_qa"), "alpaca")
+
+
+_BODY2 = f"(case when {_ROLES}[1] = 'system' then {_ROLES}[2:] else {_ROLES} end)"
+
+
+@query(f"select count(*) as rows, count_if(coalesce(len(messages) >= 2 and {_BODY2}[1] = 'user' and {_BODY2}[-1] = 'assistant' and len(list_filter(messages, lambda m: not (coalesce(m.role in ('system', 'user', 'assistant'), false) and {_strip(_or_empty('m.content'))} <> ''))) = 0, false)) as valid from arabic_derja")
+def chatml_format(spark, d):
+    return formats.report(derja(spark, d), "chatml")
+
+
+@query(f"with g as (select coalesce(language, 'None') as slice, sum({_ASSIST})::bigint as tokens from arabic_derja group by 1), t as (select unnest(['ar', 'arabizi', 'fr', 'en']) as slice, unnest([0.5, 0.2, 0.15, 0.15])::double as share), j as (select t.slice, share, coalesce(tokens, 0)::bigint as tokens from t left join g using (slice)) select slice, share, tokens, share * sum(tokens) over () - tokens as gap from j")
+def token_gap(spark, d):
+    """Tokens that each slice lacks to its share of what there is."""
+    g = derja(spark, d).groupBy(F.coalesce("language", F.lit("None")).alias("slice")).agg(F.sum(M.tokens_assistant(F.col("messages"))).alias("tokens"))
+    t = spark.createDataFrame(list(_MIX.shares.items()), "slice string, share double")
+    j = t.join(g, "slice", "left").withColumn("tokens", F.coalesce("tokens", F.lit(0)))
+    total = j.agg(F.sum("tokens").alias("t"))
+    return j.crossJoin(F.broadcast(total)).select("slice", "share", "tokens", (F.col("share") * F.col("t") - F.col("tokens")).alias("gap"))
+
+
+@query()
+def slice_budget_selection(spark, d):
+    """Budgets of the dialect slice around its whole question-answering category."""
+    s = budget.select_slice(derja(spark, d), {"knowledge_qa": 0.8, "general_instruction": 0.6, "reasoning": 0.2}, "knowledge_qa", ["ar", "arabizi"])
+    return s.train.select("line_no", "category", F.lit("train").alias("part")).unionByName(s.holdout.select("line_no", "category", F.lit("holdout").alias("part")))
+
+
+@query("with recursive v as (select vec_id, embedding from embeddings), l as (select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id and list_cosine_similarity(a.embedding::double[], b.embedding::double[]) >= 0.85), r as (select vec_id as id, vec_id as reach from v union select r.id, l.b from r join l on l.a = r.reach) select id as vec_id, min(reach) as class_id from r group by id")
+def semantic_classes(spark, d):
+    """Class of every embedding at a cosine of 0.85."""
+    return dedup.semantic_duplicates(table(spark, d, "embeddings"), "vec_id", "embedding")
+
+
+@query("select time_bucket(interval '1 hour', ts) as hour, event_type, count(*) as n, sum(value) as total from events group by all")
+def events_hourly(spark, d):
+    """Tumbling hours of the event stream, as the streaming operator gives them."""
+    e = table(spark, d, "events").groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
+    return e.select(F.col("w.start").alias("hour"), "event_type", "n", "total")
+
+
 def queries() -> dict:
     return dict(_QUERIES)
 

@@ -125,7 +125,7 @@ def decoded_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def files(spark: SparkSession, path: str, hashes: bool = False) -> DataFrame:
-    """A folder as a table: path, length, modified, and sha256 where asked for (files up to 2 GB)."""
+    """A folder as a table: path, bytes, modified, and sha256 where asked for (files up to 2 GB). Empty files have no row."""
     df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     base = df.select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"), *([F.sha2("content", 256).alias("sha256")] if hashes else []))
     return base
