@@ -11,7 +11,6 @@ from tamis.functions.text import as_text, clean_web, collapse, has_arabic, has_d
 # Label and dialect maps.
 SENTIMENTS = {"1": "positive", "0": "neutral", "-1": "negative"}
 DIALECT_LANGUAGE = {"tunisian": "ar", "tunisian_arabic": "ar", "arabic": "ar", "tunisian_arabizi": "arabizi", "arabizi": "arabizi", "french": "fr", "english": "en", "mixed": "mixed"}
-EXCLUDED_CORPORA = ["TunSwitchCodeSwitching", "TunSwitchTunisiaOnly", "Tunisian_Dialectic_English_Derja"]
 
 
 def lookup(c: Column, pairs: dict[str, str], default: str | None = None) -> Column:

@@ -442,7 +442,7 @@ def _pool(spark, d):
     return profile.token_columns(derja(spark, d).select("line_no", "id", "messages", "category", "source", "language", "quality"))
 
 
-@query()
+@query(f"with recursive p as (select line_no, category, {_TOTAL}::double as v, row_number() over (partition by category order by {_KEY.format('line_no')}) as rn from arabic_derja where category is not null and {_TOTAL} > 0), t as (select category, sum(v) * 0.25::double * 0.98::double as lower, sum(v) * 0.25::double * 1.02::double as upper from p group by 1), s as (select category, 0::bigint as rn, 0::double as total, false as taken from t union all select s.category, p.rn, case when s.total + p.v <= t.upper then s.total + p.v else s.total end, s.total + p.v <= t.upper from s join t using (category) join p on p.category = s.category and p.rn = s.rn + 1 where s.total < t.lower) select p.line_no, p.category, p.v::bigint as tokens_total from s join p using (category, rn) where s.taken")
 def greedy_budget_fill(spark, d):
     """A quarter of each category's tokens, two per cent either way."""
     pool = _pool(spark, d).where("category is not null").select("line_no", "category", "tokens_total")
@@ -473,7 +473,7 @@ def count_selection(spark, d):
     return s.train.select("line_no", "category", F.lit("train").alias("part")).unionByName(s.holdout.select("line_no", "category", F.lit("holdout").alias("part")))
 
 
-@query()
+@query(f"with p as (select line_no, category, {_TOTAL}::bigint as tokens_total, coalesce(sum({_TOTAL}) over (partition by category order by {_KEY.format('line_no')}, line_no rows between unbounded preceding and 1 preceding), 0) as before, floor(sum({_TOTAL}) over (partition by category) * 0.1::double) as quota from arabic_derja where category is not null) select line_no, category, tokens_total from p where before + tokens_total <= quota or before = 0")
 def prefix_sample(spark, d):
     """Records of each category up to the first that exceeds a tenth of its tokens."""
     pool = _pool(spark, d).where("category is not null").select("line_no", "category", "tokens_total")
