@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamis.functions.text import norm_key
-from tamis.session import cut
+from tamis.session import cut, spread
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 6
@@ -31,17 +31,31 @@ def exact_then_normalised(df: DataFrame, text: str, order: str) -> tuple[DataFra
     return out, n.select((F.col("a") - F.col("b")).alias("exact_removed"), (F.col("b") - F.col("c")).alias("normalised_removed"), F.col("c").alias("kept"))
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once; a lambda would compute a captured expression for every element."""
+    return F.try_element_at(F.transform(F.array(value), body), F.lit(1))
+
+
 def char_grams(text: Column, n: int = 3) -> Column:
     """Distinct character n-grams, lower case, white space collapsed."""
-    t = F.lower(F.regexp_replace(text, r"(?U)\s+", " "))
-    return F.array_distinct(F.transform(F.when(F.length(t) >= n, F.sequence(F.lit(1), F.length(t) - (n - 1))).otherwise(F.array().cast("array<int>")), lambda i: F.substring(t, i, F.lit(n))))
+    none = F.array().cast("array<int>")
+
+    def grams(t: Column) -> Column:
+        places = F.when(F.length(t) >= n, F.sequence(F.lit(1), F.length(t) - (n - 1))).otherwise(none)
+        return F.array_distinct(F.transform(places, lambda i: F.substring(t, i, F.lit(n))))
+
+    return _let(F.lower(F.regexp_replace(text, r"(?U)\s+", " ")), grams)
 
 
 def word_shingles(text: Column, n: int = SHINGLE) -> Column:
     """Distinct hashes of runs of n words; a shorter text is one shingle."""
-    w = F.filter(F.split(F.lower(text), r"(?U)[^\p{L}\p{N}]+"), lambda x: x != "")
-    runs = F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.xxhash64(F.array_join(F.slice(w, i, n), " ")))
-    return F.array_distinct(F.when(F.size(w) >= n, runs).when(F.size(w) > 0, F.array(F.xxhash64(F.array_join(w, " ")))).otherwise(F.array().cast("array<bigint>")))
+    none = F.array().cast("array<bigint>")
+
+    def shingles(w: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.xxhash64(F.array_join(F.slice(w, i, n), " ")))
+        return F.array_distinct(F.when(F.size(w) >= n, runs).when(F.size(w) > 0, F.array(F.xxhash64(F.array_join(w, " ")))).otherwise(none))
+
+    return _let(F.filter(F.split(F.lower(text), r"(?U)[^\p{L}\p{N}]+"), lambda x: x != ""), shingles)
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -49,14 +63,29 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(shared, F.size(a) + F.size(b) - shared), F.lit(0.0))
 
 
-def min_hash(shingles: Column, bands: int = BANDS, rows: int = ROWS) -> Column:
-    """Band hashes of a min-hash signature, from built-in expressions only."""
-    # a signature is folded over the shingles: one running minimum for each hash function
-    n = bands * rows
-    start = F.array_repeat(F.lit((1 << 31) - 1).cast("long"), n)
-    seeds = F.array(*[F.lit((i * 2654435761 + 97) % ((1 << 31) - 1) | 1).cast("long") for i in range(n)])
-    sig = F.aggregate(shingles, start, lambda acc, s: F.zip_with(acc, seeds, lambda m, k: F.least(m, F.pmod(F.pmod(s, F.lit((1 << 31) - 1)) * k + F.shiftright(k, 3), F.lit((1 << 31) - 1)))))
-    return F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.xxhash64(b, F.slice(sig, b * rows + 1, rows)))
+def band_hashes(df: DataFrame, ident: str, shingles: str, bands: int = BANDS, rows: int = ROWS, seed: int = 11) -> DataFrame:
+    """``ident`` and buckets: one hash for each band of the min-hash signature of an array of shingles."""
+    kind = dict(df.dtypes)[ident]
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        rng = np.random.default_rng(seed)
+        mul, add, mix = (rng.integers(1, 1 << 63, n, dtype=np.uint64) | np.uint64(1) for n in (bands * rows, bands * rows, rows))
+        for b in batches:
+            col = b.column(1)
+            flat, at = col.flatten().to_numpy(zero_copy_only=False).astype(np.uint64), 0
+            out = np.empty((b.num_rows, bands), np.int64)
+            for i, n in enumerate(col.value_lengths().to_numpy(zero_copy_only=False)):
+                x = flat[at : at + n]
+                at += n
+                low = ((x[:, None] * mul + add) >> np.uint64(32)).min(axis=0).reshape(bands, rows)
+                g = (low + np.uint64(1)) * mix
+                out[i] = np.bitwise_xor.reduce(g ^ (g >> np.uint64(31)), axis=1).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.FixedSizeListArray.from_arrays(pa.array(out.ravel()), bands).cast(pa.list_(pa.int64()))], names=[ident, "buckets"])
+
+    return spread(df.select(ident, shingles).where(F.size(shingles) > 0)).mapInArrow(run, f"`{ident}` {kind}, buckets array<long>")
 
 
 def near_duplicates(df: DataFrame, ident: str, text: str, similarity: float = SIMILARITY, shingle: int = SHINGLE) -> DataFrame:
@@ -71,7 +100,7 @@ def near_duplicates(df: DataFrame, ident: str, text: str, similarity: float = SI
     spark = df.sparkSession
     rows = df.where(F.coalesce(F.col(text), F.lit("")) != "").select(F.col(ident).alias("id"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("s"), text).alias("h2"), F.col(text).alias("t"))
     reps = cut(rows.groupBy("h1", "h2").agg(F.min("id").alias("rep"), F.min("t").alias("t")).withColumn("sh", word_shingles(F.col("t"), shingle)).drop("t"))
-    open_ = cut(reps.where("size(sh) > 0").select(F.col("rep"), "sh", F.posexplode(min_hash(F.col("sh"))).alias("band", "bucket")).select("rep", "band", "bucket"))
+    open_ = cut(band_hashes(reps, "rep", "sh").select("rep", F.posexplode("buckets").alias("band", "bucket")))
     sh = reps.select("rep", "sh")
     links = spark.createDataFrame([], f"a {dict(reps.dtypes)['rep']}, b {dict(reps.dtypes)['rep']}")
 
