@@ -91,6 +91,7 @@ def greedy_fill(pool: DataFrame, targets: DataFrame, group: str, value: str, tol
     t = targets.where("target > 0").select(group, (F.col("target") * (1 - tolerance)).alias("lower"), (F.col("target") * (1 + tolerance)).alias("upper"))
     slim = pool.select(group, F.col(ident).alias("__id"), F.col(value).cast("double").alias("__v")).where("__v > 0").withColumn("__key", stable_key("__id", seed)).join(F.broadcast(t), group)
     slim = slim.withColumn("__small", F.when(F.col("__v") <= F.col("upper") - F.col("lower"), F.col("__v")).otherwise(0.0))
+    slim = cut(slim)  # the value may be dear, and the sums read it twice
     near = prefix_sums(slim, group, "__key", "__small", "__id").where(F.col("before") < F.col("lower"))
     near = cut(near.select(group, "__id", "__key", "__v", "__small", "before", "lower", "upper"))
     large = near.where("__small = 0").select(group).distinct()
