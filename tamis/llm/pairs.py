@@ -18,16 +18,18 @@ from tamis.llm import langid
 from tamis.llm.arrow import turns
 from tamis.llm.forms import canonical, words
 from tamis.llm.labels import STAND_INS
-from tamis.session import spread
+from tamis.operators.joins import lookup_join
+from tamis.session import cut, spread
 
 DEFECTS = ("empty_answer", "truncated_answer", "refusal", "copied_question", "other_language")
-#: Records in the sample that the terminal-context model is fitted on.
-SAMPLE = 8_000
-#: Uses from which a word counts as known, and from which a context's share of ends is trusted.
-KNOWN, TRUSTED = 4, 4
-#: Least share of ends of a known word at which a sentence may stop without a full stop, and the uses it takes to say so.
-#: For a word that isn't known the same of the word before it and any unknown word.
-LEAST_END, SURE_USES, LEAST_END_UNKNOWN = 0.01, 6, 0.12
+#: Uses in the whole corpus from which a word is judged by its own share of ends (a word with fewer by those of all such
+#: words), and from which a context or an ending of such words is trusted.
+KNOWN, TRUSTED = 6, 4
+#: Least share of ends of a known word at which a sentence may stop without a full stop; for a word that isn't known the
+#: same of the word before it and any unknown word.
+LEAST_END, LEAST_END_UNKNOWN = 0.01, 0.12
+#: Words of sentences that a task counts at once.
+COUNT_WORDS = 1_000_000
 #: Greatest residue of a copy: bytes that stay of the response over its own, when the prompt is the dictionary.
 RESIDUE = 0.45
 
@@ -59,54 +61,54 @@ _TAIL = re.compile(r"[\s\U0001F000-\U0001FAFF☀-➿️‍]+$")
 _SENTENCE_END = re.compile(r"(?<!\.)[.!?؟]+(?=[\s»”\")\]]|$)")
 #: A list marker with nothing behind it.
 _MARKER = re.compile(r"(?:^|\n|[.!?؟]\s)\s*(?:\d{1,3}[.)]|[-*•])\s*$")
+_DIGITS = r"^\p{Nd}+$"
 _CLOSED = tuple(".!?؟»”)]}\"'`;؛")
 
 
+def complete_sentences(answer: str) -> list[list[str]]:
+    """Words of the sentences of an answer that are closed by a mark; what stands behind the last mark is none."""
+    return [ws for x in _SENTENCE_END.split(answer)[:-1] if (ws := words(x))]
+
+
+def symbol(word: str, known: bool) -> str:
+    return word if known else Endings.NUMBER if word.isdecimal() else Endings.RARE
+
+
 class Endings:
-    """How often a context ends a sentence: its last two words, or the last; rare words share a symbol."""
+    """How often a word ends a sentence, and a rare word behind a given one; rare words share a symbol."""
 
-    RARE = "\0"
+    RARE, NUMBER = "\0", "#"
 
     def __init__(self, texts: list[str]):
-        cut = [[words(s) for s in _SENTENCE_END.split(t)[:-1]] for t in texts]
-        seen = Counter(w for t in cut for s in t for w in s)
-        self.known = frozenset(w for w, n in seen.items() if n >= KNOWN)
-        total, ends, suffix = Counter(), Counter(), Counter()
-        for t in cut:
-            for s in t:
-                if not s:
-                    continue
-                for w in s:
-                    if w not in self.known and len(w) > 3:
-                        suffix[w[-2:]] += 1
-                k = self.symbols(s)
-                for i in range(len(k)):
-                    for c in self.contexts(k[: i + 1]):
-                        total[c] += 1
-                for c in self.contexts(k):
-                    ends[c] += 1
-        self.total = {c: n for c, n in total.items() if n >= TRUSTED}
-        self.ends = {c: n for c, n in ends.items() if c in self.total}
-        self.suffix = frozenset(x for x, n in suffix.items() if n >= KNOWN)
-
-    def symbols(self, ws: list[str]) -> list[str]:
-        return [w if w in self.known else "#" if w.isdigit() else self.RARE for w in ws]
-
-    @staticmethod
-    def contexts(k: list[str]):
-        return [tuple(k[-n:]) for n in (2, 1) if len(k) >= n]
+        sentences = [s for t in texts for s in complete_sentences(t)]
+        uses = Counter(w for s in sentences for w in s)
+        self.known = frozenset(w for w, n in uses.items() if n >= KNOWN)
+        #: by word or symbol, and by the symbol before a rare word: uses and ends
+        self.word, self.before_rare, suffix = {}, {}, Counter()
+        for s in sentences:
+            k = [symbol(w, w in self.known) for w in s]
+            for i, x in enumerate(k):
+                last = i == len(k) - 1
+                for table, c in ((self.word, x), (self.before_rare, k[i - 1] if i and x == self.RARE else None)):
+                    if c is not None:
+                        n = table.setdefault(c, [0, 0])
+                        n[0] += 1
+                        n[1] += last
+                if s[i] not in self.known and len(s[i]) > 3:
+                    suffix[s[i][-2:]] += 1
+        self.suffix = frozenset(x for x, n in suffix.items() if n >= TRUSTED)
 
     def may_end(self, ws: list[str]) -> bool:
         """Whether a sentence of these words may be complete."""
         if not ws:
             return True
-        k = self.symbols(ws[-2:])
+        k = [symbol(w, w in self.known) for w in ws[-2:]]
         if k[-1] == self.RARE:
             # an unknown last word: only a place where unknown words stand, with the ending of one
-            n = self.total.get(tuple(k), 0)
-            return len(k) > 1 and n >= TRUSTED and self.ends.get(tuple(k), 0) >= LEAST_END_UNKNOWN * n and ws[-1][-2:] in self.suffix
-        n = self.total.get((k[-1],), 0)
-        return n < SURE_USES or self.ends.get((k[-1],), 0) >= LEAST_END * n
+            n, ends = self.before_rare.get(k[0], (0, 0)) if len(k) > 1 else (0, 0)
+            return n >= TRUSTED and ends >= LEAST_END_UNKNOWN * n and ws[-1][-2:] in self.suffix
+        n, ends = self.word.get(k[-1], (0, 0))
+        return n < KNOWN or ends >= LEAST_END * n
 
 
 def is_empty(answer: str | None) -> bool:
@@ -162,8 +164,8 @@ def is_copy(question: str | None, answer: str) -> bool:
     return shared >= 0.75 * len(q) and len(a) - shared <= max(2, 0.2 * len(q)) + 3
 
 
-def is_truncated(answer: str, endings: Endings) -> bool:
-    """Stops inside its last sentence, list, bracket, quotation or code block."""
+def open_end(answer: str) -> list[str] | bool:
+    """Whether an answer stops inside a list, bracket, quotation or code block; else the words of a last sentence without mark."""
     if answer.count("```") % 2:
         return True
     text = _TAIL.sub("", answer)
@@ -181,7 +183,7 @@ def is_truncated(answer: str, endings: Endings) -> bool:
     # the last stretch after a sentence end or a line break, or all of it
     last = re.split(r"[.!?؟;؛](?=\s)|\n", text.rstrip(".…,،;؛ "))[-1]
     ws = words(re.sub(r"^\s*(?:[-*•]|\d+[.)!])\s*", "", last))
-    return not endings.may_end(ws)
+    return ws[-2:]
 
 
 def is_other_language(question: str | None, answer: str, profiles: langid.Profiles) -> bool:
@@ -209,38 +211,111 @@ def is_other_language(question: str | None, answer: str, profiles: langid.Profil
     return own not in a and other >= 0.6 * n and sure >= 0.08
 
 
-def defect(question: str | None, answer: str | None, profiles: langid.Profiles, endings: Endings) -> str | None:
-    """The defect of one answer, or none. The rules look at both texts in their canonical form."""
+def judge(question: str | None, answer: str | None, profiles: langid.Profiles) -> tuple[str | None, list[str]]:
+    """The defect of one answer, or none, and the last words of one that is truncated if no sentence ends in them.
+
+    The rules look at both texts in their canonical form.
+    """
     answer = canonical(answer)
     if is_empty(answer):
-        return "empty_answer"
+        return "empty_answer", []
     if is_refusal(answer):
-        return "refusal"
+        return "refusal", []
     question = canonical(question)
     if is_copy(question, answer):
-        return "copied_question"
-    if is_truncated(answer, endings):
-        return "truncated_answer"
-    if is_other_language(question, answer, profiles):
-        return "other_language"
-    return None
+        return "copied_question", []
+    end = open_end(answer)
+    if end is True:
+        return "truncated_answer", []
+    return "other_language" if is_other_language(question, answer, profiles) else None, end or []
+
+
+def defect(question: str | None, answer: str | None, profiles: langid.Profiles, endings: Endings) -> str | None:
+    """The defect of one answer, or none."""
+    found, end = judge(question, answer, profiles)
+    return found if endings.may_end(end) else "truncated_answer"
 
 
-def fit(records: DataFrame, key: str = "line_no", sample: int = SAMPLE) -> Endings:
-    """The terminal-context model of about ``sample`` records, those with the least hashes of their key."""
-    part = langid.hash_share(records.select(key, "messages"), key, 23, sample)
-    texts = F.filter(F.transform(F.filter("messages", lambda m: m["role"] == "assistant"), lambda m: m["content"]), lambda c: c.isNotNull())
-    return Endings([canonical(t) for r in part.where("size(messages) > 0").select(texts.alias("texts")).collect() for t in r["texts"]])
+def count_words(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Over the complete sentences of all assistant answers: (word, uses, ends), and (before, word, uses, ends) of rare words.
+
+    ``before`` is empty at the start of a sentence. A task counts the words before a rare one only where it met the word
+    less than ``KNOWN`` times at once; of a word that is rare in the corpus that is every place.
+    """
+
+    def run(batches):
+        import pyarrow as pa
+
+        held, size = [], 0
+
+        def flush():
+            uses, ends = Counter(), Counter(s[-1] for s in held)
+            for s in held:
+                uses.update(s)
+            rare = {w for w, n in uses.items() if n < KNOWN}
+            pairs, pair_ends = Counter(), Counter()
+            for s in held:
+                if not rare.isdisjoint(s):
+                    pairs.update(x for x in zip(s, s[1:]) if x[1] in rare)
+                    if len(s) > 1 and s[-1] in rare:
+                        pair_ends[s[-2], s[-1]] += 1
+            rows = [(None, w, n, ends[w]) for w, n in uses.items()] + [(*x, n, pair_ends[x]) for x, n in pairs.items()]
+            held.clear()
+            cols = list(zip(*rows)) or [(), (), (), ()]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.string(), pa.int64(), pa.int64()))], names=["before", "word", "uses", "ends"])
+
+        for b in batches:
+            _, _, role, content = turns(b.column(0))
+            for r, c in zip(role, content):
+                if r == "assistant" and c:
+                    for s in complete_sentences(canonical(c)):
+                        held.append(s)
+                        size += len(s)
+            if size >= COUNT_WORDS:
+                yield flush()
+                size = 0
+        yield flush()
+
+    part = spread(records.where("size(messages) > 0").select("messages")).mapInArrow(run, "before string, word string, uses long, ends long")
+    both = cut(part.groupBy("before", "word").agg(F.sum("uses").alias("uses"), F.sum("ends").alias("ends")))
+    return both.where("before is null").drop("before"), both.where("before is not null")
+
+
+def sound_ends(records: DataFrame, ends: DataFrame) -> DataFrame:
+    """The rows (before, word) of ``ends`` with which a sentence may be complete, as ``Endings.may_end`` of all answers says.
+
+    The counts stay in tables that are joined, so no vocabulary is too large; ``before`` is empty for a single word.
+    """
+    words_, pairs_ = count_words(records)
+    number, rare = F.lit(Endings.NUMBER), F.lit(Endings.RARE)
+    unknown = cut(words_.where(F.col("uses") < KNOWN).withColumn("digit", F.col("word").rlike(_DIGITS)))
+    known = words_.where(F.col("uses") >= KNOWN)
+
+    def symbols(df: DataFrame, word: str, to: str) -> DataFrame:
+        """Adds the symbol of a word, and the uses and ends of a known one."""
+        named = df.join(known.select(F.col("word").alias(word), F.col("uses").alias(f"{to}_uses"), F.col("ends").alias(f"{to}_ends")), word, "left")
+        return named.withColumn(to, F.when(F.col(f"{to}_uses").isNotNull(), F.col(word)).when(F.col(word).rlike(_DIGITS), number).otherwise(rare))
+
+    digit_uses, digit_ends = unknown.where("digit").agg(F.coalesce(F.sum("uses"), F.lit(0)), F.coalesce(F.sum("ends"), F.lit(0))).first()
+    suffix = unknown.where(F.length("word") > 3).groupBy(F.substring("word", -2, 2).alias("suffix")).agg(F.sum("uses").alias("n")).where(F.col("n") >= TRUSTED).select("suffix")
+    before = symbols(pairs_.join(unknown.where("not digit").select("word"), "word", "left_semi").select("before", "uses", "ends"), "before", "b")
+    before = before.groupBy("b").agg(F.sum("uses").alias("uses"), F.sum("ends").alias("ends")).where((F.col("uses") >= TRUSTED) & (F.col("ends") >= F.lit(LEAST_END_UNKNOWN) * F.col("uses"))).select("b")
+    at = cut(symbols(symbols(ends.distinct(), "word", "w"), "before", "b").withColumn("suffix", F.substring("word", -2, 2)))
+    uses, done = F.when(F.col("w") == number, F.lit(digit_uses)).otherwise(F.col("w_uses")), F.when(F.col("w") == number, F.lit(digit_ends)).otherwise(F.col("w_ends"))
+    plain = at.where((F.col("w") != rare) & ((uses < KNOWN) | (done >= F.lit(LEAST_END) * uses))).select("before", "word")
+    odd = at.where((F.col("w") == rare) & (F.col("before") != "")).join(before, "b", "left_semi").join(suffix, "suffix", "left_semi").select("before", "word")
+    return plain.union(odd)
 
 
 def defective_pairs(records: DataFrame, key: str = "line_no", profiles: langid.Profiles | None = None, endings: Endings | None = None) -> DataFrame:
     """``key``, turn (0-based, of the answer) and defect; one row for each defective answer.
 
     A pair is an assistant turn and the turn before it, which must be of the user; other turns make no
-    pair. Null messages have none. Repeated rows give repeated results.
+    pair. Null messages have none. Repeated rows give repeated results. Without ``endings`` the ends of
+    sentences are counted over all assistant answers.
     """
     kinds = dict(records.dtypes)
-    models = records.sparkSession.sparkContext.broadcast((profiles or langid.fit(records, key), endings or fit(records, key)))
+    models = records.sparkSession.sparkContext.broadcast((profiles or langid.fit(records, key), endings))
 
     def run(batches):
         import pyarrow as pa
@@ -248,13 +323,25 @@ def defective_pairs(records: DataFrame, key: str = "line_no", profiles: langid.P
         p, e_ = models.value
         for b in batches:
             start, end, role, content = turns(b.column(1))
-            at, turn, kind = [], [], []
+            at, cols = [], [[], [], [], []]
             for i, (s, e) in enumerate(zip(start, end)):
                 for t in range(s + 1, e):
-                    if role[t] == "assistant" and role[t - 1] == "user" and (d := defect(content[t - 1], content[t], p, e_)):
-                        at.append(i)
-                        turn.append(t - s)
-                        kind.append(d)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int32())), pa.array(turn, pa.int32()), pa.array(kind, pa.string())], names=[key, "turn", "defect"])
-
-    return spread(records.where("size(messages) > 1").select(key, "messages")).mapInArrow(run, f"`{key}` {kinds[key]}, turn int, defect string")
+                    if role[t] == "assistant" and role[t - 1] == "user":
+                        kind, last = judge(content[t - 1], content[t], p)
+                        if e_ is not None:
+                            kind, last = kind if e_.may_end(last) else "truncated_answer", []
+                        if kind or last:
+                            at.append(i)
+                            for c, v in zip(cols, (t - s, kind, last[-2] if len(last) > 1 else "" if last else None, last[-1] if last else None)):
+                                c.append(v)
+            kinds_ = (pa.int32(), pa.string(), pa.string(), pa.string())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int32())), *(pa.array(c, k) for c, k in zip(cols, kinds_))], names=[key, "turn", "defect", "before", "word"])
+
+    found = spread(records.where("size(messages) > 1").select(key, "messages")).mapInArrow(run, f"`{key}` {kinds[key]}, turn int, defect string, before string, word string")
+    if endings is not None:
+        return found.select(key, "turn", "defect")
+    found = cut(found)
+    open_ = found.where("word is not null")
+    sound = cut(sound_ends(records, open_.select("before", "word")).withColumn("sound", F.lit(True)))
+    told = lookup_join(open_, sound, ["before", "word"], "left", salt_by=key).select(key, "turn", F.when(F.col("sound"), F.col("defect")).otherwise(F.lit("truncated_answer")).alias("defect"))
+    return found.where("word is null").select(key, "turn", "defect").union(told.where("defect is not null"))

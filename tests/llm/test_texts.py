@@ -97,6 +97,29 @@ def test_defects(spark, profiles):
     assert got == [(1, 1, "empty_answer")]
 
 
+def test_sentence_ends_count_all_answers(spark, profiles):
+    rng = random.Random(3)
+    vocabulary = [f"{a}{b}" for a in ("mot", "kal", "ser", "12") for b in range(60)]
+    weights = [1 / (1 + i) ** 1.2 for i in range(len(vocabulary))]
+    rows = []
+    for n in range(9000):  # more than any sample that was taken before
+        said = [rng.choices(vocabulary, weights, k=4) + (["zarbout"] if n % 1800 == 7 else []) + rng.choices(("fin", "rare" + str(n % 4000)), (6, 1)) for _ in range(2)]
+        answer = ". ".join(" ".join(s) for s in said) + rng.choice([".", " " + rng.choice(vocabulary), ". Encore zarbout", " " + str(n), ". Seul" + str(n)])
+        rows.append((n, "t", [("user", "xx yy zz"), ("assistant", answer)], "fr", "s"))
+    endings = pairs.Endings([forms.canonical(r[2][1][1]) for r in rows])
+    df = records(spark, rows)
+    told = lambda **x: sorted(map(tuple, pairs.defective_pairs(df, profiles=profiles, **x).collect()))
+    got = told()
+    assert got == told(endings=endings) and 1000 < len(got) < 8000
+    # ten uses and never an end
+    assert {n for n, _, *_ in rows if rows[n][2][1][1].endswith("Encore zarbout")} <= {n for n, _, d in got if d == "truncated_answer"}
+
+
+def test_scarce_word_is_no_sentence_end():
+    endings = pairs.Endings(["Ils mangent toujours des pommes. Elles aiment dormir."] * 50 + ["Voici presque toutes les pommes."] * 5)
+    assert not endings.may_end(["voici", "presque"]) and endings.may_end(["les", "pommes"])
+
+
 def test_leaks_against_brute_force(spark):
     rng = random.Random(4)
     items = [(i, " ".join(f"v{rng.randrange(60)}" for _ in range(40)), None if i % 3 else "") for i in range(12)] + [(50, "too short", None), (51, None, None)]
