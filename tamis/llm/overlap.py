@@ -16,9 +16,9 @@ from tamis.llm.labels import with_contributor
 from tamis.operators.joins import lookup_join
 from tamis.session import cut, spread
 
-#: Bands, rows of each, and the bands that a candidate pair must share at least. At a similarity of 0.8
-#: a pair shares fewer with a chance of 0.9 %, at 0.85 of 0.006 %; one at 0.45 shares two by 0.06 %.
-BANDS, ROWS, SHARED = 48, 9, 2
+#: Bands, rows of each, and the bands that a candidate pair must share at least.
+#: At a similarity of 0.8 a pair shares fewer with a chance of 0.14 %, at 0.85 of 0.0002 %; one at 0.45 shares two by 0.1 %.
+BANDS, ROWS, SHARED = 62, 9, 2
 #: Pairs whose 128-bit sketches agree in fewer bits are dropped; at 0.8 the mean is 115 and the deviation 3.4.
 SKETCH_BITS = 128
 LEAST_AGREEING = 96

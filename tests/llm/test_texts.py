@@ -53,6 +53,16 @@ def test_overlap_against_brute_force(spark):
     assert overlap.cross_split_pairs(records(spark, rows).limit(0)).count() == 0
 
 
+def test_overlap_at_the_border(spark):
+    rows = []
+    for n in range(2000):  # eight common words of ten, none shared with another pair
+        common = " ".join(f"c{n}x{i}" for i in range(8))
+        rows += [(2 * n, "train", [("user", f"{common} left{n}")], "en", "s"), (2 * n + 1, "test", [("user", f"{common} right{n}")], "en", "s")]
+    got = {(r["evaluation"], r["train"]) for r in overlap.cross_split_pairs(records(spark, rows)).collect()}
+    assert got <= {(2 * n + 1, 2 * n) for n in range(2000)}
+    assert len(got) >= 1994  # 0.14 % are missed on average
+
+
 FR = ["Le chat de ma voisine mange une souris dans le jardin de la maison", "Je voudrais acheter du pain et des fruits pour le repas de ce soir", "Notre équipe prépare le rapport avec la directrice demain matin"]
 EN = ["The neighbour bought a bicycle near the station and left for the market", "I would like to know when the meeting with the teacher will start", "Our team prepared the report with the manager yesterday morning"]
 AZ = ["el-7anouti sakker el-7anout w mcha l dar m3a khouya elbera7", "chkoun jeb el-khobz mta3 el-3arssa ba7dha el-sou9 el-youm", "3lech el-karhba mta3 jarna mkassra w mawjouda fi el-zan9a"]
