@@ -165,8 +165,8 @@ class Index:
             b += 1
         if b - a >= w:
             return 0
-        # k edits leave k + 1 untouched stretches, the longest of which has its share of the words at least
-        if not k or (b - a) * (k + 1) < w - k:
+        # the hit may lie in the shorter of the untouched stretches, so its length rules nothing out
+        if not k:
             return None
         best = None
         for start in range(max(0, b - w), min(a, len(text) - w) + 1):

@@ -170,6 +170,16 @@ def test_edited_passage_is_found(spark):
     assert [tuple(r) for r in leakage.find_leaks(d, i).collect()] == [(1, 9, 1)]
 
 
+def test_every_edit_of_every_window_is_found():
+    index = leakage.Index([(9, [f"u{i}" for i in range(35)])])
+    for start in range(21):
+        w = list(range(start + 1, start + 16))
+        for at in range(15):
+            for edited in (w[:at] + [0] + w[at + 1 :], w[:at] + w[at + 1 :], w[:at] + [0] + w[at:]):
+                found = index.search([[0, 0, *edited, 0, 0]])
+                assert [x[:2] for x in found] == [(0, 9)] and found[0][2] <= 1, (start, at, edited)
+
+
 def levenshtein_ends(p, t):
     row = [0] * (len(t) + 1)
     for i, x in enumerate(p, 1):
