@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,10 +43,10 @@ DIGIT_WORDS = {
 class Traced:
     """A rewritten text and, for each of its characters, the span of the source it stands for."""
 
-    __slots__ = ("source", "text", "start", "end")
+    __slots__ = ("source", "text", "start", "end", "runs")
 
     def __init__(self, source: str):
-        self.source, self.text, self.start, self.end = source, source, None, None
+        self.source, self.text, self.start, self.end, self.runs = source, source, None, None, None
 
     def _own(self):
         if self.start is None:
@@ -117,7 +118,6 @@ _ADDRESS = re.compile(
     rf"|\d{{1,4}}[ab]?,?[ ]+(?:[A-Z][\w'’-]*[ ]+){{1,4}}(?:{_alt(STREETS_LAST)}),?[ ]+(?:\d{{4}}[ ]+)?{_TOWN})",
     re.I,
 )
-_STREET_HINT = re.compile(rf"(?<!\w)(?:{_alt(STREETS_FIRST + STREETS_LAST)})(?!\w)", re.I)
 _LETTERS = r"[^\W\d_](?:[^\W\d_]|[ً-ْٰ'’-])*"
 _TOKEN = re.compile(_LETTERS)
 _NOT_PHONE = re.compile(rf"(?:{_alt(OTHER_NUMBER_CUES)})[^\w\n]{{0,4}}(?:(?:n°|no|num|number|numéro|عدد|رقم)[^\w\n]{{0,3}})?$", re.I)
@@ -128,25 +128,64 @@ _PARTED = re.compile(r"[ ]+[|/][ ]")
 
 #: What must be there for a disguise, a number or a street; looked for before the dearer patterns.
 _AT_HINT = re.compile(r"@|[\[({<][ ]*(?:at|aro|arro|chez|آت|ات)[^\n]{0,9}[\])}>]|[ ](?:dot|point)[ ]", re.I)
-_EDGES = ".,;:!?؟،؛()[]{}«»\"'"
 _DIGITS = re.compile(r"\d[\d .)-]{4,}\d")
-_DIGIT_PIECES = frozenset(DIGIT_WORDS)
-_STREET_PIECES = frozenset(x + c for x in STREETS_FIRST + STREETS_LAST for c in ("", ",", "،", "."))
+_RUN, _ALPHA = re.compile(r"\w+"), re.compile(r"[^\W\d_]+")
+#: Spelled digits in a number that stand between two others.
+INNER_DIGITS = 4
 
 
-def traced(text: str, pieces: set[str] | None = None) -> Traced:
-    """The text after all transducers; ``pieces`` are its pieces between white space, in lower case."""
+def _low(text: str) -> str:
+    """Lower case in which a letter is what patterns that ignore case take it for."""
+    return text.casefold().replace("i̇", "i")
+
+
+class _Runs(dict):
+    """Runs of letters and digits of a piece between white space, and the runs of letters in them; remembered up to a bound."""
+
+    def __missing__(self, piece: str) -> tuple[str, ...]:
+        if len(self) >= 400_000:
+            self.clear()
+        found = _RUN.findall(piece)
+        w = self[piece] = tuple(found) if all(map(str.isalpha, found)) else (*found, *_ALPHA.findall(piece))
+        return w
+
+
+_runs = _Runs()
+
+
+def runs(text: str) -> set[str]:
+    """The runs of letters and digits, and of letters, of a text, in lower case.
+
+    A street word, a spelled digit between two others and the first letters of a name are such a run wherever
+    the patterns find one, whatever mark-up stands around; a mark inside a word parts it, here as there.
+    """
+    return set().union(*map(_runs.__getitem__, set(_low(text).split())))
+
+
+@lru_cache(4)
+def first_letters(keys: frozenset) -> frozenset:
+    """The first run of letters of every name, which is in the ``runs`` of each text with the name."""
+    return frozenset(m.group() for k in keys if (m := _ALPHA.search(_low(k))))
+
+
+_DIGIT_RUNS = frozenset(_RUN.match(_low(x)).group() for x in DIGIT_WORDS)
+_STREET_RUNS = frozenset(_RUN.match(_low(x).translate(LOOKALIKE)).group() for x in STREETS_FIRST + STREETS_LAST)
+
+
+def traced(text: str) -> Traced:
+    """The text after all transducers."""
     t = Traced(text)
     t.characters()
-    if pieces is None or t.text is not text:
-        pieces = set(_chunks(t.text))
     if _AT_HINT.search(t.text):
         t.rewrite(_AT, lambda m: "@")
         if "@" in t.text:
             t.rewrite(_DOT, lambda m: ".")
             t.rewrite(_DOT_WORD, lambda m: m.group(1) + re.sub(r"[ ]+(?:dot|point)[ ]+", ".", m.group(2), flags=re.I))
-    if len(pieces & _DIGIT_PIECES) > 1:
-        t.rewrite(_SPELLED, lambda m: "".join(DIGIT_WORDS[w.casefold()] for w in _DIGIT_WORD.findall(m.group())))
+    t.runs = runs(before := t.text)
+    if not _DIGIT_RUNS.isdisjoint(t.runs) and sum(map(_DIGIT_RUNS.__contains__, _RUN.findall(_low(t.text)))) >= INNER_DIGITS:
+        t.rewrite(_SPELLED, lambda m: "".join(DIGIT_WORDS[_low(w)] for w in _DIGIT_WORD.findall(m.group())))
+        if t.text is not before:
+            t.runs = runs(t.text)
     return t
 
 
@@ -190,15 +229,11 @@ def detect(text: str | None, given: frozenset = frozenset(), family: frozenset =
     """Spans in ``text`` as (start, end, kind), in order and without overlap; none for null and empty texts."""
     if not text:
         return []
-    pieces = set(_chunks(text))
-    t = traced(text, pieces)
-    s = t.text
-    if s is not text:
-        pieces = set(_chunks(s))
+    s = (t := traced(text)).text
     found: list[tuple[int, int, str]] = []
     if "@" in s:
         found += [(m.start(), m.end(), "email") for m in _EMAIL.finditer(s)]
-    if not _STREET_PIECES.isdisjoint(pieces) and _STREET_HINT.search(s):
+    if not _STREET_RUNS.isdisjoint(t.runs):
         found += [(m.start(), m.end(), "address") for m in _ADDRESS.finditer(s)]
     taken = list(found)
 
@@ -226,7 +261,7 @@ def detect(text: str | None, given: frozenset = frozenset(), family: frozenset =
                 if not (_PHONE.search(left) or field or grouped):
                     continue
             taken.append((a, b, "phone"))
-    if given and family and not given.isdisjoint(pieces | {x.strip(_EDGES) for x in pieces}):
+    if given and family and not first_letters(given).isdisjoint(t.runs):
         taken += [(a, b, "name") for a, b in names(s, given, family) if free(a, b)]
     out = [(*t.span(a, b), k) for a, b, k in taken]
     return sorted(out)
@@ -243,7 +278,7 @@ def placeholders(text: str, spans) -> str:
 
 
 def _chunks(text: str) -> list[str]:
-    """Pieces between white space and mark-up, for a quick look whether a name may be there."""
+    """Pieces between white space and mark-up: the uses of words that stand alone, those in addresses of mail apart."""
     return text.replace(">", "> ").replace("<", " <").casefold().split()
 
 
@@ -261,7 +296,7 @@ def learn(docs: DataFrame, seeds: frozenset, forward: bool, text_col: str = "tex
         import pyarrow as pa
 
         names_ = shared.value
-        first_words = frozenset(x.split()[0] for x in names_) | frozenset(x.split()[-1] for x in names_)
+        first_words = first_letters(frozenset(y for x in names_ for y in (x.split()[0], x.split()[-1])))
         uses, beside, with_seed = Counter(), Counter(), Counter()
 
         def flush():
@@ -274,12 +309,11 @@ def learn(docs: DataFrame, seeds: frozenset, forward: bool, text_col: str = "tex
 
         for b in batches:
             for text in b.column(0).to_pylist():
-                pieces = _chunks(text)
-                uses.update(pieces)
-                if first_words.isdisjoint(pieces):
-                    continue
                 t = Traced(text)
                 t.characters()
+                uses.update(_chunks(text))
+                if first_words.isdisjoint(runs(t.text)):
+                    continue
                 toks = name_tokens(t.text)
                 i = 0
                 while i < len(toks):

@@ -215,3 +215,24 @@ def test_personal_information(spark):
     red = {r["redacted"] for r in pii.find_pii(docs, names, redact=True).collect()}
     assert red >= {None, "", "[EMAIL]", "Signed, [NAME]. Hier, [NAME] a écrit."}
     assert pii.find_pii(docs.limit(0), names.limit(0)).count() == 0
+
+
+def test_hints_let_through_what_patterns_take():
+    given, family = frozenset({"slim"}), frozenset({"borganine"})
+    kinds = lambda text: [(text[a:b], k) for a, b, k in pii.detect(text, given, family)]
+    for sep in (" ", ", ", "-", ".", " - "):
+        for said in (["five", "two", "three", "four", "six", "seven", "eight", "nine"], ["two"] * 8, ["خمسة", "ستّة", "ثلاثة", "أربعة", "ستّة", "سبعة", "ثمانية", "تسعة"]):
+            number = sep.join(said)
+            assert kinds(f"Tel: {number} !") == [(number, "phone")], number
+    for before in ("(", "«", "**", ":", "_ ", "[", "x/"):
+        for street in ("rue du Puits n° 4, 5952 Sfax", "شارع الحرية عدد 7, صفاقس"):
+            assert kinds(f"{before}{street})") == [(street, "address")], before + street
+    assert kinds("12, zan9et el-bhar, Sfax") == [("12, zan9et el-bhar, Sfax", "address")]
+    for text in ("**Slim Borganine**", "Nom:Slim Borganine", "_Slim Borganine_", "1.Slim Borganine/x", "`Slim Borganine`", "#Slim Borganine"):
+        assert kinds(text) == [("Slim Borganine", "name")], text
+
+
+def test_names_are_learned_inside_markup(spark):
+    docs = spark.createDataFrame([(1, "**Slim Borganine** et **Rim Borganine**"), (2, "Nom:Slim Borganine")], "doc_id long, text string")
+    names = spark.createDataFrame([("Slim", "latin"), ("Rim", "latin")], "name string, script string")
+    assert {(r["doc_id"], r["found"]) for r in pii.find_pii(docs, names).collect()} == {(1, "Slim Borganine"), (1, "Rim Borganine"), (2, "Slim Borganine")}
