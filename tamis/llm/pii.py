@@ -20,7 +20,7 @@ from tamis.session import cut, spread
 KINDS = ("email", "phone", "id_number", "address", "name")
 #: Least distinct partners and least share of uses beside a partner for a word to count as a name.
 NAME_PARTNERS, NAME_SHARE = 2, 0.5
-#: Names a lexicon may have; when there are more, the least number of partners rises until it fits.
+#: Names a lexicon may have, as it is broadcast; more are an error.
 MAX_NAMES = 300_000
 
 # Cues, street words and towns.
@@ -282,6 +282,14 @@ def _chunks(text: str) -> list[str]:
     return text.replace(">", "> ").replace("<", " <").casefold().split()
 
 
+def bounded(names_: DataFrame) -> frozenset:
+    """The names of a table of one column; an error if there are more than ``MAX_NAMES``, none is left out."""
+    rows = names_.limit(MAX_NAMES + 1).collect()
+    if len(rows) > MAX_NAMES:
+        raise ValueError(f"more than {MAX_NAMES} names for one lexicon")
+    return frozenset(r[0] for r in rows)
+
+
 def learn(docs: DataFrame, seeds: frozenset, forward: bool, text_col: str = "text") -> frozenset:
     """Words that stand beside the seeds: behind them (``forward``), or before them.
 
@@ -343,16 +351,13 @@ def learn(docs: DataFrame, seeds: frozenset, forward: bool, text_col: str = "tex
     pairs = docs.select(text_col).where(f"`{text_col}` is not null and `{text_col}` <> ''").mapInArrow(run, "word string, seed string, uses long, beside long")
     pairs = pairs.groupBy("word", "seed").agg(F.sum("uses").alias("uses"), F.sum("beside").alias("beside"))
     per = pairs.groupBy("word").agg(F.sum(F.when(F.col("seed").isNull(), F.col("uses"))).alias("uses"), F.sum(F.when(F.col("seed").isNull(), F.col("beside"))).alias("beside"), F.count("seed").alias("partners"))
-    good = cut(per.where((F.col("partners") >= NAME_PARTNERS) & (F.col("beside") >= F.lit(NAME_SHARE) * F.col("uses"))).select("word", "partners"))
-    least = NAME_PARTNERS
-    while good.where(F.col("partners") >= least).count() > MAX_NAMES:
-        least *= 2
-    return frozenset(r["word"] for r in good.where(F.col("partners") >= least).collect())
+    good = cut(per.where((F.col("partners") >= NAME_PARTNERS) & (F.col("beside") >= F.lit(NAME_SHARE) * F.col("uses"))).select("word"))
+    return bounded(good)
 
 
 def lexicon(docs: DataFrame, given_names: DataFrame, text_col: str = "text") -> tuple[frozenset, frozenset]:
     """Given and family names: families stand behind listed given names, further given names before families."""
-    listed = frozenset(unicodedata.normalize("NFC", r["name"]).casefold() for r in given_names.where("name is not null and name <> ''").select("name").distinct().limit(MAX_NAMES).collect())
+    listed = frozenset(unicodedata.normalize("NFC", x).casefold() for x in bounded(given_names.where("name is not null and name <> ''").select("name").distinct()))
     if not listed:
         return listed, frozenset()
     family = learn(docs, listed, True, text_col) - listed

@@ -236,3 +236,12 @@ def test_names_are_learned_inside_markup(spark):
     docs = spark.createDataFrame([(1, "**Slim Borganine** et **Rim Borganine**"), (2, "Nom:Slim Borganine")], "doc_id long, text string")
     names = spark.createDataFrame([("Slim", "latin"), ("Rim", "latin")], "name string, script string")
     assert {(r["doc_id"], r["found"]) for r in pii.find_pii(docs, names).collect()} == {(1, "Slim Borganine"), (1, "Rim Borganine"), (2, "Slim Borganine")}
+
+
+def test_too_many_names_are_an_error(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "Slim Borganine, Rim Borganine, Slim Khaledi, Rim Khaledi, Slim Mzoughi, Rim Mzoughi")], "doc_id long, text string")
+    names = spark.createDataFrame([("Slim", "latin"), ("Rim", "latin")], "name string, script string")
+    for most in (2, 1):  # the families are too many, then the listed names too
+        monkeypatch.setattr(pii, "MAX_NAMES", most)
+        with pytest.raises(ValueError):
+            pii.lexicon(docs, names)
