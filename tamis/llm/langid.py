@@ -148,14 +148,14 @@ def script_runs(sentence: str) -> list[str]:
     return [" ".join(x) for x in out]
 
 
-def sentences(text: str | None) -> list[str]:
-    """Sentences in lower case, look-alike characters resolved; pieces of one or two words only where there is nothing longer."""
+def sentences(text: str | None, every: bool = False) -> list[str]:
+    """Sentences in lower case, look-alike characters resolved; pieces of one or two words only where there is nothing longer, or with ``every``."""
     if not text:
         return []
     pieces = [s for s in map(str.strip, _STOP.split(canonical(text).lower())) if s]
     pieces = list(chain.from_iterable(map(script_runs, pieces)))
-    long = [s for s in pieces if s.count(" ") >= LEAST_WORDS - 2]
-    return long or [s for s in pieces if _ARABIC.search(s) or _LATIN.search(s)][:1]
+    long = [] if every else [s for s in pieces if s.count(" ") >= LEAST_WORDS - 2]
+    return long or [s for s in pieces if _ARABIC.search(s) or _LATIN.search(s)]
 
 
 def text_languages(texts, profiles: Profiles) -> dict[str, tuple[int, float]]:
@@ -240,7 +240,7 @@ def record_languages(records: DataFrame, profiles: Profiles, key: str = "line_no
 
 
 def segments(records: DataFrame, profiles: Profiles, key: str = "line_no") -> DataFrame:
-    """One row for each sentence of the user turns: ``key``, turn, segment (both from 0), lang, confidence, text."""
+    """One row for each sentence of the user turns, short ones too: ``key``, turn, segment (both from 0), lang, confidence, text."""
     kinds = dict(records.dtypes)
     shared = records.sparkSession.sparkContext.broadcast(profiles)
 
@@ -254,7 +254,7 @@ def segments(records: DataFrame, profiles: Profiles, key: str = "line_no") -> Da
             for i, (s, e) in enumerate(zip(start, end)):
                 for t in range(s, e):
                     if role[t] == "user":
-                        for k, text in enumerate(sentences(content[t])):
+                        for k, text in enumerate(sentences(content[t], every=True)):
                             at.append(i)
                             for c, v in zip(cols, (t - s, k, *p.classify(text), text)):
                                 c.append(v)

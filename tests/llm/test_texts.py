@@ -89,6 +89,13 @@ def test_relabelled(spark, profiles):
     assert langid.relabelled(records(spark, rows).limit(0), profiles).count() == 0
 
 
+def test_short_sentences(spark, profiles):
+    assert "ar" in langid.text_languages(["Bonjour madame. شكرا ليك."], profiles) and len(langid.text_languages(["Bonjour madame. شكرا ليك."], profiles)) == 2
+    rows = [(1, "t", [("user", FR[0] + ". Oui madame. 12. شكرا."), ("assistant", "Non.")], "fr", "s")]
+    got = sorted((r["turn"], r["segment"], r["text"]) for r in langid.segments(records(spark, rows), profiles).collect())
+    assert got == [(0, 0, FR[0].lower()), (0, 1, "oui madame"), (0, 2, "شكرا")]
+
+
 def test_defects(spark, profiles):
     endings = pairs.Endings([f"{x}. {y}." for x in FR + EN for y in FR + EN] * 3)
     d = lambda q, a: pairs.defect(q, a, profiles, endings)
