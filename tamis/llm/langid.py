@@ -23,8 +23,8 @@ from tamis.llm.labels import language_label
 from tamis.session import spread
 
 LANGUAGES = ("ar", "arabizi", "fr", "en")
-#: Labelled records for each language in the sample that profiles are fitted on, and characters read of each.
-SAMPLE, SAMPLE_CHARS = 400, 1200
+#: Labelled records for each language in the sample that profiles are fitted on, each read whole.
+SAMPLE = 400
 #: Share of rows that a language needs for a full sample.
 LEAST_SHARE = 0.02
 #: N-gram lengths, ranks of a profile, and ranks of a sentence.
@@ -190,7 +190,7 @@ def fit(records: DataFrame, key: str = "line_no", sample: int = SAMPLE) -> Profi
     """
     label = language_label(F.col("language"))
     turns_ = F.filter("messages", lambda m: m["role"].isin("user", "assistant"))
-    text = F.substring(F.array_join(F.transform(turns_, lambda m: F.coalesce(m["content"], F.lit(""))), "\n"), 1, SAMPLE_CHARS)
+    text = F.array_join(F.transform(turns_, lambda m: F.coalesce(m["content"], F.lit(""))), "\n")
     part = hash_share(records.select(key, "language", "messages"), key, 17, sample / LEAST_SHARE)
     some = part.select(label.alias("label"), "__h", text.alias("text")).where(F.col("label").isin(*LANGUAGES) & (F.length("text") > 20))
     ranked = some.withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy("__h", "text"))).where(F.col("r") <= sample)

@@ -89,6 +89,12 @@ def test_relabelled(spark, profiles):
     assert langid.relabelled(records(spark, rows).limit(0), profiles).count() == 0
 
 
+def test_profiles_read_records_whole(spark):
+    rows = [(n, "t", [("user", (FR[0] + ". ") * 30), ("assistant", " ".join(["zwqk zwqk zwqk zwqk."] * 200))], "fr", "s") for n in range(3)]
+    ranked = langid.fit(records(spark, rows)).ranked["fr"]
+    assert langid.gram_ids("zwqk")[1] in ranked and set(langid.gram_ids("zwqk").tolist()) <= set(ranked.tolist())
+
+
 def test_short_sentences(spark, profiles):
     assert "ar" in langid.text_languages(["Bonjour madame. شكرا ليك."], profiles) and len(langid.text_languages(["Bonjour madame. شكرا ليك."], profiles)) == 2
     rows = [(1, "t", [("user", FR[0] + ". Oui madame. 12. شكرا."), ("assistant", "Non.")], "fr", "s")]
