@@ -9,18 +9,21 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from functools import lru_cache
+from functools import lru_cache, reduce
+from itertools import repeat
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamis.llm.forms import FARSI_YEH, JOINER, LOOKALIKE
+from tamis.operators.joins import lookup_join
 from tamis.session import cut, spread
 
 KINDS = ("email", "phone", "id_number", "address", "name")
 #: Least distinct partners and least share of uses beside a partner for a word to count as a name.
 NAME_PARTNERS, NAME_SHARE = 2, 0.5
-#: Names a lexicon may have, as it is broadcast; more are an error.
+#: Names up to which a lexicon is broadcast; of a larger one each document gets by a join those that stand in it.
 MAX_NAMES = 300_000
 
 # Cues, street words and towns.
@@ -43,10 +46,10 @@ DIGIT_WORDS = {
 class Traced:
     """A rewritten text and, for each of its characters, the span of the source it stands for."""
 
-    __slots__ = ("source", "text", "start", "end", "runs")
+    __slots__ = ("source", "text", "start", "end")
 
     def __init__(self, source: str):
-        self.source, self.text, self.start, self.end, self.runs = source, source, None, None, None
+        self.source, self.text, self.start, self.end = source, source, None, None
 
     def _own(self):
         if self.start is None:
@@ -58,24 +61,34 @@ class Traced:
         return (a, b) if self.start is None else (self.start[a], self.end[b - 1])
 
     def characters(self) -> None:
-        """Transducer of look-alikes, forms, digits, invisible characters and decomposed letters."""
-        if not _ODD.search(self.text):
-            return
+        """Transducer of look-alikes, forms, digits, invisible characters and decomposed letters; what lies between them is copied."""
+        text, at = self.text, 0
         out, start, end = [], [], []
-        for i, c in enumerate(self.text):
-            if unicodedata.combining(c) and out and len(x := unicodedata.normalize("NFC", out[-1] + c)) == 1:
-                out[-1], end[-1] = x, i + 1
-                continue
-            to = _CHARS.get(ord(c), c)
-            if to is None:
-                continue
-            if to is c and _WIDE.match(c):
-                to = unicodedata.normalize("NFKC", c)
-            for x in to:
-                out.append(x)
-                start.append(i)
-                end.append(i + 1)
-        self.text, self.start, self.end = "".join(out), start, end
+        for m in _ODD.finditer(text):
+            b = m.end()
+            a = max(at, m.start() - 1)  # a mark may compose with the character before it
+            out.append(text[at:a])
+            start.extend(range(at, a))
+            end.extend(range(at + 1, a + 1))
+            at = b
+            for i in range(a, b):
+                c = text[i]
+                if i > a and unicodedata.combining(c) and len(end) and len(x := unicodedata.normalize("NFC", out[-1] + c)) == 1:
+                    out[-1], end[-1] = x, i + 1
+                    continue
+                to = _CHARS.get(ord(c), c)
+                if to is None:
+                    continue
+                if to is c and _WIDE.match(c):
+                    to = unicodedata.normalize("NFKC", c)
+                out.extend(to)
+                start.extend([i] * len(to))
+                end.extend([i + 1] * len(to))
+        if at:
+            out.append(text[at:])
+            start.extend(range(at, len(text)))
+            end.extend(range(at + 1, len(text) + 1))
+            self.text, self.start, self.end = "".join(out), start, end
 
     def rewrite(self, pattern: re.Pattern, to) -> None:
         """Transducer of one pattern; ``to`` gives the replacement of a match, all of whose characters stand for the whole match."""
@@ -97,7 +110,8 @@ class Traced:
 
 _WIDE = re.compile("[ﭐ-﷿ﹰ-ﻼ！-～]")
 _CHARS = LOOKALIKE | {ord(FARSI_YEH): "ي", ord(JOINER): None, ord("ـ"): None}
-_ODD = re.compile("[" + re.escape("".join(map(chr, _CHARS))) + "ﭐ-﷿ﹰ-ﻼ！-～̀-̧ٓ-ٕ]")
+_ODD_CHARS = re.escape("".join(map(chr, _CHARS))) + "ﭐ-﷿ﹰ-ﻼ！-～\u0300-\u036f\u0653-\u0655"
+_ODD = re.compile(f"[{_ODD_CHARS}]+")
 _alt = lambda xs: "|".join(re.escape(x) for x in sorted(set(xs), key=lambda x: (-len(x), x)))
 _AT = re.compile(r"[ ]*[\[({<][ ]*(?:at|arobase|arrobase|chez|آت|ات)[ ]*[\])}>][ ]*|(?<=\w)[ ]+@[ ]+(?=\w)|(?<=\w)@[ ]+(?=[\w-]+\.\w)|(?<=\w)[ ]+(?:at|arobase)[ ]+(?=[\w-]+(?:[ ]+(?:dot|point)[ ]+[\w-]+)+)", re.I)
 _DOT = re.compile(r"[ ]*[\[({<][ ]*(?:dot|point|نقطة)[ ]*[\])}>][ ]*", re.I)
@@ -110,28 +124,41 @@ _FOREIGN = re.compile(r"(?<![\w.,/-])(?:\(\s?\+\d{1,3}\s?\)|\+\d{1,3}|00\d{2,3})
 #: National notations that need a cue: a trunk zero, or an area code in brackets.
 _TRUNK = re.compile(r"(?<![\w.,/-])(?:0\d(?:[ .-]?\d{2}){4}|0\d{2,4}[ .-]?\d{3}[ .-]?\d{3,4}|\(\d{3}\)[ ]?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4})(?!\w|[.,/-]\d)")
 _DATE = re.compile(r"(?:19|20)\d\d[-. ](?:0\d|1[0-2])[-. ](?:[0-2]\d|3[01])$|(?:[0-2]\d|3[01])[-. ](?:0\d|1[0-2])[-. ](?:19|20)\d\d$")
-_ID = re.compile(rf"(?:(?<![^\W\d_])(?:{_alt(ID_CUES)})(?![^\W\d_]))[^\n\d]{{0,24}}?(?<![A-Za-z0-9])(?P<id>[A-Z]{{1,2}}[ -]?\d{{5,8}}|\d{{8}}-\d{{2}}|\d{{2}}[ .-]\d{{3}}[ .-]\d{{3}}|\d{{7,12}})(?![\w]|[-.]\d)", re.I)
+#: The rest of a clause; digits stand inside words only.
+_NO_NUMBER = r"(?:[^\n\d.!?؟;|]|(?<=[^\W\d_])\d|\d(?=[^\W\d_]))*"
+#: Identity numbers; small letters stand before the digits only without a gap, as words do otherwise.
+_ID = re.compile(r"(?<![A-Za-z0-9])(?:[A-Z]{1,2}[ -]?\d{5,8}|[a-z]{1,2}\d{5,8}|\d{8}-\d{2}|\d{2}[ .-]\d{3}[ .-]\d{3}|\d{7,12})(?![\w]|[-.]\d)")
+#: A cue stands close before a number, or anywhere before it in the same clause, without another number between.
+_ID_CUE = re.compile(rf"(?<![^\W\d_])(?:{_alt(ID_CUES)})(?![^\W\d_])(?:[^\n\d]{{0,24}}|{_NO_NUMBER})$", re.I)
 _TOWN = rf"(?:{_alt(TOWNS)})(?!\w)"
+_POSTAL, _ENDS = r"(?:\d{4,5}[ ]+)", r"(?=[ ]*(?:$|[\n.,،;:!?؟|/<>()\[\]«»\"*_`]))"
+#: A town that no table has: capitalised or Arabic words behind a comma or a postal code, and then the end of the clause.
+_SOME_TOWN = rf"(?:[,،][ ]+{_POSTAL}?|[ ]{_POSTAL})(?-i:[A-ZÀ-ÖØ-Þ][\w'’-]*(?:[ -](?-i:[A-ZÀ-ÖØ-Þ])[\w'’-]*)*|[ء-ي]+(?:[ ][ء-ي]+)?){_ENDS}"
+_STREET_NAME = r"(?:(?!\d{1,3}\b)[^\n,،|/<>.;:!?؟])+?"
+_TO_TOWN = rf"(?:[,،]?[ ]+{_POSTAL}?{_TOWN}|{_SOME_TOWN})"
+_INITIALS = "".join(sorted({x[0] for x in STREETS_FIRST}))
 _ADDRESS = re.compile(
-    rf"(?<![\w-])(?:\d{{1,4}}(?:[ ]?(?:bis|ter|مكرر))?,?[ ]+(?:{_alt(STREETS_FIRST)})[ ]+(?:(?!\d{{1,3}}\b)[^\n,،|/<>.;:!?؟]){{1,45}}?[,،]?[ ]+(?:\d{{4}}[ ]+)?{_TOWN}"
-    rf"|(?:{_alt(STREETS_FIRST)})[ ]+[^\n,،|/<>.;:!?؟]{{1,45}}?[ ,،]+(?:عدد|رقم|n°|no|num|numéro|3dad|number|3add)[ ]*\d{{1,4}}[ ]*[,،]?[ ]+(?:\d{{4}}[ ]+)?{_TOWN}"
-    rf"|\d{{1,4}}[ab]?,?[ ]+(?:[A-Z][\w'’-]*[ ]+){{1,4}}(?:{_alt(STREETS_LAST)}),?[ ]+(?:\d{{4}}[ ]+)?{_TOWN})",
+    rf"(?=[\d{_INITIALS}])(?<![\w-])(?:\d{{1,4}}(?:[ ]?(?:bis|ter|مكرر))?,?[ ]+(?:{_alt(STREETS_FIRST)})[ ]+{_STREET_NAME}{_TO_TOWN}"
+    rf"|(?:{_alt(STREETS_FIRST)})[ ]+[^\n,،|/<>.;:!?؟]+?[ ,،]+(?:عدد|رقم|n°|no|num|numéro|3dad|number|3add)[ ]*\d{{1,4}}[ ]*{_TO_TOWN}"
+    rf"|\d{{1,4}}[ab]?,?[ ]+(?:[A-Z][\w'’-]*[ ]+)+?(?:{_alt(STREETS_LAST)}){_TO_TOWN})",
     re.I,
 )
 _LETTERS = r"[^\W\d_](?:[^\W\d_]|[ً-ْٰ'’-])*"
 _TOKEN = re.compile(_LETTERS)
 _NOT_PHONE = re.compile(rf"(?:{_alt(OTHER_NUMBER_CUES)})[^\w\n]{{0,4}}(?:(?:n°|no|num|number|numéro|عدد|رقم)[^\w\n]{{0,3}})?$", re.I)
-_PHONE = re.compile(rf"(?<![^\W\d_])(?:{_alt(PHONE_CUES)})(?![^\W\d_])(?:[^\d\n]{{0,12}}|[^\n|/]{{0,3}}[ ](?:mte3i|mta3i|3la|est le|is)[ :]{{1,2}})$", re.I)
+_PHONE = re.compile(rf"(?<![^\W\d_])(?:{_alt(PHONE_CUES)})(?![^\W\d_])(?:[^\d\n]{{0,12}}|{_NO_NUMBER})$", re.I)
 _FIELD_START, _FIELD_END = re.compile(r"(?:^|[\n|/\[\]<>:])[ ]*$"), re.compile(r"[ ]*(?:$|[\n|/\[\]<])")
 _PARTED = re.compile(r"[ ]+[|/][ ]")
 
 
-#: What must be there for a disguise, a number or a street; looked for before the dearer patterns.
-_AT_HINT = re.compile(r"@|[\[({<][ ]*(?:at|aro|arro|chez|آت|ات)[^\n]{0,9}[\])}>]|[ ](?:dot|point)[ ]", re.I)
-_DIGITS = re.compile(r"\d[\d .)-]{4,}\d")
+#: What must be there for a disguise in brackets, and the stretches that hold every number; looked for before the dearer patterns.
+_BRACKET_AT = re.compile(r"[\[({<][ ]*(?:at|aro|arro|chez|آت|ات)", re.I)
+_STRETCH = re.compile(r"[\d.()+-][\d\s.()+-]{3,}\d")
 _RUN, _ALPHA = re.compile(r"\w+"), re.compile(r"[^\W\d_]+")
 #: Spelled digits in a number that stand between two others.
 INNER_DIGITS = 4
+#: What a piece of text may hold.
+DIGIT, STREET, GIVEN = 1, 2, 4
 
 
 def _low(text: str) -> str:
@@ -139,32 +166,37 @@ def _low(text: str) -> str:
     return text.casefold().replace("i̇", "i")
 
 
-class _Runs(dict):
-    """Runs of letters and digits of a piece between white space, and the runs of letters in them; remembered up to a bound."""
+class Looks(dict):
+    """What a piece between white space may hold (``DIGIT``, ``STREET``, ``GIVEN``), by its runs of letters and digits and of letters; remembered up to a bound.
 
-    def __missing__(self, piece: str) -> tuple[str, ...]:
+    A street word, a spelled digit between two others and the first letters of a name are such a run wherever
+    the patterns find one, whatever mark-up stands around; a mark inside a word parts it, here as there.
+    """
+
+    def __init__(self, names_: frozenset = frozenset()):
+        self.first = first_letters(names_)
+
+    def __missing__(self, piece: str) -> int:
         if len(self) >= 400_000:
             self.clear()
         found = _RUN.findall(piece)
-        w = self[piece] = tuple(found) if all(map(str.isalpha, found)) else (*found, *_ALPHA.findall(piece))
-        return w
-
+        if not all(map(str.isalpha, found)):
+            found += _ALPHA.findall(piece)
+        v = self[piece] = sum(bit for bit, known in ((DIGIT, _DIGIT_RUNS), (STREET, _STREET_RUNS), (GIVEN, self.first)) if not known.isdisjoint(found))
+        return v
 
-_runs = _Runs()
+    def of(self, pieces) -> int:
+        """All that pieces in lower case may hold."""
+        return reduce(or_, map(self.__getitem__, pieces), 0)
 
 
-def runs(text: str) -> set[str]:
-    """The runs of letters and digits, and of letters, of a text, in lower case.
+@lru_cache(8)
+def looks_for(names_: frozenset) -> Looks:
+    return Looks(names_)
 
-    A street word, a spelled digit between two others and the first letters of a name are such a run wherever
-    the patterns find one, whatever mark-up stands around; a mark inside a word parts it, here as there.
-    """
-    return set().union(*map(_runs.__getitem__, set(_low(text).split())))
 
-
-@lru_cache(4)
 def first_letters(keys: frozenset) -> frozenset:
-    """The first run of letters of every name, which is in the ``runs`` of each text with the name."""
+    """The first run of letters of every name, which is in the runs of each text with the name."""
     return frozenset(m.group() for k in keys if (m := _ALPHA.search(_low(k))))
 
 
@@ -172,21 +204,22 @@ _DIGIT_RUNS = frozenset(_RUN.match(_low(x)).group() for x in DIGIT_WORDS)
 _STREET_RUNS = frozenset(_RUN.match(_low(x).translate(LOOKALIKE)).group() for x in STREETS_FIRST + STREETS_LAST)
 
 
-def traced(text: str) -> Traced:
-    """The text after all transducers."""
+def traced(text: str, looks: Looks | None = None) -> tuple[Traced, int]:
+    """The text after all transducers, and what it may hold; without ``looks`` every pattern is tried."""
     t = Traced(text)
     t.characters()
-    if _AT_HINT.search(t.text):
+    low = _low(t.text)
+    if looks is None or "@" in low or " dot " in low or " point " in low or _BRACKET_AT.search(t.text):
+        before = t.text
         t.rewrite(_AT, lambda m: "@")
         if "@" in t.text:
             t.rewrite(_DOT, lambda m: ".")
             t.rewrite(_DOT_WORD, lambda m: m.group(1) + re.sub(r"[ ]+(?:dot|point)[ ]+", ".", m.group(2), flags=re.I))
-    t.runs = runs(before := t.text)
-    if not _DIGIT_RUNS.isdisjoint(t.runs) and sum(map(_DIGIT_RUNS.__contains__, _RUN.findall(_low(t.text)))) >= INNER_DIGITS:
+        low = low if t.text is before else _low(t.text)
+    held = DIGIT | STREET | GIVEN if looks is None else looks.of(set(low.split()))
+    if held & DIGIT and (looks is None or sum(map(_DIGIT_RUNS.__contains__, _RUN.findall(low))) >= INNER_DIGITS):
         t.rewrite(_SPELLED, lambda m: "".join(DIGIT_WORDS[_low(w)] for w in _DIGIT_WORD.findall(m.group())))
-        if t.text is not before:
-            t.runs = runs(t.text)
-    return t
+    return t, held
 
 
 def name_tokens(text: str):
@@ -225,35 +258,49 @@ def names(text: str, given: frozenset, family: frozenset):
         i += 1
 
 
-def detect(text: str | None, given: frozenset = frozenset(), family: frozenset = frozenset()):
-    """Spans in ``text`` as (start, end, kind), in order and without overlap; none for null and empty texts."""
+def _clause(s: str, a: int) -> str:
+    """What stands before a number: its clause, and 40 characters at least."""
+    return s[min(max(0, a - 40), max(s.rfind(x, 0, a) for x in "\n.!?؟;|") + 1) : a]
+
+
+def detect(text: str | None, given: frozenset = frozenset(), family: frozenset = frozenset(), quick: bool = True):
+    """Spans in ``text`` as (start, end, kind), in order and without overlap; none for null and empty texts.
+
+    ``quick`` looks for what must be there before a pattern is tried; without it the spans are the same.
+    """
     if not text:
         return []
-    s = (t := traced(text)).text
+    t, held = traced(text, looks_for(given) if quick else None)
+    s = t.text
     found: list[tuple[int, int, str]] = []
     if "@" in s:
         found += [(m.start(), m.end(), "email") for m in _EMAIL.finditer(s)]
-    if not _STREET_RUNS.isdisjoint(t.runs):
+    if held & STREET:
         found += [(m.start(), m.end(), "address") for m in _ADDRESS.finditer(s)]
     taken = list(found)
 
     def free(a, b):
         return all(b <= x or a >= y for x, y, _ in taken)
 
-    digits = bool(_DIGITS.search(s))
-    for m in _ID.finditer(s) if digits else ():
-        if free(*m.span("id")):
-            taken.append((*m.span("id"), "id_number"))
+    # a number lies in one stretch of digits and what parts them; letters may stand before, and two characters behind decide
+    places = [(max(0, m.start() - 3), min(len(s), m.end() + 2)) for m in _STRETCH.finditer(s)] if quick else [(0, len(s))]
+
+    def numbers(p):
+        return (m for a, b in places for m in p.finditer(s, a, b))
+
+    for m in numbers(_ID):
+        if free(*m.span()) and _ID_CUE.search(left := _clause(s, m.start())) and not _NOT_PHONE.search(left):
+            taken.append((*m.span(), "id_number"))
     for p, coded in ((_NUMBER, True), (_FOREIGN, True), (_TRUNK, False), (_NUMBER, False)):
-        for m in p.finditer(s) if digits else ():
+        for m in numbers(p):
             a, b = m.span()
             if not free(a, b):
                 continue
             code = p is _FOREIGN or (p is _NUMBER and m.group("cc"))
             if coded and not code:
                 continue
-            left = s[max(0, a - 40) : a]
             if not code:
+                left = _clause(s, a)
                 if _DATE.match(m.group()) or _NOT_PHONE.search(left):
                     continue
                 field = _FIELD_START.search(left) and _FIELD_END.match(s, b) or _PARTED.match(s, b)
@@ -261,7 +308,7 @@ def detect(text: str | None, given: frozenset = frozenset(), family: frozenset =
                 if not (_PHONE.search(left) or field or grouped):
                     continue
             taken.append((a, b, "phone"))
-    if given and family and not first_letters(given).isdisjoint(t.runs):
+    if given and family and held & GIVEN:
         taken += [(a, b, "name") for a, b in names(s, given, family) if free(a, b)]
     out = [(*t.span(a, b), k) for a, b, k in taken]
     return sorted(out)
@@ -282,45 +329,84 @@ def _chunks(text: str) -> list[str]:
     return text.replace(">", "> ").replace("<", " <").casefold().split()
 
 
-def bounded(names_: DataFrame) -> frozenset:
-    """The names of a table of one column; an error if there are more than ``MAX_NAMES``, none is left out."""
-    rows = names_.limit(MAX_NAMES + 1).collect()
-    if len(rows) > MAX_NAMES:
-        raise ValueError(f"more than {MAX_NAMES} names for one lexicon")
-    return frozenset(r[0] for r in rows)
+def _fold(name: str) -> str:
+    return unicodedata.normalize("NFC", name).casefold()
+
 
+def keys_of(text: str) -> set[str]:
+    """Every key under which a name in the text may stand in a lexicon: its words, and a particle with the word behind it."""
+    toks = name_tokens(text)
+    return {x[0] for x in toks} | {f"{a[0]} {b[0]}" for a, b in zip(toks, toks[1:]) if b[3] and a[0] in FAMILY_PARTICLES}
 
-def learn(docs: DataFrame, seeds: frozenset, forward: bool, text_col: str = "text") -> frozenset:
-    """Words that stand beside the seeds: behind them (``forward``), or before them.
 
-    Counts cover every document: for each word the uses, the uses beside a seed, and the distinct
-    seeds on the given side. A word is a name with ``NAME_PARTNERS`` seeds and ``NAME_SHARE`` of its uses beside one.
+def with_lexicons(docs: DataFrame, text_col: str, lexicons: list[DataFrame]):
+    """The documents and how to get the lexicons (one column ``word``, distinct) of a batch's rows: (table, function of batch and row).
+
+    Lexicons of up to ``MAX_NAMES`` names in all are broadcast. Beyond, the keys of each text meet the lexicons in a join,
+    and each document carries those names that stand in it; equal texts are looked up once.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(seeds)
+    many = range(len(lexicons))
+    every = lexicons[0].select("word", F.lit(0).alias("n"))
+    for n, x in enumerate(lexicons[1:], 1):
+        every = every.unionByName(x.select("word", F.lit(n).alias("n")))
+    rows = every.limit(MAX_NAMES + 1).collect()
+    if len(rows) <= MAX_NAMES:
+        shared = docs.sparkSession.sparkContext.broadcast(tuple(frozenset(r["word"] for r in rows if r["n"] == n) for n in many))
+        return docs, lambda batch: repeat(shared.value)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            at, words_ = [], []
+            for i, text in enumerate(b.column(2).to_pylist()):
+                t = Traced(text)
+                t.characters()
+                k = keys_of(t.text)
+                at += [i] * len(k)
+                words_ += k
+            yield pa.RecordBatch.from_arrays([*(b.column(c).take(pa.array(at, pa.int32())) for c in (0, 1)), pa.array(words_, pa.string())], names=["h1", "h2", "word"])
+
+    hashed = docs.withColumns({"h1": F.xxhash64(text_col), "h2": F.xxhash64(F.lit("text"), text_col)})
+    texts = hashed.where(F.coalesce(F.col(text_col), F.lit("")) != "").groupBy("h1", "h2").agg(F.first(text_col).alias("t"))
+    held = texts.select("h1", "h2", "t").mapInArrow(run, "h1 long, h2 long, word string").join(every, "word")
+    mine = held.groupBy("h1", "h2").agg(*[F.collect_set(F.when(F.col("n") == n, F.col("word"))).alias(f"__w{n}") for n in many])
+    joined = lookup_join(hashed, cut(mine), ["h1", "h2"], "left", salt_by=docs.columns[0]).select(*docs.columns, *[f"__w{n}" for n in many])
+    return joined, lambda batch: zip(*([frozenset(x or ()) for x in batch.column(batch.schema.get_field_index(f"__w{n}")).to_pylist()] for n in many))
+
+
+def beside(docs: DataFrame, seeds: DataFrame, forward: bool, count_words: bool, text_col: str = "text") -> DataFrame:
+    """word, seed, uses, beside over all documents: uses of words (with ``count_words`` of all that stand alone), uses beside a seed (both without seed), and those with a seed on the given side.
+
+    A family name with a particle is one word, counted here as it stands beside a seed only.
+    """
+    docs, lexicon_of = with_lexicons(docs.select(text_col), text_col, [seeds])
 
     def run(batches):
         from collections import Counter
 
         import pyarrow as pa
 
-        names_ = shared.value
-        first_words = first_letters(frozenset(y for x in names_ for y in (x.split()[0], x.split()[-1])))
-        uses, beside, with_seed = Counter(), Counter(), Counter()
+        uses, near, with_seed = Counter(), Counter(), Counter()
 
         def flush():
-            keys = list(uses.keys() | beside.keys() | {w for w, _ in with_seed})
-            rows = [(w, None, uses[w], beside[w]) for w in keys] + [(w, x, 0, n) for (w, x), n in with_seed.items()]
-            for c in (uses, beside, with_seed):
+            rows = [(w, None, uses[w], near[w]) for w in uses.keys() | near.keys()] + [(w, x, 0, n) for (w, x), n in with_seed.items()]
+            for c in (uses, near, with_seed):
                 c.clear()
             cols = list(zip(*rows)) if rows else [[], [], [], []]
-            return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64())], names=["word", "seed", "uses", "beside"])
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.string(), pa.int64(), pa.int64()))], names=["word", "seed", "uses", "beside"])
 
+        known = looks = None
         for b in batches:
-            for text in b.column(0).to_pylist():
+            for text, (names_,) in zip(b.column(0).to_pylist(), lexicon_of(b)):
+                if names_ is not known:
+                    known, looks = names_, Looks(frozenset(y for x in names_ for y in (x.split()[0], x.split()[-1])))
+                pieces = _chunks(text)
+                if count_words:
+                    uses.update(pieces)
                 t = Traced(text)
                 t.characters()
-                uses.update(_chunks(text))
-                if first_words.isdisjoint(runs(t.text)):
+                if not looks.of(pieces if t.text is text else set(_low(t.text).split())) & GIVEN:
                     continue
                 toks = name_tokens(t.text)
                 i = 0
@@ -329,7 +415,7 @@ def learn(docs: DataFrame, seeds: frozenset, forward: bool, text_col: str = "tex
                     if key in names_:
                         if j < len(toks) and toks[j][3]:
                             after, k = _unit_right(toks, j)
-                            beside[after] += 1
+                            near[after] += 1
                             if forward:
                                 with_seed[after, key] += 1
                             if k > j + 1:
@@ -340,7 +426,7 @@ def learn(docs: DataFrame, seeds: frozenset, forward: bool, text_col: str = "tex
                             if p and toks[p][3] and toks[p - 1][0] in FAMILY_PARTICLES:
                                 before = f"{toks[p - 1][0]} {before}"
                                 uses[before] += 1
-                            beside[before] += 1
+                            near[before] += 1
                             if not forward:
                                 with_seed[before, key] += 1
                     i = j
@@ -348,20 +434,40 @@ def learn(docs: DataFrame, seeds: frozenset, forward: bool, text_col: str = "tex
                 yield flush()
         yield flush()
 
-    pairs = docs.select(text_col).where(f"`{text_col}` is not null and `{text_col}` <> ''").mapInArrow(run, "word string, seed string, uses long, beside long")
-    pairs = pairs.groupBy("word", "seed").agg(F.sum("uses").alias("uses"), F.sum("beside").alias("beside"))
-    per = pairs.groupBy("word").agg(F.sum(F.when(F.col("seed").isNull(), F.col("uses"))).alias("uses"), F.sum(F.when(F.col("seed").isNull(), F.col("beside"))).alias("beside"), F.count("seed").alias("partners"))
-    good = cut(per.where((F.col("partners") >= NAME_PARTNERS) & (F.col("beside") >= F.lit(NAME_SHARE) * F.col("uses"))).select("word"))
-    return bounded(good)
+    some = docs.where(F.coalesce(F.col(text_col), F.lit("")) != "")
+    pairs = some.mapInArrow(run, "word string, seed string, uses long, beside long")
+    return cut(pairs.groupBy("word", "seed").agg(F.sum("uses").alias("uses"), F.sum("beside").alias("beside")))
+
+
+def learned(pairs: DataFrame, uses: DataFrame) -> DataFrame:
+    """word: those with ``NAME_PARTNERS`` seeds and ``NAME_SHARE`` of their uses (also those in the table ``uses``) beside one."""
+    per = pairs.groupBy("word").agg(F.count("seed").alias("partners"), F.sum(F.when(F.col("seed").isNull(), F.col("uses"))).alias("own"), F.sum(F.when(F.col("seed").isNull(), F.col("beside"))).alias("beside"))
+    some = per.where(F.col("partners") >= NAME_PARTNERS).join(uses, "word", "left")
+    return some.where(F.col("beside") >= F.lit(NAME_SHARE) * (F.coalesce("own", F.lit(0)) + F.coalesce("uses", F.lit(0)))).select("word")
 
 
-def lexicon(docs: DataFrame, given_names: DataFrame, text_col: str = "text") -> tuple[frozenset, frozenset]:
-    """Given and family names: families stand behind listed given names, further given names before families."""
-    listed = frozenset(unicodedata.normalize("NFC", x).casefold() for x in bounded(given_names.where("name is not null and name <> ''").select("name").distinct()))
-    if not listed:
-        return listed, frozenset()
-    family = learn(docs, listed, True, text_col) - listed
-    return listed | (learn(docs, family, False, text_col) - family if family else frozenset()), family
+def lexicon(docs: DataFrame, given_names: DataFrame, text_col: str = "text") -> list[DataFrame]:
+    """Given and family names (word): families stand behind listed given names, further given names before families.
+
+    The uses of all words are counted in the first look at the documents; the second counts only what stands beside a family.
+    """
+
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([_fold(x) for x in b.column(0).to_pylist()], pa.string())], names=["word"])
+
+    listed = cut(given_names.where("name is not null and name <> ''").select("name").mapInArrow(run, "word string").distinct())
+    if listed.isEmpty():
+        return [listed, listed]
+    first = beside(docs, listed, True, True, text_col)
+    uses = first.where("seed is null").select("word", "uses")
+    family = cut(learned(first, uses.limit(0)).join(listed, "word", "left_anti"))
+    if family.isEmpty():
+        return [listed, family]
+    further = learned(beside(docs, family, False, False, text_col), uses.where(~F.col("word").contains(" ")))
+    return [listed.unionByName(further.join(family, "word", "left_anti")).distinct(), family]
 
 
 def find_pii(docs: DataFrame, given_names: DataFrame, id_col: str = "doc_id", text_col: str = "text", redact: bool = False) -> DataFrame:
@@ -371,17 +477,15 @@ def find_pii(docs: DataFrame, given_names: DataFrame, id_col: str = "doc_id", te
     whole; repeated rows and finds come out as often as they stand; other columns are left out.
     """
     docs = spread(docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")))
-    given, family = lexicon(docs, given_names, "__text")
-    shared = docs.sparkSession.sparkContext.broadcast((given, family, frozenset(x.split()[-1] for x in family)))
+    docs, lexicons_of = with_lexicons(docs, "__text", lexicon(docs, given_names, "__text"))
     kind = dict(docs.dtypes)["__id"]
 
     def run(batches):
         import pyarrow as pa
 
-        g, f, last = shared.value
         for b in batches:
             at, kinds, texts = [], [], []
-            for i, text in enumerate(b.column(1).to_pylist()):
+            for i, (text, (g, f)) in enumerate(zip(b.column(1).to_pylist(), lexicons_of(b))):
                 spans = detect(text, g, f)
                 if redact:
                     texts.append(placeholders(text, spans) if text else text)
