@@ -143,8 +143,9 @@ _ADDRESS = re.compile(
     rf"|\d{{1,4}}[ab]?,?[ ]+(?:[A-Z][\w'’-]*[ ]+)+?(?:{_alt(STREETS_LAST)}){_TO_TOWN})",
     re.I,
 )
-_LETTERS = r"[^\W\d_](?:[^\W\d_]|[ً-ْٰ'’-])*"
-_TOKEN = re.compile(_LETTERS)
+#: Whole words; a hyphen or an apostrophe stands inside only.
+_TOKEN = re.compile(r"[^\W_]+(?:[ً-ْٰ]|['’-]+(?=[^\W_])|[^\W_])*")
+_HAS_DIGIT = re.compile(r"\d")
 _NOT_PHONE = re.compile(rf"(?:{_alt(OTHER_NUMBER_CUES)})[^\w\n]{{0,4}}(?:(?:n°|no|num|number|numéro|عدد|رقم)[^\w\n]{{0,3}})?$", re.I)
 _PHONE = re.compile(rf"(?<![^\W\d_])(?:{_alt(PHONE_CUES)})(?![^\W\d_])(?:[^\d\n]{{0,12}}|{_NO_NUMBER})$", re.I)
 _FIELD_START, _FIELD_END = re.compile(r"(?:^|[\n|/\[\]<>:])[ ]*$"), re.compile(r"[ ]*(?:$|[\n|/\[\]<])")
@@ -223,9 +224,11 @@ def traced(text: str, looks: Looks | None = None) -> tuple[Traced, int]:
 
 
 def name_tokens(text: str):
-    """Words with their places, each with whether a single space parts it from the one before."""
+    """Words of letters with their places, each with whether a single space parts it from the one before; a word with a digit is none and parts others."""
     out, before = [], None
     for m in _TOKEN.finditer(text):
+        if _HAS_DIGIT.search(m.group()):
+            continue
         out.append((m.group().casefold(), m.start(), m.end(), before is not None and text[before : m.start()] == " "))
         before = m.end()
     return out
