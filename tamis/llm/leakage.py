@@ -53,6 +53,40 @@ def myers_ends(pattern: list[int], text: list[int], budget: int) -> list[int]:
     return out
 
 
+#: Rows of a block that are matched at once, and the longest pattern of one machine word.
+ROWS, WORD_BITS = 20_000, 63
+
+
+def myers_least(patterns, texts, budget: int):
+    """Least distance of each pattern (a row of symbols) to any stretch of its text, by bit vectors: all rows step together.
+
+    Rows of both arrays have one length each; a symbol below 0 fills a text up and matches nothing, so it never lowers
+    a distance. Patterns beyond a machine word go through ``myers_ends``. Numbers above ``budget`` say only that it is exceeded.
+    """
+    import numpy as np
+
+    n, m = patterns.shape
+    if m > WORD_BITS:
+        return np.array([min(myers_ends(p, [c for c in t if c >= 0], budget), default=budget + 1) for p, t in zip(patterns.tolist(), texts.tolist())], np.int64)
+    least = np.full(n, budget + 1, np.int64)
+    one, top, full = np.uint64(1), np.uint64(m - 1), np.uint64((1 << m) - 1)
+    bits = one << np.arange(m, dtype=np.uint64)
+    for a in range(0, n, ROWS):
+        p, t = patterns[a : a + ROWS], texts[a : a + ROWS]
+        pv, mv, score = np.full(len(p), full), np.zeros(len(p), np.uint64), np.full(len(p), m, np.int64)
+        best = least[a : a + ROWS]
+        for c in t.T:
+            eq = (p == c[:, None]) @ bits
+            xv = eq | mv
+            xh = (((eq & pv) + pv) ^ pv) | eq
+            ph, mh = mv | (~(xh | pv) & full), pv & xh
+            score += ((ph >> top) & one).astype(np.int64) - ((mh >> top) & one).astype(np.int64)
+            ph, mh = (ph << one) & full, (mh << one) & full
+            pv, mv = mh | (~(xv | ph) & full), ph & xv
+            np.minimum(best, score, out=best)
+    return least
+
+
 class _Symbols(dict):
     """Symbols of a piece of text between white space, remembered up to a bound."""
 
@@ -130,50 +164,46 @@ class Index:
         low = np.uint64(len(self.filter) - 1)
         maybe = np.flatnonzero(self.filter[(h & low).astype(np.int64)])
         owner = np.searchsorted(starts, maybe, "right") - 1
-        out, at = [], self.at
-        found: dict = {}
-        done: set = set()
-        last = -1
+        stretches: set[tuple[int, int, int, int, int]] = set()
         for p, key, d in zip((maybe - starts[owner]).tolist(), h[maybe].tolist(), owner.tolist()):
-            here = at.get(key)
-            if here is None:
-                continue
-            if d != last:
-                out += [(last, i, e) for i, e in found.items()]
-                found, done, last = {}, set(), d
-            doc = docs[d]
-            for n, o in here:
-                text, shift = self.texts[n], p - o
-                if (n, shift) in done or found.get(self.items[n]) == 0 or doc[p : p + self.piece] != text[o : o + self.piece]:
-                    continue
-                best = self.verify(doc, text, shift, o)
-                if best is None:
-                    continue
-                if best == 0:
-                    done.add((n, shift))
-                found[self.items[n]] = min(best, found.get(self.items[n], best))
-        return out + [(last, i, e) for i, e in found.items()]
-
-    def verify(self, doc: list[int], text: list[int], shift: int, o: int) -> int | None:
-        """Least distance of a window of the text that covers the pieces on this diagonal to the document."""
-        w, k = self.passage, self.errors
-        # the exact stretch through the hit: every window inside it has distance 0
+            for n, o in self.at.get(key, ()):
+                if docs[d][p : p + self.piece] == self.texts[n][o : o + self.piece]:
+                    stretches.add((d, n, p - o, *self.stretch(docs[d], self.texts[n], p - o, o)))
+        found: dict[tuple[int, object], int] = {}
+        w = self.passage
+        whole = [(d, n, shift, a) for d, n, shift, a, b in stretches if b - a >= w]
+        self.match(docs, whole, found)
+        if self.errors:
+            # the hit may lie in the shorter of the untouched stretches, so its length rules nothing out
+            near = [(d, n, shift, start) for d, n, shift, a, b in stretches if b - a < w and found.get((d, self.items[n])) != 0 for start in range(max(0, b - w), min(a, len(self.texts[n]) - w) + 1)]
+            self.match(docs, near, found)
+        return [(d, i, e) for (d, i), e in sorted(found.items(), key=lambda x: x[0][0])]
+
+    def stretch(self, doc: list[int], text: list[int], shift: int, o: int) -> tuple[int, int]:
+        """The exact stretch of the text through the piece at ``o``. Windows that hold only a part of it are no nearer than one that holds all, or is in it."""
         a, b = o, o + self.piece
         while a and a + shift > 0 and doc[a + shift - 1] == text[a - 1]:
             a -= 1
         while b < len(text) and b + shift < len(doc) and doc[b + shift] == text[b]:
             b += 1
-        if b - a >= w:
-            return 0
-        # the hit may lie in the shorter of the untouched stretches, so its length rules nothing out
-        if not k:
-            return None
-        best = None
-        for start in range(max(0, b - w), min(a, len(text) - w) + 1):
-            lo, hi = max(0, start + shift - k), min(len(doc), start + shift + w + k)
-            if (d := min(myers_ends(text[start : start + w], doc[lo:hi], k), default=k + 1)) <= k and (best is None or d < best):
-                best = d
-        return best
+        return a, b
+
+    def match(self, docs: list[list[int]], windows: list[tuple[int, int, int, int]], found: dict) -> None:
+        """Least edits of windows (document, text, shift, start) by Myers' distance, into ``found`` by document and item."""
+        import numpy as np
+
+        w, k = self.passage, self.errors
+        for at in range(0, len(windows), ROWS):
+            part = windows[at : at + ROWS]
+            patterns = np.array([self.texts[n][start : start + w] for _, n, _, start in part], np.int64)
+            texts = np.full((len(part), w + 2 * k), -1, np.int64)
+            for row, (d, _, shift, start) in zip(texts, part):
+                piece = docs[d][max(0, start + shift - k) : start + shift + w + k]
+                row[: len(piece)] = piece
+            for (d, n, _, _), e in zip(part, myers_least(patterns, texts, k).tolist()):
+                if e <= k:
+                    x = d, self.items[n]
+                    found[x] = min(e, found.get(x, e))
 
 
 def item_texts(items: DataFrame, item_col: str = "item_id", text_cols: tuple[str, ...] = ("prompt", "expected_behavior")) -> DataFrame:

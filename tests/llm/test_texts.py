@@ -210,6 +210,19 @@ def test_myers_against_table():
         assert leakage.myers_ends(p, t, 99) == levenshtein_ends(p, t)
 
 
+@pytest.mark.parametrize("m", [1, 15, 63, 70])
+def test_myers_of_many_rows_against_table(m):
+    import numpy as np
+
+    rng = random.Random(m)
+    patterns = [[rng.randrange(1, 4) for _ in range(m)] for _ in range(60)]
+    texts = [[x if rng.random() < 0.9 else 0 for x in p][rng.randrange(3) :] + [0] * rng.randrange(3) for p in patterns]
+    filled = np.array([t + [-1] * (m + 4 - len(t)) for t in texts])
+    want = [min([*levenshtein_ends(p, t), m]) for p, t in zip(patterns, texts)]
+    for budget in (99, 2):
+        assert leakage.myers_least(np.array(patterns), filled, budget).tolist() == [min(x, budget + 1) for x in want]
+
+
 def test_personal_information(spark):
     given, family = frozenset({"slim", "rim"}), frozenset({"borganine", "ben tarfoul", "مسمدّي"})
     text = "Write to slim.b@mail.example, rim (at) box[dot]test or ana @ mx.invalid. Call +216 61-161 779 or Tél. 06 39 98 98 23. CIN : 05597333. Order 20258047 is late on 2025-04-16. Signed, Slim Borganine | BEN TARFOUL Rim, 24, rue du Puits Vert, 5952 Sfax. Slim left. @derja_3 v1.2.3"
@@ -251,6 +264,13 @@ def test_names_are_learned_inside_markup(spark):
     assert {(r["doc_id"], r["found"]) for r in pii.find_pii(docs, names).collect()} == {(1, "Slim Borganine"), (1, "Rim Borganine"), (2, "Slim Borganine")}
 
 
+def test_pieces_of_words_are_no_names(spark):
+    docs = spark.createDataFrame([(1, "Slim Borganine, Rim Borganine. Slim el-7anout, Rim el-9ahwa, Slim b3id, Rim b3id w Slim el- 7anout"), (2, "El-9ahwa, b3id El-7anout")], "doc_id long, text string")
+    names = spark.createDataFrame([("Slim", "latin"), ("Rim", "latin")], "name string, script string")
+    given, family = (sorted(r[0] for r in x.collect()) for x in pii.lexicon(docs, names))
+    assert (given, family) == (["rim", "slim"], ["borganine"])
+
+
 def test_any_number_of_names(spark, monkeypatch):
     docs = spark.createDataFrame([(n, t) for n, t in enumerate(["Slim Borganine, Rim Borganine, Slim Khaledi, Rim Khaledi, Slim Ben Mzoughi, Rim ben Mzoughi", "Hedi Khaledi et HEDI Borganine", None, "", "Slim Borganine", "Slim Borganine"])], "doc_id long, text string")
     names = spark.createDataFrame([("Slim", "latin"), ("Rim", "latin")], "name string, script string")
