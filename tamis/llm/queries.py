@@ -18,8 +18,16 @@ def p1_record_tokens(spark: SparkSession, d: str) -> DataFrame:
 
 def p1_token_cube(spark: SparkSession, d: str) -> DataFrame:
     """Totals by contributor, language and category, built as a delta on an empty cube."""
-    per, _ = tokens.token_budget(table(spark, d, "arabic_derja"), table(spark, d, "source_catalog"))
-    return tokens.cube(tokens.apply_cells(None, tokens.signed_cells(None, per)))
+    cells, _, _ = tokens.update_budget(table(spark, d, "arabic_derja"), table(spark, d, "source_catalog"))
+    return tokens.cube(tokens.apply_cells(None, cells))
+
+
+def p1_token_update(spark: SparkSession, d: str) -> DataFrame:
+    """The cube of train and test after it held train and val: val is removed and test comes in by signed deltas."""
+    records, catalog = table(spark, d, "arabic_derja"), table(spark, d, "source_catalog")
+    before, state, counts = tokens.update_budget(records.where("split in ('train', 'val')"), catalog)
+    moved, _, _ = tokens.update_budget(records.where("split in ('train', 'test')"), catalog, state, counts)
+    return tokens.cube(tokens.apply_cells(tokens.apply_cells(None, before), moved))
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:

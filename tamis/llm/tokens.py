@@ -1,17 +1,19 @@
 """Problem 1: token budgets that are kept up to date.
 
-The count table holds, for each distinct content and tokenizer, the number of tokens. Only contents
-that it lacks are encoded. Cubes change by signed deltas: rows of the old snapshot count minus one,
-rows of the new one plus one, and what is in both cancels out.
+The count table holds, for each distinct content and tokenizer, the number of tokens. Each content that it
+lacks is encoded once. A state holds the fingerprint, facets and tokens of every record; a new snapshot is
+held against it by fingerprints, so that only records that are new, changed or gone are looked at again, and
+cubes change by their signed counts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamis.llm import bpe
 from tamis.llm.labels import language_label, with_contributor
+from tamis.operators.joins import hot_split_join
 from tamis.session import cut, spread
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -31,11 +33,10 @@ def contents(records: DataFrame, messages: str = "messages") -> DataFrame:
 def count_contents(df: DataFrame, tokenizer: str = TOKENIZER, folder: str = bpe.TOKENIZERS, known: DataFrame | None = None) -> DataFrame:
     """Rows of a count table for the contents of ``df`` that ``known`` lacks: tokenizer, h1, h2, tokens.
 
-    Contents are encoded where they are read and only hashes and counts are shuffled; with a
-    ``known`` table a content first meets the hashes of the same tokenizer in an anti join.
+    Contents meet the hashes of the same tokenizer in ``known`` first; of equal ones, however many, one is encoded.
     """
     name = bpe.file_hash(tokenizer, folder)
-    df = df.select(content_hash(F.col("content")).alias("h"), "content").select("h.h1", "h.h2", "content")
+    df = df.select(content_hash(F.col("content")).alias("h"), "content").groupBy("h").agg(F.first("content").alias("content")).select("h.h1", "h.h2", "content")
     if known is not None:
         df = df.join(known.where(F.col("tokenizer") == name).select("h1", "h2"), ["h1", "h2"], "left_anti")
 
@@ -47,27 +48,35 @@ def count_contents(df: DataFrame, tokenizer: str = TOKENIZER, folder: str = bpe.
             n = pa.array([enc.count(x) for x in b.column(2).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), n], names=["h1", "h2", "tokens"])
 
-    counted = df.mapInArrow(run, "h1 long, h2 long, tokens long").groupBy("h1", "h2").agg(F.max("tokens").alias("tokens"))
-    return counted.select(F.lit(name).alias("tokenizer"), "h1", "h2", "tokens")
+    return df.mapInArrow(run, "h1 long, h2 long, tokens long").select(F.lit(name).alias("tokenizer"), "h1", "h2", "tokens")
+
+
+def store_counts(counts: DataFrame, path: str, batch: int) -> None:
+    """Adds rows to the stored count table; a batch that is written again replaces what it left."""
+    counts.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch}")
+
+
+def load_counts(spark: SparkSession, path: str) -> DataFrame:
+    """The stored count table; a content that several batches brought has one row."""
+    return spark.read.parquet(path).groupBy("tokenizer", "h1", "h2").agg(F.max("tokens").alias("tokens"))
 
 
 def update_counts(records: DataFrame, known: DataFrame | None = None, **how) -> DataFrame:
     """The count table after ``records`` were seen: ``known`` and what had to be encoded."""
-    new = count_contents(contents(spread(records.select("messages"))), known=known, **how)
+    new = cut(count_contents(contents(spread(records.select("messages"))), known=known, **how))
     return new if known is None else known.unionByName(new)
 
 
 def record_tokens(records: DataFrame, counts: DataFrame, key: str = "line_no", keep: list[str] = (), tokenizer: str = TOKENIZER, folder: str = bpe.TOKENIZERS) -> DataFrame:
-    """``keep`` columns and the tokens of each record; null, blank-free and missing contents count 0.
+    """``keep`` columns, turns and tokens of each record; null, blank-free and missing contents count 0.
 
-    Rows are told apart by ``key``. A content that a third of all rows share is one hot key of the
-    join; the counts are unique there, and adaptive execution splits the records' side.
+    Rows are told apart by ``key``. A content that a third of all rows share doesn't travel: the entries of hot contents are broadcast.
     """
     name = bpe.file_hash(tokenizer, folder)
     base = records.select(key, *keep, "messages")
     each = base.select(key, F.explode("messages.content").alias("content")).where("content is not null and content <> ''").select(key, content_hash(F.col("content")).alias("h")).select(key, "h.*")
     known = counts.where(F.col("tokenizer") == name).select("h1", "h2", "tokens")
-    sums = each.join(known, ["h1", "h2"], "left").groupBy(key).agg(F.sum("tokens").alias("tokens"))
+    sums = hot_split_join(each, known, ["h1", "h2"]).groupBy(key).agg(F.sum("tokens").alias("tokens"))
     sized = base.select(key, *keep, F.coalesce(F.greatest(F.size("messages"), F.lit(0)), F.lit(0)).cast("long").alias("turns"))
     return sized.join(sums, key, "left").withColumn("tokens", F.coalesce("tokens", F.lit(0)))
 
@@ -78,16 +87,50 @@ def facets(records: DataFrame, catalog: DataFrame) -> DataFrame:
     return known.withColumns({c: F.coalesce(c, F.lit("unknown")) for c in FACETS})
 
 
-def signed_cells(before: DataFrame | None, after: DataFrame | None) -> DataFrame:
-    """Base cells of the change from one snapshot to another: facets, documents, tokens (both signed).
+def snapshot(records: DataFrame, catalog: DataFrame, key: str = "line_no") -> DataFrame:
+    """``key``, facets, d1 and d2 (fingerprint of all contents) and copies (rows equal in all of them)."""
+    text = F.col("messages.content")
+    rows = records.select(key, "source", "language", "category", F.xxhash64(text, F.size(text)).alias("d1"), F.xxhash64(F.lit("record"), text).alias("d2"))
+    return facets(rows, catalog).groupBy(key, *FACETS, "d1", "d2").agg(F.count(F.lit(1)).alias("copies"))
+
+
+def changes(state: DataFrame | None, now: DataFrame, key: str = "line_no") -> DataFrame:
+    """Records whose copies differ between a state and a snapshot: ``key``, facets, d1, d2, delta (copies more or less), tokens (of those in the state).
+
+    What is equal in fingerprint and facets cancels here, before anything is counted or summed up.
+    """
+    by = [key, *FACETS, "d1", "d2"]
+    new = now.select(*by, F.col("copies").alias("__new"))
+    if state is None:
+        return new.select(*by, F.col("__new").alias("delta"), F.lit(None).cast("long").alias("tokens"))
+    both = new.unionByName(state.select(*by, F.col("copies").alias("__old"), "tokens"), allowMissingColumns=True)
+    met = both.groupBy(*by).agg((F.coalesce(F.sum("__new"), F.lit(0)) - F.coalesce(F.sum("__old"), F.lit(0))).alias("delta"), F.max("tokens").alias("tokens"))
+    return met.where("delta <> 0")
+
+
+def update_budget(records: DataFrame, catalog: DataFrame, state: DataFrame | None = None, counts: DataFrame | None = None, key: str = "line_no", **how) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """From one snapshot to the next: signed cells, the new state, the new count table.
 
-    Both snapshots have the facets and tokens of each record. Unchanged records cancel out; removed
-    ones stay negative, changed ones leave their old cell and enter the new one.
+    Only records that are new or changed have their contents hashed for the count table and, where it lacks them,
+    encoded; removed records leave by the tokens that the state holds of them. Without a state all records are new.
     """
-    sides = [x.select(*FACETS, F.lit(s).cast("long").alias("sign"), "tokens") for x, s in ((before, -1), (after, 1)) if x is not None]
-    both = sides[0] if len(sides) == 1 else sides[0].unionByName(sides[1])
-    cells = both.groupBy(*FACETS).agg(F.sum("sign").alias("documents"), F.sum(F.col("sign") * F.col("tokens")).alias("tokens"))
-    return cells.where("documents <> 0 or tokens <> 0")
+    now = cut(snapshot(records, catalog, key))
+    moved = cut(changes(state, now, key))
+    fresh = moved.where("delta > 0 and tokens is null").select(key).distinct()
+    some = records if state is None else hot_split_join(records, fresh.where(F.col(key).isNotNull()), [key])
+    counts = cut(update_counts(some, counts, **how))
+    sized = record_tokens(some.withColumns({"d1": F.xxhash64("messages.content", F.size("messages.content")), "d2": F.xxhash64(F.lit("record"), F.col("messages.content"))}).dropDuplicates([key, "d1", "d2"]).withColumn("__id", F.struct(key, "d1", "d2")), counts, "__id", **how)
+    tokens = sized.select("__id.*", F.col("tokens").alias("__tokens"))
+    cells = cut(moved.join(tokens, [key, "d1", "d2"], "left").withColumn("tokens", F.coalesce("tokens", "__tokens", F.lit(0))).drop("__tokens"))
+    left = cells.select(key, *FACETS, "d1", "d2", F.col("delta").alias("copies"), "tokens")
+    if state is not None:
+        left = state.select(*left.columns).unionByName(left).groupBy(key, *FACETS, "d1", "d2").agg(F.sum("copies").alias("copies"), F.max("tokens").alias("tokens")).where("copies > 0")
+    return signed_cells(cells), left, counts
+
+
+def signed_cells(moved: DataFrame) -> DataFrame:
+    """Base cells of a change: facets, documents, tokens (both signed)."""
+    return moved.groupBy(*FACETS).agg(F.sum("delta").alias("documents"), F.sum(F.col("delta") * F.col("tokens")).alias("tokens")).where("documents <> 0 or tokens <> 0")
 
 
 def apply_cells(cells: DataFrame | None, delta: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from tamis.llm import bpe, encode, tokens
+from tamis.operators import joins
 
 MSG = "array<struct<role:string,content:string>>"
 EDGE = ["", " ", "  ", "\n \n", "a  b", "ab \n cd ", "<|endoftext|>", "l'eau d'été, it's", "برشّة ٣٤", "x" * 5000, "é" * 900 + "ab" * 900, "\x1c a", "😀 👍🏽"]
@@ -38,24 +39,43 @@ def snapshot(spark, rows):
     return spark.createDataFrame(rows, f"line_no long, messages {MSG}, source string, language string, category string, tokens string")
 
 
-def test_budget_by_deltas(spark):
+def test_budget_by_deltas(spark, tmp_path, monkeypatch):
     catalog = spark.createDataFrame([("souk_talk",), ("souk_talks",)], "source string")
-    a = [(1, [("user", "one two"), ("assistant", None)], "hf:souk_talk", "AR", "qa", "x"), (2, [("user", "three")], "SOUK TALKS", None, None, "x"), (3, None, None, "en", "qa", "x"), (4, [("user", "gone")], "souk_talk", "ar", "qa", "x")]
-    b = [*a[:1], (2, [("user", "three four five")], "SOUK TALKS", None, None, "x"), a[2]]
-    sa, sb = snapshot(spark, a), snapshot(spark, b)
-    pa, counts = tokens.token_budget(sa.drop("tokens"), catalog)
-    pb, counts2 = tokens.token_budget(sb.drop("tokens"), catalog, counts)
-    assert counts2.count() == counts.count() + 1  # only the changed content is encoded
-    cells = tokens.apply_cells(None, tokens.signed_cells(None, pa))
-    moved = tokens.apply_cells(cells, tokens.signed_cells(pa, pb))
-    fresh = tokens.apply_cells(None, tokens.signed_cells(None, pb))
+    same = [("user", "over and over"), ("assistant", "over and over")]
+    a = [(1, [("user", "one two"), ("assistant", None)], "hf:souk_talk", "AR", "qa", "x"), (2, [("user", "three")], "SOUK TALKS", None, None, "x"), (3, None, None, "en", "qa", "x"), (4, [("user", "gone")], "souk_talk", "ar", "qa", "x"), (5, same, "souk_talk", "ar", "qa", "x"), (5, same, "souk_talk", "ar", "qa", "x"), (6, [("user", "moves")], None, "fr", "qa", "x"), (None, [], None, None, None, None)]
+    b = [*a[:1], (2, [("user", "three four five")], "SOUK TALKS", None, None, "x"), a[2], a[4], (6, [("user", "moves")], None, "ar", "qa", "x"), (7, same, "souk_talk", "ar", "qa", "x"), a[7], a[7]]
+    sa, sb = snapshot(spark, a).drop("tokens"), snapshot(spark, b).drop("tokens")
+    encoded = []
+    real = tokens.count_contents
+    monkeypatch.setattr(tokens, "count_contents", lambda df, **how: encoded.append(sorted({r["content"] for r in df.collect()})) or real(df, **how))
+    first, state, counts = tokens.update_budget(sa, catalog)
+    moved, state2, counts2 = tokens.update_budget(sb, catalog, state, counts)
+    # only records that changed are looked at, and only contents that the table lacks are encoded
+    assert encoded[1] == ["moves", "over and over", "three four five"] and counts2.count() == counts.count() + 1 == 6
     key = lambda df: sorted(map(tuple, df.select("contributor", "language", "category", "documents", "tokens").collect()))
-    assert key(moved) == key(fresh)
+    fresh = tokens.apply_cells(None, tokens.update_budget(sb, catalog)[0])
+    assert key(tokens.apply_cells(tokens.apply_cells(None, first), moved)) == key(fresh)
+    assert tokens.update_budget(sb, catalog, state2, counts2)[0].count() == 0
+    gone, empty, _ = tokens.update_budget(sb.limit(0), catalog, state2, counts2)
+    assert empty.count() == 0 and key(gone) == [(*k[:3], -k[3], -k[4]) for k in key(fresh)]
+    tokens.store_counts(counts, str(tmp_path / "c"), 0)
+    tokens.store_counts(counts2, str(tmp_path / "c"), 1)
+    tokens.store_counts(counts2, str(tmp_path / "c"), 1)
+    assert sorted(map(tuple, tokens.load_counts(spark, str(tmp_path / "c")).select("h1", "h2", "tokens").collect())) == sorted(map(tuple, counts2.select("h1", "h2", "tokens").collect()))
+    pb, _ = tokens.token_budget(sb, catalog, counts2)
     by = {r["line_no"]: (r["contributor"], r["language"], r["category"], r["tokens"]) for r in pb.collect()}
     enc = bpe.encoder(tokens.TOKENIZER)
     assert by[1] == ("souk_talk", "ar", "qa", enc.count("one two")) and by[3] == ("unknown", "en", "qa", 0)
     assert by[2] == ("souk_talks", "unknown", "unknown", enc.count("three four five"))
     total = tokens.cube(fresh).where("grouping = 7").first()
-    assert total["tokens"] == fresh.agg(F.sum("tokens")).first()[0] and total["documents"] == 3
-    empty, _ = tokens.token_budget(sa.drop("tokens").limit(0), catalog)
-    assert empty.count() == 0
+    assert total["tokens"] == fresh.agg(F.sum("tokens")).first()[0] and total["documents"] == 8
+    assert tokens.token_budget(sa.limit(0), catalog)[0].count() == 0
+
+
+@pytest.mark.parametrize("share", [1e-4, 0.3, 0.9])
+def test_hot_split_join(spark, monkeypatch, share):
+    monkeypatch.setattr(joins, "HOT_SHARE", share)
+    big = spark.createDataFrame([(i, None if i % 7 == 0 else 1 if i % 2 else i) for i in range(60)], "i long, k long")
+    small = spark.createDataFrame([(k, f"v{k}") for k in range(0, 40)], "k long, v string")
+    for how in ("inner", "left"):
+        assert sorted(map(repr, joins.hot_split_join(big, small, ["k"], how).collect())) == sorted(map(repr, big.join(small, "k", how).collect()))
