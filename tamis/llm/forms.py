@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from itertools import chain
 
 # Look-alike letters and the letters they stand for, in pairs.
 CYRILLIC_GREEK = "аa еe оo рp сc уy хx ѕs іi јj һh ԁd ԛq ԝw ҽe АA ВB ЕE ЗЗ КK МM НH ОO РP СC ТT УY ХX ЅS ІI ЈJ ԌG ԚQ ԜW οo ϲc ϳj ΑA ΒB ΕE ΖZ ΗH ΙI ΚK ΜM ΝN ΟO ΡP ΤT ΥY ΧX"
@@ -26,12 +27,43 @@ LOOKALIKE |= {ord(z) + i: str(i) for z in "٠۰" for i in range(10)}
 LOOKALIKE |= dict.fromkeys(map(ord, SPACES), " ") | dict.fromkeys(map(ord, INVISIBLE))
 
 _PRESENTATION = "ﬀ-ﬆﭐ-﷿ﹰ-ﻼ！-￯"
-_MARKS = "".join(f"{chr(a)}-{chr(b)}" for a, b in ((0x300, 0x36F), (0x610, 0x61A), (0x64B, 0x65F), (0x670, 0x670), (0x6D6, 0x6DC), (0x6DF, 0x6E4), (0x6E7, 0x6E8), (0x6EA, 0x6ED), (0x1AB0, 0x1ACE), (0x1DC0, 0x1DFF), (0x20D0, 0x20F0)))
-#: Marks with the quick-check value Maybe: they may compose with what stands before them.
-_MAYBE = "".join(chr(c) for a, b in ((0x300, 0x36F), (0x653, 0x655)) for c in range(a, b + 1) if not unicodedata.is_normalized("NFC", "a" + chr(c)) or c in (0x653, 0x654, 0x655) or any(unicodedata.normalize("NFC", chr(x) + chr(c)) != chr(x) + chr(c) for x in range(0x41, 0x250)))
-#: Single characters that have another canonical form on their own.
-_SINGLE = "".join(chr(c) for c in (0x340, 0x341, 0x343, 0x344, 0x374, 0x37E, 0x387, 0x212A, 0x212B, 0x2126))
-_UNSTABLE = re.escape("".join(map(chr, LOOKALIKE))) + re.escape(FARSI_YEH + JOINER + _MAYBE + _SINGLE) + _PRESENTATION
+#: Planes with characters that decompose or combine; what lies beyond has neither.
+_ASSIGNED = (range(0x2FA20), range(0xE0000, 0xE01F0))
+
+
+def _ranges(points) -> str:
+    """Code points as the inside of a character class."""
+    out: list[list[int]] = []
+    for c in sorted(points):
+        if out and out[-1][1] == c - 1:
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return "".join(re.escape(chr(a)) if a == b else f"{re.escape(chr(a))}-{re.escape(chr(b))}" for a, b in out)
+
+
+def _quick_check() -> tuple[set[int], set[int], set[int]]:
+    """The properties of all code points: combining (a class above 0), quick-check value Maybe (composes with what stands before it), and No (or made of a look-alike)."""
+    combining, maybe, no = set(), set(range(0x1161, 0x1176)) | set(range(0x11A8, 0x11C3)), set()
+    for c in chain(*_ASSIGNED):
+        if 0xAC00 <= c < 0xD7A4 or 0xD800 <= c < 0xE000:  # syllables are composed by rule and stable; surrogates are nothing
+            continue
+        x = chr(c)
+        if unicodedata.combining(x):
+            combining.add(c)
+        if (d := unicodedata.decomposition(x)) and d[0] != "<":
+            if not unicodedata.is_normalized("NFC", x):
+                no.add(c)
+            else:
+                maybe.add(int(d.split()[-1], 16))
+            if any(ord(y) in LOOKALIKE for y in unicodedata.normalize("NFD", x)):
+                no.add(c)
+    return combining, maybe, no
+
+
+_COMBINING, _MAYBE, _NO = _quick_check()
+_UNSTABLE = re.escape("".join(map(chr, LOOKALIKE))) + re.escape(FARSI_YEH + JOINER) + _ranges(_MAYBE | _NO) + _PRESENTATION
+_MARKS = _ranges(_COMBINING)
 _SEGMENT = re.compile(f"[^{_MARKS}{_UNSTABLE}]?[{_MARKS}{_UNSTABLE}]*[{_UNSTABLE}][{_MARKS}{_UNSTABLE}]*|[{_MARKS}]{{2,}}")
 #: Quick check: a text in which nothing is found is canonical as it stands.
 _QUICK = re.compile(f"[{_UNSTABLE}]|[{_MARKS}]{{2}}")
@@ -44,16 +76,15 @@ def _pictograph(c: str) -> bool:
 
 
 def _segment(m: re.Match) -> str:
-    s, text, end = m.group(), m.string, m.end()
+    s, after = m.group(), m.string[m.end() : m.end() + 1]
     if JOINER in s:
-        after = s + text[end : end + 1]
-        s = "".join(c for i, c in enumerate(s) if c != JOINER or (i and _pictograph(s[i - 1]) and i + 1 < len(after) and _pictograph(after[i + 1])))
+        t = s + after
+        s = "".join(c for i, c in enumerate(s) if c != JOINER or (i and _pictograph(s[i - 1]) and i + 1 < len(t) and _pictograph(t[i + 1])))
     keep = any(_pictograph(c) and c not in "︎️" for c in s)  # a style mark after a pictograph is visible
-    s = _FORMS.sub(lambda f: unicodedata.normalize("NFKC", f.group()), s)
+    s = unicodedata.normalize("NFD", _FORMS.sub(lambda f: unicodedata.normalize("NFKC", f.group()), s))
     s = "".join(c if keep and c in "︎️" and i and _pictograph(s[i - 1]) else LOOKALIKE.get(ord(c), c) or "" for i, c in enumerate(s))
-    if FARSI_YEH in s:  # joined to a following letter it has the two dots of yeh, else none
-        tail = canonical(text[end : end + 8]) if text[end : end + 1] else ""
-        s = _YEH.sub("ي", s + tail)[: len(s)].replace(FARSI_YEH, "ى")
+    if FARSI_YEH in s:  # joined to a following letter it has the two dots of yeh, else none; marks and odd letters behind it are in the segment
+        s = _YEH.sub("ي", s + after)[: len(s)].replace(FARSI_YEH, "ى")
     return unicodedata.normalize("NFC", s)
 
 

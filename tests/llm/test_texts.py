@@ -20,6 +20,26 @@ def test_canonical(a, b, same):
     assert forms.canonical(forms.canonical(a)) == forms.canonical(a)
 
 
+def test_composed_and_decomposed_spellings_meet():
+    import unicodedata
+
+    wrong = []
+    for c in range(0x30000):
+        x = chr(c)
+        if 0xD800 <= c < 0xE000 or (d := unicodedata.normalize("NFD", x)) == x:
+            continue
+        form = forms.canonical(f"a{x}b")
+        if not (form == forms.canonical(f"a{d}b") == forms.canonical(form)):
+            wrong.append(hex(c))
+    assert wrong == []
+    rng = random.Random(1)
+    marks = "\u0301\u0308\u0323\u0327\u064b\u0651\u0654\u05b0\u3099\u1161\u11a8"
+    for _ in range(20_000):
+        t = "".join(rng.choice("aеο ا\u0647یᄀかكk\u200b1" + marks * 2) for _ in range(rng.randrange(1, 8)))
+        form = forms.canonical(t)
+        assert form == forms.canonical(form) == forms.canonical(unicodedata.normalize("NFD", t)) == forms.canonical(unicodedata.normalize("NFC", t)), ascii(t)
+
+
 def records(spark, rows):
     return spark.createDataFrame(rows, f"line_no long, split string, messages {MSG}, language string, source string")
 
