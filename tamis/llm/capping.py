@@ -42,8 +42,9 @@ def _order_hex(col: Column, kind: str, best_first: bool) -> Column:
 
 
 def preference_key(score: Column, ident: Column, ident_kind: str) -> Column:
-    """Two hex digits of the score (0 to 255) and those of the identifier, smaller ones first."""
-    return F.concat(F.lpad(F.hex(score.cast("bigint")), 2, "0"), _order_hex(ident, ident_kind, False))
+    """Hex digits of the score (any whole number, null below all) and of the identifier, in the order of preference."""
+    scored = F.concat(F.lit("01"), _order_hex(score.cast("bigint"), "bigint", True))
+    return F.concat(F.when(score.isNull(), F.lit("00" * 9)).otherwise(scored), _order_hex(ident, ident_kind, False))
 
 
 def contributor_totals(records: DataFrame, catalog: DataFrame, source: str = "source") -> DataFrame:
@@ -51,50 +52,72 @@ def contributor_totals(records: DataFrame, catalog: DataFrame, source: str = "so
     return with_contributor(records.groupBy(source).agg(F.count(F.lit(1)).alias("rows")), catalog, source)
 
 
-def dominant(records: DataFrame, catalog: DataFrame, share: float = 0.05, source: str = "source") -> DataFrame:
-    """Contributors with more than ``share`` of all rows (rows without contributor count in the total): contributor, held, total."""
+def every_limit(records: DataFrame, catalog: DataFrame, share: float, source: str = "source") -> DataFrame:
+    """contributor, keep: the same share of all rows for every contributor."""
     spelled = contributor_totals(records, catalog, source)
     by = spelled.groupBy("contributor").agg(F.sum("rows").alias("held"))
     total = by.agg(F.coalesce(F.sum("held"), F.lit(0)).alias("total"))
-    return by.where("contributor is not null").crossJoin(F.broadcast(total)).where(F.col("held") > F.lit(share) * F.col("total"))
+    return by.where("contributor is not null").crossJoin(F.broadcast(total)).select("contributor", F.floor(F.lit(share) * F.col("total")).alias("keep"))
 
 
-def cap_contributors(records: DataFrame, limits: DataFrame, score: Column, ident: str, contributor: str = "contributor") -> DataFrame:
-    """The rows of ``records`` that stay when each contributor in ``limits`` keeps at most its ``keep`` best.
+def cutoffs(slim: DataFrame, limits: DataFrame) -> DataFrame:
+    """Radix selection over ``slim`` (__c, __key): for each contributor above its limit (__c, left) the digits of its cutoff.
 
-    ``limits``: contributor, keep. Better is the higher ``score`` (0 to 255), then the smaller
-    ``ident``. Contributors that aren't in ``limits``, and rows without one, stay whole. Rows equal
-    in score and identifier are interchangeable; exactly as many stay as the limit leaves room for.
-    A limit of 0 or less keeps nothing, null is no limit. All columns of ``records`` come back.
+    __c, __cut (where its rows begin to be worse), and __left: how many of the rows that begin with __cut stay, null for all.
+    Each round reads only what agrees with the digits fixed so far.
     """
-    kind = dict(records.dtypes)[ident]
-    names = records.columns
-    c = F.col(contributor)
-    rows = records.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("__row"), c.alias("__c"), preference_key(score, F.col(ident), kind).alias("__key"))
-    slim = cut(rows.select("__c", "__key").where("__c is not null"))
     held = slim.groupBy("__c").agg(F.count(F.lit(1)).alias("held"), F.min("__key").alias("low"), F.max("__key").alias("high"), F.max(F.length("__key")).alias("width"))
-    over = held.join(limits.where("keep is not null").select(F.col(contributor).alias("__c"), F.greatest("keep", F.lit(0)).cast("long").alias("left")), "__c").where("held > left")
+    over = held.join(limits, "__c").where("held > left")
     spans = over.agg(F.min("low"), F.max("high"), F.max("width")).first()
+    kind = dict(slim.dtypes)["__c"]
     if spans is None or spans[2] is None:
-        return records
+        return slim.sparkSession.createDataFrame([], f"__c {kind}, __cut string, __left long")
     shared = os.path.commonprefix([spans[0], spans[1]])
     prefix = shared[: len(shared) // 2 * 2]
     state = cut(over.select("__c", F.lit(prefix).alias("prefix"), "left", (F.col("left") == 0).alias("done")))
+    here = slim
     for at in range(len(prefix), spans[2], 2):
         open_ = state.where("not done").select("__c", "prefix", "left")
-        here = lookup_join(slim, open_, ["__c"], salt_by="__key").where(F.col("__key").startswith(F.col("prefix")))
+        if open_.isEmpty():
+            break
+        here = lookup_join(here.select("__c", "__key"), open_, ["__c"], salt_by="__key").where(F.col("__key").startswith(F.col("prefix")))
+        if at > len(prefix):
+            here = cut(here)
         counted = here.groupBy("__c", "prefix", "left", F.substring("__key", at + 1, 2).alias("digit")).agg(F.count(F.lit(1)).alias("n"))
         better = F.sum("n").over(Window.partitionBy("__c").orderBy(F.desc("digit")).rowsBetween(Window.unboundedPreceding, -1))
         fixed = counted.withColumn("before", F.coalesce(better, F.lit(0))).where("before < left and left <= before + n")
         step = fixed.select("__c", F.concat("prefix", "digit").alias("prefix"), (F.col("left") - F.col("before")).alias("left"), (F.col("left") == F.col("before") + F.col("n")).alias("whole"))
         step = step.select("__c", "prefix", F.when(F.col("whole"), F.lit(None).cast("long")).otherwise(F.col("left")).alias("left"), (F.col("whole") | (F.length("prefix") < at + 2)).alias("done"))
         state = cut(state.where("done").unionByName(step))
-        if state.where("not done").isEmpty():
-            break
-    # left: null where the rows with the prefix are taken whole, else how many of the equal ones
-    cutoffs = state.select("__c", F.col("prefix").alias("__cut"), F.col("left").alias("__left"))
-    judged = lookup_join(rows, cutoffs, ["__c"], how="left", salt_by="__key").withColumn("__head", F.substring(F.col("__key"), F.lit(1), F.length("__cut")))
-    free = F.col("__cut").isNull()
-    sure = judged.where(free | (F.col("__head") > F.col("__cut")) | ((F.col("__head") == F.col("__cut")) & F.col("__left").isNull()))
-    equal = judged.where((F.col("__head") == F.col("__cut")) & (F.col("__left") > 0)).withColumn("__n", F.row_number().over(Window.partitionBy("__c").orderBy("__key")))
-    return sure.select("__row.*").unionByName(equal.where("__n <= __left").select("__row.*"))
+    return state.select("__c", F.col("prefix").alias("__cut"), F.col("left").alias("__left"))
+
+
+def judge_contributors(records: DataFrame, limits: DataFrame, score: Column, ident: str, contributor: str = "contributor") -> DataFrame:
+    """All rows of ``records`` as ``__row`` with ``__c`` and ``__kept``: whether a row stays when each contributor in ``limits`` keeps at most its ``keep`` best.
+
+    ``limits``: contributor, keep. Better is the higher ``score`` (whole numbers, null below all), then the smaller
+    ``ident`` (null last). Contributors that aren't in ``limits``, and rows without one, stay whole. Rows equal in
+    score and identifier are interchangeable; exactly as many stay as the limit leaves room for. A limit of 0 or
+    less keeps nothing, null is no limit.
+    """
+    kind = dict(records.dtypes)[ident]
+    rows = records.select(F.struct(*[F.col(f"`{n}`") for n in records.columns]).alias("__row"), F.col(contributor).alias("__c"), preference_key(score, F.col(ident), kind).alias("__key"))
+    slim = cut(rows.select("__c", "__key").where("__c is not null"))
+    most = limits.where("keep is not null").select(F.col(contributor).alias("__c"), F.greatest("keep", F.lit(0)).cast("long").alias("left"))
+    judged = lookup_join(rows, cutoffs(slim, most), ["__c"], how="left", salt_by="__key").withColumn("__head", F.substring(F.col("__key"), F.lit(1), F.length("__cut")))
+    level = (F.col("__head") == F.col("__cut")) & (F.col("__left") > 0)
+    kept = F.col("__cut").isNull() | (F.col("__head") > F.col("__cut")) | ((F.col("__head") == F.col("__cut")) & F.col("__left").isNull())
+    sure = judged.where(~F.coalesce(level, F.lit(False))).select("__row", "__c", kept.alias("__kept"))
+    # equal ones are counted, not sorted: copies in a partial aggregate, different rows by sums over two levels
+    same = judged.where(level).groupBy("__c", "__left", "__row").agg(F.count(F.lit(1)).alias("n")).withColumns({"h": F.xxhash64("__row"), "bucket": F.pmod(F.xxhash64("__row"), F.lit(1024))})
+    up_to = lambda *by: F.coalesce(F.sum("n").over(Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    base = same.groupBy("__c", "bucket").agg(F.sum("n").alias("n")).withColumn("base", up_to("__c", "bucket")).select("__c", "bucket", "base")
+    placed = same.withColumn("inside", up_to("__c", "bucket", "h")).join(base, ["__c", "bucket"])
+    room = F.col("__left") - F.col("base") - F.col("inside")
+    equal = placed.withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).select("__row", "__c", (F.col("i") <= room).alias("__kept"))
+    return sure.unionByName(equal)
+
+
+def cap_contributors(records: DataFrame, limits: DataFrame, score: Column, ident: str, contributor: str = "contributor") -> DataFrame:
+    """The rows that stay by ``judge_contributors``, with all their columns."""
+    return judge_contributors(records, limits, score, ident, contributor).where("__kept").select("__row.*")

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tamis.operators.joins import lookup_join
+from tamis.session import cut
+
 #: Stand-ins for a missing value, compared after trimming and lower-casing.
 STAND_INS = ["", "-", "--", "?", "n/a", "na", "none", "null", "nan", "nil", "und", "unk", "unknown", "undefined", "tbd", "...", "…", "—", "–", "_"]
 #: Spellings of the labels, after trimming, lower-casing and cutting a region.
@@ -30,16 +33,16 @@ def source_key(source: Column) -> Column:
 def with_contributor(df: DataFrame, catalog: DataFrame, source: str = "source", to: str = "contributor") -> DataFrame:
     """Adds the proper name of the contributor, null where the spelling names none.
 
-    The distinct spellings are what is matched, by a join on their key; the catalog is the small side.
-    Names whose keys coincide would be told apart no longer, so they are left unmatched.
+    The distinct spellings are matched, by a name as it stands and else by their key, and the rows look theirs up.
+    A key that several names share tells none of them; they are matched as they stand only.
     """
-    names = (
-        catalog.where(F.col("source").isNotNull())
-        .select(source_key(F.col("source")).alias("__key"), F.col("source").alias(to))
-        .groupBy("__key").agg(F.min(to).alias(to), F.countDistinct(to).alias("__n"))
-        .where("__n = 1 and __key <> ''").drop("__n")
-    )
-    return df.withColumn("__key", source_key(F.col(source))).join(names, "__key", "left").drop("__key")
+    names = catalog.where("source is not null and source <> ''").select(F.col("source").alias("__name")).distinct()
+    keyed = names.groupBy(source_key(F.col("__name")).alias("__key")).agg(F.min("__name").alias("__by_key"), F.count(F.lit(1)).alias("__n")).where("__n = 1 and __key <> ''").drop("__n")
+    spelled = df.where(F.col(source).isNotNull()).select(F.col(source).alias("__spelled")).distinct()
+    matched = spelled.join(names, F.col("__spelled") == F.col("__name"), "left").withColumn("__key", source_key(F.col("__spelled"))).join(keyed, "__key", "left")
+    found = cut(matched.select("__spelled", F.coalesce("__name", "__by_key").alias("__found")).where("__found is not null"))
+    named = lookup_join(df.withColumn("__spelled", F.col(source)), found, ["__spelled"], "left", salt_by=df.columns[0])
+    return named.select(*[F.col(f"`{c}`") for c in df.columns if c != to], F.col("__found").alias(to))
 
 
 def _named(label: Column, names: dict[str, list[str]]) -> Column:

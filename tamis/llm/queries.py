@@ -39,19 +39,23 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 DOMINANT = 0.05
 
 
-def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    """Every spelling of the dominant contributors."""
+def _judged(spark: SparkSession, d: str) -> DataFrame:
+    """Every record with its contributor and score, and whether it stays when each contributor is held to a twentieth of all rows."""
     records, catalog = table(spark, d, "arabic_derja"), table(spark, d, "source_catalog")
-    big = capping.dominant(records, catalog, DOMINANT).select("contributor")
-    return capping.contributor_totals(records, catalog).join(big, "contributor").where("source is not null").select("source").distinct()
+    named = with_contributor(records.select("line_no", "source", "quality"), catalog).withColumn("score", capping.quality_score(F.col("quality")))
+    return capping.judge_contributors(named.select("line_no", "source", "contributor", "score"), capping.every_limit(records, catalog, DOMINANT), F.col("score"), "line_no")
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """Every spelling of the dominant contributors: those of whom the radix selection gives up a record."""
+    judged = _judged(spark, d).where("__c is not null").groupBy(F.col("__c").alias("contributor"), F.col("__row.source").alias("source")).agg(F.bool_or(~F.col("__kept")).alias("over"))
+    big = judged.where("over").select("contributor").distinct()
+    return judged.join(big, "contributor", "left_semi").select("source").distinct()
 
 
 def p3_capped(spark: SparkSession, d: str) -> DataFrame:
     """The records that stay when each dominant contributor is held to a twentieth of all rows."""
-    records, catalog = table(spark, d, "arabic_derja"), table(spark, d, "source_catalog")
-    limits = capping.dominant(records, catalog, DOMINANT).select("contributor", F.floor(F.lit(DOMINANT) * F.col("total")).alias("keep"))
-    named = with_contributor(records.select("line_no", "source", "quality"), catalog).withColumn("score", capping.quality_score(F.col("quality")))
-    return capping.cap_contributors(named.select("line_no", "contributor", "score"), limits, F.col("score"), "line_no")
+    return _judged(spark, d).where("__kept").select("__row.line_no", "__row.contributor", "__row.score")
 
 
 def _mixture(spark: SparkSession, d: str) -> mixing.Mixture:

@@ -2,23 +2,24 @@ import random
 
 from pyspark.sql import functions as F
 
-from tamis.llm import capping, mixing
+from tamis.llm import capping, labels, mixing
 
 
 def test_radix_cap_against_sort(spark):
     rng = random.Random(2)
     rows = [(i, rng.choice(["big", "big", "big", "mid", None, "one"]), rng.randrange(5), "x") for i in range(600)]
-    rows += [(1000, "big", 4, "twice")] * 3
-    df = spark.createDataFrame(rows, "line_no long, contributor string, score int, keep string")
-    limits = spark.createDataFrame([("big", 57), ("mid", 0), ("one", None)], "contributor string, keep long")
+    rows += [(1000, "big", 4, "twice")] * 3 + [(1001 + i, "wide", s, "y") for i, s in enumerate((-3, 300, None, 10**15, 7, -(10**15), None))]
+    df = spark.createDataFrame(rows, "line_no long, contributor string, score long, keep string")
+    limits = spark.createDataFrame([("big", 57), ("mid", 0), ("one", None), ("wide", 6)], "contributor string, keep long")
     got = capping.cap_contributors(df, limits, F.col("score"), "line_no")
     assert got.columns == df.columns
-    kept = sorted((r["contributor"] or "", r["score"], r["line_no"]) for r in got.collect())
+    shown = lambda c, s, n: (c or "", -(1 << 63) if s is None else s, n)
+    kept = sorted(shown(r["contributor"], r["score"], r["line_no"]) for r in got.collect())
     want = []
     for c in {r[1] for r in rows}:
-        own = sorted((r for r in rows if r[1] == c), key=lambda r: (-r[2], r[0]))
-        want += own[: {"big": 57, "mid": 0}.get(c, len(own))]
-    assert kept == sorted((r[1] or "", r[2], r[0]) for r in want)
+        own = sorted((r for r in rows if r[1] == c), key=lambda r: (r[2] is None, -(r[2] or 0), r[0]))
+        want += own[: {"big": 57, "mid": 0, "wide": 6}.get(c, len(own))]
+    assert kept == sorted(shown(r[1], r[2], r[0]) for r in want)
     assert capping.cap_contributors(df.limit(0), limits, F.col("score"), "line_no").count() == 0
 
 
@@ -28,12 +29,24 @@ def test_string_identifiers(spark):
     assert sorted(r["line_no"] for r in capping.cap_contributors(df, limits, F.col("score"), "line_no").collect()) == ["", "a", "ab"]
 
 
-def test_dominant(spark):
-    catalog = spark.createDataFrame([("derja_majlis",), ("derja_majlis_kids",)], "source string")
+def test_equal_rows_fill_the_limit(spark):
+    rows = [(1, "c", 5, f"v{i % 3}") for i in range(30)] + [(2, "c", 4, "w"), (0, "c", 5, "best")]
+    df = spark.createDataFrame(rows, "line_no long, contributor string, score int, more string")
+    for keep in (1, 2, 17, 31):
+        got = capping.cap_contributors(df, spark.createDataFrame([("c", keep)], "contributor string, keep long"), F.col("score"), "line_no").collect()
+        assert len(got) == keep and sum(r["more"] == "best" for r in got) == 1 and sum(r["more"] == "w" for r in got) == 0
+
+
+def test_spellings(spark):
+    catalog = spark.createDataFrame([("derja_majlis",), ("derja_majlis_kids",), ("a-b",), ("ab",), (None,), ("",)], "source string")
     spellings = ["derja_majlis", "HF:derja_majlis", "gh:Derja-Majlis", "derja majlis@v2", "derja_majlis_v1.1", "derja-majlis/train-00001-of-00004"]
-    df = spark.createDataFrame([(s,) for s in spellings] * 2 + [("derja_majlis_kids",), (None,)] + [(f"other{i}",) for i in range(30)], "source string")
-    assert [r["contributor"] for r in capping.dominant(df, catalog, 0.05).collect()] == ["derja_majlis"]
-    assert capping.dominant(df.limit(0), catalog).count() == 0
+    df = spark.createDataFrame([(s,) for s in spellings] * 2 + [("derja_majlis_kids",), (None,), ("",), ("a-b",), ("ab",), ("A B",)] + [(f"other{i}",) for i in range(30)], "source string")
+    got = {(r["source"], r["contributor"]) for r in labels.with_contributor(df, catalog).collect()}
+    assert {(s, "derja_majlis") for s in spellings} <= got and {("a-b", "a-b"), ("ab", "ab"), ("A B", None), (None, None), ("", None), ("other1", None)} <= got
+    assert labels.with_contributor(df, catalog).count() == df.count()
+    limits = capping.every_limit(df, catalog, 0.05)
+    assert {(r["contributor"], r["keep"]) for r in limits.collect()} == {(c, 2) for c in ("derja_majlis", "derja_majlis_kids", "a-b", "ab")}
+    assert capping.every_limit(df.limit(0), catalog, 0.05).count() == 0
 
 
 def test_flow_is_cheapest_and_full():
