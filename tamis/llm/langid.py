@@ -4,8 +4,7 @@ A profile ranks the most frequent n-grams of a language. A sentence's own rankin
 each profile by the out-of-place distance: the sum, over its n-grams, of how far their ranks lie
 apart, and a fixed penalty for those the profile lacks. Profiles are fitted on a bounded sample of
 labelled records and refitted once on the sentences that the first fit assigns, as labels are wrong here
-and there. A sentence all of whose letters are Arabic shares no n-gram with the Latin profiles; they
-are at the greatest distance, and none is computed.
+and there. Single words in the other script are left out of a sentence; the rest is held against all profiles.
 """
 
 from __future__ import annotations
@@ -33,6 +32,8 @@ GRAMS, TOP, TOP_SENTENCE = (1, 2, 3), 400, 200
 LEAST_WORDS = 4
 #: Confidence that a further language of a text must reach in one sentence at least.
 LEAST_SURE = 0.05
+#: Confidence of a sentence of two words beside longer ones.
+CLEAR = 0.2
 
 _STOP = re.compile(r"[.!?؟\n\r…؛;]+|(?<=\w)[:](?=\s)|```.*?(?:```|$)", re.S)
 _ARABIC, _LATIN = re.compile("[ء-يٱ-ۓ]"), re.compile("[a-zà-öø-ÿœ]")
@@ -106,25 +107,24 @@ class Profiles:
         return dict(zip(self.ranked, (d.sum(axis=1) / (TOP * max(1, len(own)))).tolist()))
 
     def classify(self, sentence: str) -> tuple[str | None, float]:
-        """Language of one sentence (in lower case) and its confidence; none without letters."""
-        arabic, latin = _ARABIC.search(sentence), _LATIN.search(sentence)
-        if arabic and not latin:
-            return "ar", 1.0
-        if not latin:
+        """Language of one sentence (in lower case) and its confidence, how much nearer it is than the next; none without letters, or where no profile has an n-gram of it."""
+        sentence = main_script(sentence)
+        if not sentence:
             return None, 0.0
-        if arabic:
-            # single foreign words: the script of most words decides which of them are compared
-            ws = sentence.split()
-            a = [w for w in ws if _ARABIC.search(w)]
-            if 2 * len(a) >= len(ws):
-                return "ar", len(a) / len(ws)
-            sentence = " ".join(w for w in ws if not _ARABIC.search(w))
-        d = sorted((v, k) for k, v in self.distances(sentence).items() if k != "ar")
-        if not d:
+        d = sorted((v, k) for k, v in self.distances(sentence).items())
+        if not d or d[0][0] >= 1.0:
             return None, 0.0
-        if len(d) == 1:
-            return d[0][1], 1.0 - d[0][0]
-        return d[0][1], 1.0 - d[0][0] / max(d[1][0], 1e-9)
+        return d[0][1], 1.0 - d[0][0] / (d[1][0] if len(d) > 1 else 1.0)
+
+
+def main_script(sentence: str) -> str:
+    """The words in the script of most, others left out; nothing without letters."""
+    arabic, latin = _ARABIC.search(sentence), _LATIN.search(sentence)
+    if not (arabic and latin):
+        return sentence if arabic or latin else ""
+    ws = sentence.split()
+    a = [w for w in ws if _ARABIC.search(w)]
+    return " ".join(a if 2 * len(a) >= len(ws) else [w for w in ws if not _ARABIC.search(w)])
 
 
 def script_runs(sentence: str) -> list[str]:
@@ -148,24 +148,32 @@ def script_runs(sentence: str) -> list[str]:
     return [" ".join(x) for x in out]
 
 
-def sentences(text: str | None, every: bool = False) -> list[str]:
-    """Sentences in lower case, look-alike characters resolved; pieces of one or two words only where there is nothing longer, or with ``every``."""
+def sentences(text: str | None) -> list[str]:
+    """Sentences with a letter, in lower case, look-alike characters resolved."""
     if not text:
         return []
     pieces = [s for s in map(str.strip, _STOP.split(canonical(text).lower())) if s]
-    pieces = list(chain.from_iterable(map(script_runs, pieces)))
-    long = [] if every else [s for s in pieces if s.count(" ") >= LEAST_WORDS - 2]
-    return long or [s for s in pieces if _ARABIC.search(s) or _LATIN.search(s)]
+    return [s for s in chain.from_iterable(map(script_runs, pieces)) if _ARABIC.search(s) or _LATIN.search(s)]
 
 
-def text_languages(texts, profiles: Profiles) -> dict[str, tuple[int, float]]:
-    """Language to (sentences, mean confidence) over several texts."""
+def text_languages(texts, model) -> dict[str, tuple[int, float]]:
+    """Language to (sentences, mean confidence) over several texts; ``model`` classifies a sentence.
+
+    A word that stands alone is no sentence beside others, and two words are one with a confidence of ``CLEAR``.
+    """
     out: dict[str, list[float]] = {}
-    for t in texts:
-        for s in sentences(t):
-            lang, sure = profiles.classify(s)
-            if lang:
+    short: list[tuple[int, str, float]] = []
+    for s in chain.from_iterable(map(sentences, texts)):
+        lang, sure = model.classify(s)
+        if lang:
+            if (n := s.count(" ")) >= LEAST_WORDS - 2:
                 out.setdefault(lang, []).append(sure)
+            else:
+                short.append((n, lang, sure))
+    alone = not out
+    for n, lang, sure in short:
+        if alone or (n and sure >= CLEAR):
+            out.setdefault(lang, []).append(sure)
     if len(out) > 1:  # a language that no sentence shows with any confidence is none beside others
         out = {k: v for k, v in out.items() if max(v) >= LEAST_SURE} or out
     return {k: (len(v), sum(v) / len(v)) for k, v in out.items()}
@@ -182,8 +190,8 @@ def hash_share(df: DataFrame, key: str, seed: int, rows: float) -> DataFrame:
     return out if total <= rows else out.where(F.col("__h") < int(rows / total * (1 << 40)))
 
 
-def fit(records: DataFrame, key: str = "line_no", sample: int = SAMPLE) -> Profiles:
-    """Profiles from ``sample`` labelled records of each language, in a hash order.
+def labelled_texts(records: DataFrame, key: str = "line_no", sample: int = SAMPLE) -> list[tuple[str, str]]:
+    """(label, text) of ``sample`` labelled records of each language, in a hash order, read whole.
 
     Looked for among ``sample / LEAST_SHARE`` rows in all: a language that fewer rows are labelled with
     than that share is fitted on those there are.
@@ -194,7 +202,12 @@ def fit(records: DataFrame, key: str = "line_no", sample: int = SAMPLE) -> Profi
     part = hash_share(records.select(key, "language", "messages"), key, 17, sample / LEAST_SHARE)
     some = part.select(label.alias("label"), "__h", text.alias("text")).where(F.col("label").isin(*LANGUAGES) & (F.length("text") > 20))
     ranked = some.withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy("__h", "text"))).where(F.col("r") <= sample)
-    return fit_texts([(r["label"], r["text"]) for r in ranked.collect()])
+    return [(r["label"], r["text"]) for r in ranked.collect()]
+
+
+def fit(records: DataFrame, key: str = "line_no", sample: int = SAMPLE) -> Profiles:
+    """Profiles from ``labelled_texts``."""
+    return fit_texts(labelled_texts(records, key, sample))
 
 
 def fit_texts(labelled: list[tuple[str, str]]) -> Profiles:
@@ -254,7 +267,7 @@ def segments(records: DataFrame, profiles: Profiles, key: str = "line_no") -> Da
             for i, (s, e) in enumerate(zip(start, end)):
                 for t in range(s, e):
                     if role[t] == "user":
-                        for k, text in enumerate(sentences(content[t], every=True)):
+                        for k, text in enumerate(sentences(content[t])):
                             at.append(i)
                             for c, v in zip(cols, (t - s, k, *p.classify(text), text)):
                                 c.append(v)
