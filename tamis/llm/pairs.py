@@ -1,9 +1,9 @@
 """Problem 2: answers that are no proper answer to the question before them, with the kind of defect.
 
 Copies are told by compression: the response, compressed with its prompt as a zstandard dictionary,
-leaves next to nothing. Refusals and requests for another language come from dictionaries, languages
-from the rank-order profiles, and truncation from unclosed structure and a model of the contexts in
-which sentences of the corpus end.
+leaves next to nothing. Refusals, requests for another language and the languages of both come from
+dictionaries, truncation from unclosed structure and a model of the contexts in which sentences of the
+corpus end.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tamis.llm import langid
 from tamis.llm.arrow import turns
+from tamis.llm.dictionaries import Dictionaries
 from tamis.llm.forms import canonical, words
 from tamis.llm.labels import STAND_INS
 from tamis.operators.joins import lookup_join
@@ -28,8 +29,12 @@ KNOWN, TRUSTED = 6, 4
 #: Least share of ends of a known word at which a sentence may stop without a full stop; for a word that isn't known the
 #: same of the word before it and any unknown word.
 LEAST_END, LEAST_END_UNKNOWN = 0.01, 0.12
+#: Least confidence that an answer is in another language, and its least words: a yes or no is the same in several.
+LEAST_SURE, LEAST_ANSWER = 0.3, 3
 #: Words of sentences that a task counts at once.
 COUNT_WORDS = 1_000_000
+#: Words beside excuses that a refusal may have before it, behind it in its sentence before a contrast, and in further sentences.
+LEAD_WORDS, OWN_WORDS, OTHER_WORDS = 6, 16, 14
 #: Greatest residue of a copy: bytes that stay of the response over its own, when the prompt is the dictionary.
 RESIDUE = 0.45
 
@@ -44,14 +49,18 @@ LANGUAGE_NAMES = [
     r"fran[cç]ais\w*", r"anglais\w*", r"arabe\w*", r"arabic", r"arabizi", r"english", r"french", r"franco", r"dialect\w*", r"derja", r"ingl[ie][sz]\w*", r"souri", r"3arb\w*", r"soury?a",
     r"\w*فرنس\w*", r"\w*سوري", r"\w*نقليز\w*", r"\w*نجليز\w*", r"\w*عربي\w*", r"\w*عربيز\w*", r"\w*دارج\w*",
 ]
-#: One of these stands in every refusal; looked for before the pattern of all.
-REFUSAL_HINTS = [
-    "نقدرش", "نجمش", "نجّمش", "مسموح", "ممنوع", "نتدخّلش", "نجاوبش", "نطاقي", "إمكاني", "أستطيع", "يمكنني", "أقدر", "قادر", "يسمح", "أفضّل", "أفضل", "يتعذّر", "أعتذر",
-    "na9derch", "najjamch", "nejjemch", "masmou7li", "nfadhel", "nta9i", "kharej", "mamnou3",
-    "peux pas", "ne puis", "en mesure", "autorisé", "impossible", "préfère ne", "refuse", "hors de", "saurais", "dépasse",
-    "can't", "can’t", "cannot", "can not", "unable", "able", "allowed", "rather not", "won't", "won’t", "will not", "scope", "decline", "permitted",
+# What is said beside a refusal and answers nothing, and words with which an answer follows all the same.
+EXCUSES = [
+    "désolé", "desole", "navré", "pardon", "excus", "merci", "politique", "règles", "programme", "assistant", "modèle", "autre question", "autre chose", "consult", "spécialiste", "professionnel",
+    "sorry", "apolog", "thank", "policy", "policies", "rules", "guidelines", "program", "language model", "as an ai", "something else", "another question", "please ask", "professional", "specialist",
+    "سامحني", "نعتذر", "آسف", "عذرا", "شكرا", "القواعد", "قوانين", "برنامج", "نموذج", "سؤال آخر", "حاجة أخرى", "مختصّ", "مختص",
+    "sama7ni", "sam7ni", "nsama7", "samahni", "na3tadhir", "na3tather", "merci", "barnamej", "9awa3ed", "9anoun", "7aja okhra", "so2el ekher",
 ]
+CONTRASTS = ["but", "however", "instead", "still", "mais", "cependant", "toutefois", "pourtant", "لكن", "أما", "امّا", "ama", "emma", "lakin", "lekin", "walakin"]
 _REFUSAL = re.compile("|".join(rf"(?<!\w){r}" for r in REFUSALS), re.I)
+_EXCUSE = re.compile("|".join(rf"(?<!\w){re.escape(x)}" for x in EXCUSES), re.I)
+_CONTRAST = re.compile(rf"(?<!\w)(?:{'|'.join(CONTRASTS)})(?!\w)", re.I)
+_CLAUSE, _SENTENCE = re.compile(r"[.!?؟\n,،;؛]"), re.compile(r"[.!?؟\n]")
 _QUOTED = re.compile(r"«[^»]*»|“[^”]*”|\"[^\"\n]*\"")
 _ASKED = re.compile("|".join(rf"(?<!\w){x}(?!\w)" for x in LANGUAGE_NAMES), re.I)
 #: Any Latin letter, full-width and look-alike ones too: whoever has none is in Arabic script or has no letter.
@@ -113,27 +122,26 @@ class Endings:
 
 def is_empty(answer: str | None) -> bool:
     """Null, without a word, or only a stand-in for a missing value."""
-    return not answer or not _ANY.search(answer) or (len(answer) < 24 and answer.strip().strip("[]<>()\"'").lower() in STAND_INS)
+    return not answer or not _ANY.search(answer) or answer.strip().strip("[]<>()\"'").strip().lower() in STAND_INS
 
 
 def is_refusal(answer: str) -> bool:
-    """Declines at once, outside of quotations, and has next to nothing behind it."""
-    if len(answer) > 700:
-        return False
-    low = answer.lower()
-    if not any(h in low for h in REFUSAL_HINTS):
+    """Declines, outside of quotations, at the start or behind excuses, and says next to nothing else but excuses."""
+    if not _REFUSAL.search(answer):
         return False
     text = _QUOTED.sub(" ", answer)
     m = _REFUSAL.search(text)
     if not m:
         return False
-    before, after = text[: m.start()], text[m.end() :]
-    if len(words(before)) > 6:
+    *before, own = _CLAUSE.split(text[: m.start()])
+    if len(words(own)) + sum(len(words(x)) for x in before if not _EXCUSE.search(x)) > LEAD_WORDS:
+        return False
+    rest, *others = _SENTENCE.split(text[m.end() :])
+    if re.search(r"[:：]\s*\S", rest):
         return False
-    rest = re.split(r"[.!?؟\n]", after, maxsplit=1)
-    if re.search(r"[:：]\s*\S", rest[0]):
+    if len(words(rest)) > OWN_WORDS and _CONTRAST.search(rest):
         return False
-    return len(words(rest[0])) <= 16 and len(words(rest[1] if len(rest) > 1 else "")) <= 14
+    return sum(len(words(x)) for x in others if not (_EXCUSE.search(x) or _REFUSAL.search(x))) <= OTHER_WORDS
 
 
 def residue(question: str, answer: str) -> float:
@@ -152,16 +160,14 @@ def is_copy(question: str | None, answer: str) -> bool:
     """Repeats the question, perhaps slightly changed or announced, and adds no answer."""
     if not question:
         return False
-    # a copy has about the length of the question; beyond, something is added or most is missing
-    if not (0.4 * len(question) - 12 <= len(answer) <= 1.8 * len(question) + 60):
-        return False
     q, a = words(question), words(answer)
-    if len(a) < 2 or not q or not (0.6 * len(q) <= len(a) <= 1.35 * len(q) + 7):
+    asked = set(q)
+    if len(a) < 2 or not asked:
         return False
-    if residue(" ".join(q), " ".join(a)) > RESIDUE:
+    # what is said beyond the question's words, however often these are repeated, and how many of them are said
+    if len(asked.intersection(a)) < 0.75 * len(asked) or sum(x not in asked for x in a) > max(2, 0.2 * len(q)) + 3:
         return False
-    shared = sum((Counter(q) & Counter(a)).values())
-    return shared >= 0.75 * len(q) and len(a) - shared <= max(2, 0.2 * len(q)) + 3
+    return residue(" ".join(q), " ".join(a)) <= RESIDUE
 
 
 def open_end(answer: str) -> list[str] | bool:
@@ -186,32 +192,22 @@ def open_end(answer: str) -> list[str] | bool:
     return ws[-2:]
 
 
-def is_other_language(question: str | None, answer: str, profiles: langid.Profiles) -> bool:
-    """The answer is in one language, the question in one other, and it asked for none."""
-    if not question:
+def is_other_language(question: str | None, answer: str, dictionaries: Dictionaries) -> bool:
+    """The answer is in another language than the question, which is in one, and it asked for none."""
+    if not question or not (_ROMAN.search(question) or _ROMAN.search(answer)):  # both in Arabic script
         return False
-    latin_q, latin_a = bool(_ROMAN.search(question)), bool(_ROMAN.search(answer))
-    if not latin_q and not latin_a:
-        return False
-    if latin_q and latin_a and not langid._ARABIC.search(question) and not langid._ARABIC.search(answer):
-        # both in Latin letters: one look at the whole of each, and sentence by sentence only where they differ
-        if profiles.classify(question.lower())[0] == profiles.classify(answer.lower())[0]:
-            return False
-    if _ASKED.search(question):
-        return False
-    if len(answer.split()) < langid.LEAST_WORDS:  # a yes or no hardly tells its language
-        return False
-    q, a = langid.text_languages([question], profiles), langid.text_languages([answer], profiles)
-    if len(q) != 1 or not a:
+    q = langid.text_languages([question], dictionaries)
+    if len(q) != 1:
         return False
+    a = langid.text_languages([answer], dictionaries)
     own = next(iter(q))
+    if not a or own in a or _ASKED.search(question):
+        return False
     n = sum(x for x, _ in a.values())
-    other = max(((x, k) for k, (x, _) in a.items() if k != own), default=(0, None))[0]
-    sure = max((c for k, (_, c) in a.items() if k != own), default=0.0)
-    return own not in a and other >= 0.6 * n and sure >= 0.08
+    return max(x for x, _ in a.values()) >= 0.6 * n and max(c for _, c in a.values()) >= LEAST_SURE and len(words(answer)) >= LEAST_ANSWER
 
 
-def judge(question: str | None, answer: str | None, profiles: langid.Profiles) -> tuple[str | None, list[str]]:
+def judge(question: str | None, answer: str | None, dictionaries: Dictionaries) -> tuple[str | None, list[str]]:
     """The defect of one answer, or none, and the last words of one that is truncated if no sentence ends in them.
 
     The rules look at both texts in their canonical form.
@@ -227,12 +223,12 @@ def judge(question: str | None, answer: str | None, profiles: langid.Profiles) -
     end = open_end(answer)
     if end is True:
         return "truncated_answer", []
-    return "other_language" if is_other_language(question, answer, profiles) else None, end or []
+    return "other_language" if is_other_language(question, answer, dictionaries) else None, end or []
 
 
-def defect(question: str | None, answer: str | None, profiles: langid.Profiles, endings: Endings) -> str | None:
+def defect(question: str | None, answer: str | None, dictionaries: Dictionaries, endings: Endings) -> str | None:
     """The defect of one answer, or none."""
-    found, end = judge(question, answer, profiles)
+    found, end = judge(question, answer, dictionaries)
     return found if endings.may_end(end) else "truncated_answer"
 
 
@@ -307,7 +303,7 @@ def sound_ends(records: DataFrame, ends: DataFrame) -> DataFrame:
     return plain.union(odd)
 
 
-def defective_pairs(records: DataFrame, key: str = "line_no", profiles: langid.Profiles | None = None, endings: Endings | None = None) -> DataFrame:
+def defective_pairs(records: DataFrame, key: str = "line_no", dictionaries: Dictionaries | None = None, endings: Endings | None = None) -> DataFrame:
     """``key``, turn (0-based, of the answer) and defect; one row for each defective answer.
 
     A pair is an assistant turn and the turn before it, which must be of the user; other turns make no
@@ -315,7 +311,7 @@ def defective_pairs(records: DataFrame, key: str = "line_no", profiles: langid.P
     sentences are counted over all assistant answers.
     """
     kinds = dict(records.dtypes)
-    models = records.sparkSession.sparkContext.broadcast((profiles or langid.fit(records, key), endings))
+    models = records.sparkSession.sparkContext.broadcast((dictionaries or Dictionaries(langid.labelled_texts(records, key)), endings))
 
     def run(batches):
         import pyarrow as pa
