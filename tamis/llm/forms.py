@@ -62,11 +62,24 @@ def _quick_check() -> tuple[set[int], set[int], set[int]]:
 
 
 _COMBINING, _MAYBE, _NO = _quick_check()
-_UNSTABLE = re.escape("".join(map(chr, LOOKALIKE))) + re.escape(FARSI_YEH + JOINER) + _ranges(_MAYBE | _NO) + _PRESENTATION
+_ODD = _MAYBE | _NO | set(LOOKALIKE) | {ord(FARSI_YEH), ord(JOINER)}
+
+
+class _Patterns:
+    """Segments and the quick check over code points below ``end``: classes that reach beyond the first plane are slow."""
+
+    def __init__(self, end: int):
+        marks, odd = (_ranges(c for c in x if c < end) for x in (_COMBINING, _ODD))
+        odd += _PRESENTATION
+        self.segment = re.compile(f"[^{marks}{odd}]?[{marks}{odd}]*[{odd}][{marks}{odd}]*|[{marks}]{{2,}}")
+        self.odd, self.marks = re.compile(f"[{odd}]"), re.compile(f"[{marks}][{marks}]")
+
+
+_PLANE, _ALL = _Patterns(0x10000), _Patterns(0x110000)
 _MARKS = _ranges(_COMBINING)
-_SEGMENT = re.compile(f"[^{_MARKS}{_UNSTABLE}]?[{_MARKS}{_UNSTABLE}]*[{_UNSTABLE}][{_MARKS}{_UNSTABLE}]*|[{_MARKS}]{{2,}}")
-#: Quick check: a text in which nothing is found is canonical as it stands.
-_QUICK = re.compile(f"[{_UNSTABLE}]|[{_MARKS}]{{2}}")
+#: What a text must have to be anything but canonical; most have nothing of it.
+_QUICK = re.compile(f"[{_ranges(c for c in _ODD | _COMBINING if c < 0x10000)}{_PRESENTATION}\U00010000-\U0010ffff]")
+_BEYOND = re.compile("[\U00010000-\U0010ffff]")
 _FORMS = re.compile(f"[{_PRESENTATION}]")
 _YEH = re.compile(f"{FARSI_YEH}(?=[{_MARKS}]*[\\u0620-\\u064a\\u066e-\\u06d3])")
 
@@ -93,7 +106,10 @@ def canonical(text: str | None) -> str | None:
 
     Accents, hamza, case, punctuation, the number of spaces and line breaks are visible and stay.
     """
-    return _SEGMENT.sub(_segment, text) if text and _QUICK.search(text) else text
+    if not text or not _QUICK.search(text):
+        return text
+    p = _ALL if _BEYOND.search(text) else _PLANE
+    return p.segment.sub(_segment, text) if p.odd.search(text) or p.marks.search(text) else text
 
 
 _WORD = re.compile(r"[^\W_]+")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamis.llm.arrow import turns
+from tamis.operators.joins import hot_split_join, lookup_join
 from tamis.session import cut, spread
 
 
@@ -64,18 +65,32 @@ def fingerprints(records: DataFrame, key: str = "line_no") -> DataFrame:
     return some.mapInArrow(run, f"`{key}` {kinds[key]}, look binary, raw binary")
 
 
+def lookalike_rows(records: DataFrame, key: str = "line_no") -> DataFrame:
+    """The fingerprints of the rows whose look is shared by rows of other characters."""
+    prints = cut(fingerprints(records, key))
+    several = cut(prints.groupBy("look").agg(F.min("raw").alias("lo"), F.max("raw").alias("hi")).where("lo <> hi").select("look"))
+    return cut(lookup_join(prints, several, ["look"], salt_by=key))
+
+
+def lookalike_classes(records: DataFrame, key: str = "line_no") -> DataFrame:
+    """The rows that look like others and differ in their characters: ``key``, class_id (least ``key`` of the look), variant (least ``key`` with the same characters), variants (of the look)."""
+    rows = lookalike_rows(records, key)
+    variants = rows.groupBy("look", "raw").agg(F.min(key).alias("variant"))
+    named = cut(variants.groupBy("look").agg(F.min("variant").alias("class_id"), F.count(F.lit(1)).alias("variants")))
+    both = cut(lookup_join(variants, named, ["look"], salt_by="raw"))
+    return hot_split_join(rows, both, ["look", "raw"]).select(key, "class_id", "variant", "variants")
+
+
 def lookalike_pairs(records: DataFrame, key: str = "line_no") -> DataFrame:
     """Pairs of different rows (``line_a`` < ``line_b``) that look the same and differ in their characters.
 
     Rows equal character by character form one class; only looks with several classes go on, and
     members meet by pairs of classes, so copies of one text are never compared with each other.
     """
-    prints = cut(fingerprints(records, key))
-    several = prints.groupBy("look").agg(F.min("raw").alias("lo"), F.max("raw").alias("hi")).where("lo <> hi").select("look")
-    rows = cut(prints.join(several, "look", "left_semi"))
+    rows = lookalike_rows(records, key)
     classes = rows.select("look", "raw").distinct()
     a, b = classes.select("look", F.col("raw").alias("raw_a")), classes.select("look", F.col("raw").alias("raw_b"))
-    met = a.join(b, "look").where("raw_a < raw_b")
-    one = met.join(rows.select("look", F.col("raw").alias("raw_a"), F.col(key).alias("x")), ["look", "raw_a"])
+    met = cut(a.join(b, "look").where("raw_a < raw_b"))
+    one = lookup_join(rows.select("look", F.col("raw").alias("raw_a"), F.col(key).alias("x")), met, ["look", "raw_a"], salt_by="x")
     two = one.join(rows.select("look", F.col("raw").alias("raw_b"), F.col(key).alias("y")), ["look", "raw_b"])
     return two.select(F.least("x", "y").alias("line_a"), F.greatest("x", "y").alias("line_b")).where("line_a < line_b").distinct()

@@ -113,6 +113,11 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return lookalike.lookalike_pairs(table(spark, d, "arabic_derja"))
 
 
+def p7_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Records that look like others, with the class of their look."""
+    return lookalike.lookalike_classes(table(spark, d, "arabic_derja"))
+
+
 def p7_canonical(spark: SparkSession, d: str) -> DataFrame:
     """The canonical form of every content."""
     return lookalike.canonical_messages(table(spark, d, "arabic_derja"))
