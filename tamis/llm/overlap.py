@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tamis.llm.arrow import turns
 from tamis.llm.labels import with_contributor
-from tamis.operators.joins import lookup_join
+from tamis.operators.joins import hot_split_join, lookup_join
 from tamis.session import cut, spread
 
 #: Bands, rows of each, and the bands that a candidate pair must share at least.
@@ -120,8 +120,8 @@ def cross_split_classes(records: DataFrame, key: str = "line_no", similarity: fl
     short = F.shiftrightunsigned("h1", 24)  # 40 bits name a class until its pairs are few
     keyed = rows.where("bands is not null").select("train", short.alias("id"), F.posexplode("bands").alias("i", "band"))
     keyed = keyed.select("train", "id", (F.shiftleft(F.col("i").cast("long"), 32) + F.col("band").cast("long") + F.lit(1 << 31)).alias("bucket"))
-    # one partitioning by bucket serves the distinct and the join
-    ev = keyed.where("not train").repartition("bucket").groupBy("bucket", F.col("id").alias("e")).agg(F.lit(1).alias("one")).drop("one")
+    # both sides go straight from their exchange to the join, so that adaptive execution can split a bucket that many share
+    ev = keyed.where("not train").select("bucket", F.col("id").alias("e"))
     tr = keyed.where("train").select("bucket", F.col("id").alias("t"))
     bands_met = F.expr("bit_or(shiftleft(1L, cast(shiftright(bucket, 32) as int)))")
     met = ev.join(tr, "bucket").groupBy("e", "t").agg(bands_met.alias("bands")).where(F.bit_count("bands") >= SHARED).select("e", "t")
@@ -143,17 +143,39 @@ def cross_split_classes(records: DataFrame, key: str = "line_no", similarity: fl
     return scored.where(F.col("similarity") >= similarity).select("e1", "e2", "t1", "t2", "similarity"), rows.select(key, "train", "h1", "h2")
 
 
+def _members(rows: DataFrame, train: bool, p: str, key: str, to: str) -> DataFrame:
+    """The rows of a side as (p1, p2, to)."""
+    return rows.where(F.col("train") == train).select(F.col("h1").alias(f"{p}1"), F.col("h2").alias(f"{p}2"), F.col(key).alias(to))
+
+
 def cross_split_pairs(records: DataFrame, key: str = "line_no", similarity: float = SIMILARITY) -> DataFrame:
     """Every pair of rows of opposite splits that are the same or nearly so: evaluation row, train row, similarity."""
     classes, rows = cross_split_classes(records, key, similarity)
-    ev = rows.where("not train").select(F.col("h1").alias("e1"), F.col("h2").alias("e2"), F.col(key).alias("evaluation"))
-    tr = rows.where("train").select(F.col("h1").alias("t1"), F.col("h2").alias("t2"), F.col(key).alias("train"))
-    return classes.join(ev, ["e1", "e2"]).join(tr, ["t1", "t2"]).select("evaluation", "train", "similarity").distinct()
+    one = lookup_join(_members(rows, False, "e", key, "evaluation"), cut(classes), ["e1", "e2"], salt_by="evaluation")
+    return one.join(_members(rows, True, "t", key, "train"), ["t1", "t2"]).select("evaluation", "train", "similarity").distinct()
+
+
+def overlap_classes(records: DataFrame, key: str = "line_no", similarity: float = SIMILARITY) -> DataFrame:
+    """The same without pairs of rows: one row for each record that overlaps (``key``, train, class_id, links, most).
+
+    Records of a side with equal word sets form a class, named by its least ``key``; links are the classes of the
+    other side that it is near to, most is the greatest similarity.
+    """
+    classes, rows = cross_split_classes(records, key, similarity)
+    pairs = cut(classes)
+    linked = None
+    for train, p in ((False, "e"), (True, "t")):
+        side = pairs.groupBy(F.col(f"{p}1").alias("h1"), F.col(f"{p}2").alias("h2")).agg(F.count(F.lit(1)).alias("links"), F.max("similarity").alias("most")).withColumn("train", F.lit(train))
+        linked = side if linked is None else linked.unionByName(side)
+    mine = cut(lookup_join(rows, cut(linked), ["train", "h1", "h2"], salt_by=key))
+    named = mine.groupBy("train", "h1", "h2").agg(F.min(key).alias("class_id"))
+    return hot_split_join(mine, named, ["train", "h1", "h2"]).select(key, "train", "class_id", "links", "most")
 
 
 def overlap_report(records: DataFrame, catalog: DataFrame, key: str = "line_no") -> DataFrame:
     """Evaluation records by split and contributor: records, those that stand again in train, their share."""
-    found = cross_split_pairs(records, key).select(F.col("evaluation").alias(key), F.lit(1).alias("hit")).distinct()
+    classes, rows = cross_split_classes(records, key)
+    found = lookup_join(_members(rows, False, "e", key, key), cut(classes.select("e1", "e2").distinct()), ["e1", "e2"], salt_by=key).select(key, F.lit(1).alias("hit")).distinct()
     ev = with_contributor(records.where(F.col("split").isin(*EVALUATION)).select(key, "split", "source"), catalog)
     agg = ev.join(found, key, "left").groupBy("split", F.coalesce("contributor", F.lit("unknown")).alias("contributor")).agg(F.count(F.lit(1)).alias("records"), F.count("hit").alias("overlapping"))
     return agg.withColumn("share", F.col("overlapping") / F.col("records"))

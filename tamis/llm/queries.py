@@ -84,6 +84,11 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return pairs.select(F.least("evaluation", "train").alias("line_a"), F.greatest("evaluation", "train").alias("line_b")).distinct()
 
 
+def p5_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Records that overlap across splits, with their class and its links."""
+    return overlap.overlap_classes(table(spark, d, "arabic_derja"))
+
+
 def p5_report(spark: SparkSession, d: str) -> DataFrame:
     """Overlap by split and contributor."""
     return overlap.overlap_report(table(spark, d, "arabic_derja"), table(spark, d, "source_catalog"))

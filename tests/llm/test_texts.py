@@ -3,6 +3,7 @@ import random
 import pytest
 
 from tamis.llm import forms, langid, leakage, lookalike, overlap, pairs, pii
+from tamis.llm.dictionaries import Dictionaries
 
 MSG = "array<struct<role:string,content:string>>"
 
@@ -49,6 +50,8 @@ def test_lookalike_pairs(spark):
     rows = [(1, "a", u("café x"), "fr", "s"), (2, "a", u("café x"), "fr", "s"), (3, "a", u("café x"), "fr", "s"), (4, "a", u("cafe x"), "fr", "s"), (5, "a", None, None, None), (6, "a", [], None, None), (7, "a", [("system", "café x"), ("assistant", None)], "fr", "s"), (8, "a", u(""), None, None), (9, "a", u("​"), None, None)]
     df = records(spark, rows)
     assert {(r["line_a"], r["line_b"]) for r in lookalike.lookalike_pairs(df).collect()} == {(1, 2), (2, 3), (8, 9)}
+    classes = {r["line_no"]: tuple(r)[1:] for r in lookalike.lookalike_classes(df).collect()}
+    assert classes == {1: (1, 1, 2), 2: (1, 2, 2), 3: (1, 1, 2), 8: (8, 8, 2), 9: (8, 9, 2)}
     forms_ = {r["line_no"]: r["messages"] for r in lookalike.canonical_messages(df).collect()}
     assert forms_[5] is None and forms_[6] == [] and forms_[2][0]["content"] == "café x" and forms_[1][1]["content"] is None
     assert lookalike.lookalike_pairs(df.limit(0)).count() == 0
@@ -70,6 +73,13 @@ def test_overlap_against_brute_force(spark):
     want = {(e, t) for e, (s, a) in sets.items() if s in ("val", "test") for t, (q, b) in sets.items() if q == "train" and a and b and len(a & b) >= 0.8 * len(a | b)}
     got = {(r["evaluation"], r["train"]) for r in overlap.cross_split_pairs(records(spark, rows)).collect()}
     assert len(want) > 20 and got == want
+    classes = {r["line_no"]: tuple(r)[1:] for r in overlap.overlap_classes(records(spark, rows)).collect()}
+    assert set(classes) == {x for pair in want for x in pair}
+    least = {k: min(n for n, (q, w) in sets.items() if w == sets[k][1] and (q == "train") == (sets[k][0] == "train")) for k in classes}
+    near = lambda k: {frozenset(sets[y if x == k else x][1]) for x, y in want if k in (x, y)}
+    assert all(c[:3] == (sets[k][0] == "train", least[k], len(near(k))) and c[3] >= 0.8 for k, c in classes.items())
+    catalog = spark.createDataFrame([("s",)], "source string")
+    assert sum(r["overlapping"] for r in overlap.overlap_report(records(spark, rows), catalog).collect()) == len({e for e, _ in want})
     assert overlap.cross_split_pairs(records(spark, rows).limit(0)).count() == 0
 
 
@@ -89,9 +99,22 @@ AZ = ["el-7anouti sakker el-7anout w mcha l dar m3a khouya elbera7", "chkoun jeb
 AR = ["البارح مشيت للسوق مع خويا وشرينا برشة غلّة", "علاش الكرهبة متاع جارنا واقفة قدّام الدار اليوم"]
 
 
+LABELLED = [(k, ". ".join(v)) for k, v in (("fr", FR), ("en", EN), ("arabizi", AZ), ("ar", AR)) for _ in range(5)]
+
+
 @pytest.fixture(scope="module")
 def profiles():
-    return langid.fit_texts([(k, ". ".join(v)) for k, v in (("fr", FR), ("en", EN), ("arabizi", AZ), ("ar", AR)) for _ in range(5)])
+    return langid.fit_texts(LABELLED)
+
+
+@pytest.fixture(scope="module")
+def dictionaries():
+    return Dictionaries(LABELLED)
+
+
+def test_dictionaries(dictionaries):
+    assert [dictionaries.classify(x.lower())[0] for x in (FR[0], EN[0], AZ[0], AR[0], "xyzzy", "12", "")] == ["fr", "en", "arabizi", "ar", None, None, None]
+    assert Dictionaries([]).classify("le chat") == (None, 0.0)
 
 
 def test_languages(profiles):
@@ -115,16 +138,24 @@ def test_profiles_read_records_whole(spark):
     assert langid.gram_ids("zwqk")[1] in ranked and set(langid.gram_ids("zwqk").tolist()) <= set(ranked.tolist())
 
 
+def test_arabic_goes_through_the_distance(profiles):
+    d = profiles.distances(AR[0])
+    assert 0.0 < d["ar"] < 1.0 and d["fr"] == d["en"] == 1.0
+    assert profiles.classify(AR[0]) == ("ar", 1.0 - d["ar"]) and profiles.classify(AR[0] + " merci")[0] == "ar"
+    assert langid.Profiles({"fr": FR}).classify(AR[0]) == (None, 0.0)
+
+
 def test_short_sentences(spark, profiles):
     assert "ar" in langid.text_languages(["Bonjour madame. شكرا ليك."], profiles) and len(langid.text_languages(["Bonjour madame. شكرا ليك."], profiles)) == 2
+    assert set(langid.text_languages([FR[0] + ". شكرا ليك."], profiles)) == {"fr", "ar"} and set(langid.text_languages([FR[0] + ". شكرا."], profiles)) == {"fr"}
     rows = [(1, "t", [("user", FR[0] + ". Oui madame. 12. شكرا."), ("assistant", "Non.")], "fr", "s")]
     got = sorted((r["turn"], r["segment"], r["text"]) for r in langid.segments(records(spark, rows), profiles).collect())
     assert got == [(0, 0, FR[0].lower()), (0, 1, "oui madame"), (0, 2, "شكرا")]
 
 
-def test_defects(spark, profiles):
+def test_defects(spark, dictionaries):
     endings = pairs.Endings([f"{x}. {y}." for x in FR + EN for y in FR + EN] * 3)
-    d = lambda q, a: pairs.defect(q, a, profiles, endings)
+    d = lambda q, a: pairs.defect(q, a, dictionaries, endings)
     q = "Pourquoi le chat de ma voisine mange une souris dans le jardin ?"
     assert [d(q, a) for a in (None, "", "​ ", "N/A", "null", "—")] == ["empty_answer"] * 6
     assert d(q, q) == d(q, "Vous dites : " + q.upper()) == "copied_question"
@@ -135,12 +166,20 @@ def test_defects(spark, profiles):
     assert d("Réponds en anglais : " + q, EN[0] + ". " + EN[2] + ".") is None
     for cut in (FR[1] + ". Notre équipe prépare le", FR[1] + ". (le chat", FR[1] + ". «", "Voici :", f"1. {FR[1]}.\n2.", FR[1] + ".\n```python\nprint(1)"):
         assert d(q, cut) == "truncated_answer", cut
+    excuse = "Désolé, cela est contraire aux règles que suit ce programme dans tous les cas de ce genre et pour tout le monde. "
+    assert len(excuse) > 100 and d(q, "Je ne peux pas répondre à cette question. " + excuse * 8) == "refusal"
+    assert d(q, "Merci beaucoup pour cette belle question que vous me posez ce matin, mais je ne peux pas y répondre.") == "refusal"
+    assert d(q, "I cannot help you with that because it concerns the private data of a person who has not agreed to have it shared with anybody at all.") == "refusal"
+    assert d(q, "Je ne peux pas le jurer, mais " + FR[0] + ". " + FR[1] + ".") is None
+    assert d(q, "unknown" + " " * 30) == "empty_answer" and d(q, " [ N/A ] ") == "empty_answer"
+    assert d(q, f"{q} {q}") == d(q, f"{q} {q} {q} {q}") == "copied_question" and d(q, q + " " + ". ".join(FR[1:]) + ".") is None
+    assert d(FR[0] + ". " + EN[0] + ".", EN[1] + ".") is None and d(FR[0] + ".", "Merci.") is None
     rows = [(1, "t", [("user", q), ("assistant", None), ("user", q), ("assistant", FR[1] + ".")], "fr", "s"), (2, "t", None, None, None), (3, "t", [("assistant", "")], None, None)]
-    got = [(r["line_no"], r["turn"], r["defect"]) for r in pairs.defective_pairs(records(spark, rows), profiles=profiles, endings=endings).collect()]
+    got = [(r["line_no"], r["turn"], r["defect"]) for r in pairs.defective_pairs(records(spark, rows), dictionaries=dictionaries, endings=endings).collect()]
     assert got == [(1, 1, "empty_answer")]
 
 
-def test_sentence_ends_count_all_answers(spark, profiles):
+def test_sentence_ends_count_all_answers(spark, dictionaries):
     rng = random.Random(3)
     vocabulary = [f"{a}{b}" for a in ("mot", "kal", "ser", "12") for b in range(60)]
     weights = [1 / (1 + i) ** 1.2 for i in range(len(vocabulary))]
@@ -151,7 +190,7 @@ def test_sentence_ends_count_all_answers(spark, profiles):
         rows.append((n, "t", [("user", "xx yy zz"), ("assistant", answer)], "fr", "s"))
     endings = pairs.Endings([forms.canonical(r[2][1][1]) for r in rows])
     df = records(spark, rows)
-    told = lambda **x: sorted(map(tuple, pairs.defective_pairs(df, profiles=profiles, **x).collect()))
+    told = lambda **x: sorted(map(tuple, pairs.defective_pairs(df, dictionaries=dictionaries, **x).collect()))
     got = told()
     assert got == told(endings=endings) and 1000 < len(got) < 8000
     # ten uses and never an end
