@@ -240,7 +240,8 @@ def detect_script(spark, d):
     return docs(spark, d).select("doc_id", C.detect_script(F.col("text")).alias("label"))
 
 
-_DIALECT = C.DIALECT_WORDS.replace("نحبّ?", "نحب|نحبّ").split("|")
+#: The same words as whole tokens; one of them stands with and without its doubling.
+_DIALECT = [w for w in C.DIALECT_WORDS if "?" not in w] + ["نحب", "نحبّ"]
 
 
 @query(f"with s as (select doc_id, coalesce({_markers('text', C.MSA_MARKERS)} + {_markers('text', C.MSA_QUESTION_WORDS)}, 0) as msa_score, coalesce({_hits('text', _DIALECT)}, 0) as dialect_score, coalesce({_A}, 0) as arabic_chars, coalesce({_L}, 0) as latin_chars from documents) select *, case when latin_chars > arabic_chars * 0.5 and latin_chars > 10 then 'latin_or_code_switched' when arabic_chars < 30 and latin_chars < 10 then 'other' when dialect_score >= 2 and dialect_score > msa_score then 'dialect' when msa_score >= 1 and dialect_score <= 1 then 'msa' when msa_score >= 1 and dialect_score >= 2 then 'mixed' when msa_score = 0 and dialect_score = 0 then case when arabic_chars >= 30 then 'msa' else 'other' end else 'mixed' end as label from s")
@@ -249,7 +250,7 @@ def classify_register(spark, d):
     return docs(spark, d).select("doc_id", *[s[k].alias(k) for k in ("msa_score", "dialect_score", "arabic_chars", "latin_chars")], C.classify_register(s).alias("label"))
 
 
-@query(f"with s as (select doc_id, coalesce({_markers('text', C.MSA_MARKERS + C.FORMAL_EXTRA)}, 0) as formal_markers, coalesce({_hits('text', C.COLLOQUIAL_WORDS.split('|'))}, 0) as colloquial_markers from documents) select *, greatest(0, colloquial_markers - formal_markers) as penalty from s")
+@query(f"with s as (select doc_id, coalesce({_markers('text', C.MSA_MARKERS + C.FORMAL_EXTRA)}, 0) as formal_markers, coalesce({_hits('text', C.COLLOQUIAL_WORDS)}, 0) as colloquial_markers from documents) select *, greatest(0, colloquial_markers - formal_markers) as penalty from s")
 def formal_quality(spark, d):
     return docs(spark, d).select("doc_id", *[c.alias(k) for k, c in C.formal_quality(F.col("text")).items()])
 
@@ -272,7 +273,7 @@ def tag_record(spark, d):
     return derja(spark, d).select("line_no", C.tag_record(u).alias("long_label"), C.tag_record_short(u).alias("short_label"))
 
 
-@query(f"select doc_id, coalesce({_markers('lower(text)', ['translate', 'translation', *(f'from {x} to' for x in C.TRANSLATION_SOURCES), *(f'{a} to {b}' for a, b in C.TRANSLATION_PAIRS)])} > 0, false) as translation from documents")
+@query(f"select doc_id, coalesce({_markers('lower(text)', C.TRANSLATION_HINTS)} > 0, false) as translation from documents")
 def is_translation(spark, d):
     return docs(spark, d).select("doc_id", C.is_translation(F.col("text")).alias("translation"))
 
