@@ -57,7 +57,8 @@ EXCUSES = [
     "sama7ni", "sam7ni", "nsama7", "samahni", "na3tadhir", "na3tather", "merci", "barnamej", "9awa3ed", "9anoun", "7aja okhra", "so2el ekher",
 ]
 CONTRASTS = ["but", "however", "instead", "still", "mais", "cependant", "toutefois", "pourtant", "لكن", "أما", "امّا", "ama", "emma", "lakin", "lekin", "walakin"]
-_REFUSAL = re.compile("|".join(rf"(?<!\w){r}" for r in REFUSALS), re.I)
+#: For text in lower case: a pattern that ignores case tries every alternative at every place.
+_REFUSAL = re.compile(rf"(?=[{''.join(sorted({x[0] for x in REFUSALS}))}])(?<!\w)(?:{'|'.join(REFUSALS)})")
 _EXCUSE = re.compile("|".join(rf"(?<!\w){re.escape(x)}" for x in EXCUSES), re.I)
 _CONTRAST = re.compile(rf"(?<!\w)(?:{'|'.join(CONTRASTS)})(?!\w)", re.I)
 _CLAUSE, _SENTENCE = re.compile(r"[.!?؟\n,،;؛]"), re.compile(r"[.!?؟\n]")
@@ -127,9 +128,10 @@ def is_empty(answer: str | None) -> bool:
 
 def is_refusal(answer: str) -> bool:
     """Declines, outside of quotations, at the start or behind excuses, and says next to nothing else but excuses."""
-    if not _REFUSAL.search(answer):
+    low = answer.lower()
+    if not _REFUSAL.search(low):
         return False
-    text = _QUOTED.sub(" ", answer)
+    text = _QUOTED.sub(" ", low)
     m = _REFUSAL.search(text)
     if not m:
         return False
