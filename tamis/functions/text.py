@@ -21,6 +21,11 @@ FRENCH_WORDS = [
 ]
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once; a lambda would compute a captured expression for every element."""
+    return F.try_element_at(F.transform(F.array(value), body), F.lit(1))
+
+
 def strip(x: Column) -> Column:
     """Without white space of any kind at either end."""
     return F.regexp_replace(x, r"(?U)^\s+|\s+$", "")

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamis.functions.messages import last_of, template_key, tokens_assistant, tokens_total
+from tamis.operators.joins import lookup_join
+from tamis.operators.ranks import prefix_sums
 from tamis.operators.sampling import cap_per, scale_targets, source_diverse, stable_key, stratified_split
 from tamis.session import cut
 from tamis.spec import RetentionSpec
@@ -25,15 +27,6 @@ class SelectionError(ValueError):
     """Too few candidates for what the plan asks."""
 
 
-def prefix_sums(df: DataFrame, group: str, key: str, value: str, ident: str) -> DataFrame:
-    """Adds ``before``: the sum of the values of the group's rows that come earlier. ``key`` is a hex hash, so its first digits part the rows evenly."""
-    b = df.withColumn("__b", F.substring(key, 1, 4))
-    sums = b.groupBy(group, "__b").agg(F.sum(value).alias("__s"))
-    base = sums.withColumn("__base", F.coalesce(F.sum("__s").over(Window.partitionBy(group).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__s")
-    inside = F.coalesce(F.sum(value).over(Window.partitionBy(group, "__b").orderBy(key, ident).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return b.withColumn("__in", inside).join(base, [group, "__b"]).withColumn("before", F.col("__base") + F.col("__in")).drop("__b", "__in", "__base")
-
-
 #: Slim rows (group, id, key, value) up to which what is left of a fold goes through one task a group.
 FOLD_ROWS = 500_000
 
@@ -68,17 +61,17 @@ def take_fitting(slim: DataFrame, state: DataFrame, group: str, fold_rows: int =
 
     left = slim
     while True:
-        left = left.join(F.broadcast(state), group).where("acc < stop and __key > pos and __v <= room - acc")
+        left = lookup_join(left, state, [group], salt_by="__id").where("acc < stop and __key > pos and __v <= room - acc")
         if left.limit(fold_rows + 1).count() <= fold_rows:
             ordered = left.repartition(group).sortWithinPartitions(group, "__key", "__id")
             return chosen.unionByName(ordered.mapInPandas(fold, f"`{group}` {kinds[group]}, __id {kinds['__id']}"))
         placed = cut(prefix_sums(left, group, "__key", "__v", "__id"))
         bad = (F.col("acc") + F.col("before") + F.col("__v") > F.col("room")) | (F.col("acc") + F.col("before") >= F.col("stop"))
         first = placed.where(bad).groupBy(group).agg(F.min("__key").alias("__bad"))
-        taken = cut(placed.join(F.broadcast(first), group, "left").where("__bad is null or __key < __bad").select(group, "__id", "__v"))
+        taken = cut(lookup_join(placed, first, [group], "left", salt_by="__id").where("__bad is null or __key < __bad").select(group, "__id", "__v"))
         chosen = chosen.unionByName(taken.select(group, "__id"))
         sums = taken.groupBy(group).agg(F.sum("__v").alias("__s"))
-        # a row with the very key of the first that overflows is looked at again; ties of a 256-bit hash are repeated ids
+        # rows with the key of the first that overflows have its id too, and are passed over with it
         state = cut(state.join(sums, group, "left").join(first, group, "inner").select(group, (F.col("acc") + F.coalesce("__s", F.lit(0.0))).alias("acc"), "room", "stop", F.col("__bad").alias("pos")))
         left = slim
 
@@ -89,14 +82,17 @@ def greedy_fill(pool: DataFrame, targets: DataFrame, group: str, value: str, tol
     Rows of no value are passed over; groups without or with a non-positive target get nothing.
     """
     t = targets.where("target > 0").select(group, (F.col("target") * (1 - tolerance)).alias("lower"), (F.col("target") * (1 + tolerance)).alias("upper"))
-    slim = pool.select(group, F.col(ident).alias("__id"), F.col(value).cast("double").alias("__v")).where("__v > 0").withColumn("__key", stable_key("__id", seed)).join(F.broadcast(t), group)
+    slim = pool.select(group, F.col(ident).alias("__id"), F.col(value).cast("double").alias("__v")).where("__v > 0").withColumn("__key", stable_key("__id", seed))
+    slim = lookup_join(slim, cut(t), [group], salt_by="__id")
     slim = slim.withColumn("__small", F.when(F.col("__v") <= F.col("upper") - F.col("lower"), F.col("__v")).otherwise(0.0))
     slim = cut(slim)  # the value may be dear, and the sums read it twice
     near = prefix_sums(slim, group, "__key", "__small", "__id").where(F.col("before") < F.col("lower"))
     near = cut(near.select(group, "__id", "__key", "__v", "__small", "before", "lower", "upper"))
-    large = near.where("__small = 0").select(group).distinct()
-    fast = near.join(F.broadcast(large), group, "left_anti").select(group, "__id")
-    slow = near.join(F.broadcast(large), group, "left_semi").select(group, "__id", "__key", "__v")
+    kinds = cut(near.groupBy(group).agg(F.bool_or(F.col("__small") == 0).alias("__slow")))
+    told = lookup_join(near, kinds, [group], salt_by="__id")
+    fast = told.where("not __slow").select(group, "__id")
+    slow = told.where("__slow").select(group, "__id", "__key", "__v")
+    large = kinds.where("__slow").select(group)
     folded = take_fitting(slow, t.join(large, group).select(group, F.lit(0).alias("acc"), F.col("upper").alias("room"), F.col("lower").alias("stop")), group, fold_rows)
     chosen = fast.unionByName(folded)
     return pool.join(chosen.select(F.col(group), F.col("__id").alias(ident)), [group, ident], "left_semi")
@@ -134,43 +130,49 @@ def nested_variants(df: DataFrame, fractions: dict[str, float], preserve: list[s
 def prefix_sample(df: DataFrame, stratum: str, tokens: str, quotas: DataFrame, seed: int = 42, ident: str = "id") -> DataFrame:
     """Rows of each stratum in stable order up to the first that would exceed its quota; one row at least."""
     slim = df.withColumn("__key", stable_key(ident, seed))
-    placed = prefix_sums(slim, stratum, "__key", tokens, ident).join(F.broadcast(quotas), stratum)
+    placed = prefix_sums(slim, stratum, "__key", tokens, ident)
+    placed = lookup_join(placed, quotas, [stratum], salt_by=ident)
     return placed.where((F.col("before") + F.col(tokens) <= F.col("quota")) | (F.col("before") == 0)).drop("__key", "before", "quota")
 
 
-def pack_first_fit(df: DataFrame, group: str, tokens: str, capacity: int, ident: str = "id") -> DataFrame:
-    """First-fit-decreasing bins of each group: group, ident, bin, tokens. Records beyond the capacity have bin -1.
+#: Rows of a group that are packed in one task.
+SHARD_ROWS = 200_000
+
+
+def pack_first_fit(df: DataFrame, group: str, tokens: str, capacity: int, ident: str = "id", shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """First-fit-decreasing bins of each group: group, shard, ident, bin (in its shard), tokens. Records beyond the capacity have bin -1.
 
-    Sizes are whole numbers up to the capacity, so the state is a list of open bins; a group too large for one
-    task is to be split by the caller with a shard column in ``group``.
+    A group of more than ``shard_rows`` rows is packed in as many shards as it takes, by a hash of the identifier, so no
+    group is one task. The first bin with room is found in a tree over the room of all bins.
     """
     kinds = dict(df.dtypes)
+    slim = df.select(group, ident, tokens)
+    sizes = slim.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / shard_rows).cast("int").alias("__shards")).withColumn("__g", F.coalesce(F.col(group).cast("string"), F.lit("\0"))).drop(group)
+    keyed = lookup_join(slim.withColumn("__g", F.coalesce(F.col(group).cast("string"), F.lit("\0"))), sizes, ["__g"], salt_by=ident)
+    keyed = keyed.select(group, F.pmod(F.xxhash64(ident), F.col("__shards")).cast("int").alias("shard"), ident, tokens)
 
-    def pack(key, pdf):
-        from bisect import insort
-
+    def pack(pdf):
         pdf = pdf.sort_values([tokens, ident], ascending=[False, True])
-        room: list[tuple[int, int]] = []
-        bins, n = [], 0
-        for v in pdf[tokens]:
+        size = 1
+        while size < len(pdf):
+            size *= 2
+        room = [capacity] * (2 * size)  # of bins that aren't open yet too: the first that fits is opened
+        bins = []
+        for v in pdf[tokens].tolist():
             if v > capacity:
                 bins.append(-1)
                 continue
-            fit = min(((b, i) for i, (b, r) in enumerate(room) if r >= v), default=None)
-            if fit is None:
-                insort(room, (n, capacity - int(v)))
-                bins.append(n)
-                n += 1
-            else:
-                b, i = fit
-                room[i] = (b, room[i][1] - int(v))
-                if room[i][1] <= 0:
-                    del room[i]
-                bins.append(b)
-        return pdf.assign(bin=bins)[[group, ident, "bin", tokens]]
-
-    slim = df.select(group, ident, tokens)
-    return slim.groupBy(group).applyInPandas(pack, f"`{group}` {kinds[group]}, `{ident}` {kinds[ident]}, bin long, `{tokens}` {kinds[tokens]}")
+            at = 1
+            while at < size:
+                at = 2 * at if room[2 * at] >= v else 2 * at + 1
+            bins.append(at - size)
+            room[at] -= v
+            while at > 1:
+                at //= 2
+                room[at] = max(room[2 * at], room[2 * at + 1])
+        return pdf.assign(bin=bins)[[group, "shard", ident, "bin", tokens]]
+
+    return keyed.groupBy(group, "shard").applyInPandas(pack, f"`{group}` {kinds[group]}, shard int, `{ident}` {kinds[ident]}, bin long, `{tokens}` {kinds[tokens]}")
 
 
 @dataclass

@@ -45,19 +45,30 @@ def gate(results: DataFrame) -> bool:
     return bool(r)
 
 
-def integrity_report(derived: DataFrame, source: DataFrame, preserved: list[str], sampled: str, fraction: float, holdout: DataFrame | None = None, ident: str = "line_no", language: str = "language") -> DataFrame:
-    """check, ok, detail of a table derived from another: subset, no repeated key, classes kept whole, the sampled class near its fraction, no leak."""
-    stray = derived.select(ident).join(source.select(ident), ident, "left_anti").agg(F.count(F.lit(1)).alias("n")).select(F.lit("subset_of_source").alias("check"), (F.col("n") == 0).alias("ok"), F.col("n").cast("string").alias("detail"))
-    twice = derived.groupBy(ident).agg(F.count(F.lit(1)).alias("c")).agg(F.count_if(F.col("c") > 1).alias("n")).select(F.lit("no_repeated_key").alias("check"), (F.col("n") == 0).alias("ok"), F.col("n").cast("string").alias("detail"))
+def integrity_report(derived: DataFrame, source: DataFrame, preserved: list[str], sampled: str, fraction: float, holdout: DataFrame | None = None, ident: str = "line_no", language: str = "language", content: Column | None = None, expected: DataFrame | None = None) -> DataFrame:
+    """check, ok, detail of a table derived from another: subset, no repeated key, classes kept whole, the sampled class near its fraction, no leak, contents unchanged, rows as expected (a table of one ``rows``)."""
+
+    def none(n: DataFrame, name: str) -> DataFrame:
+        return n.select(F.lit(name).alias("check"), (F.col("n") == 0).alias("ok"), F.col("n").cast("string").alias("detail"))
+
+    count = F.count(F.lit(1)).alias("n")
+    out = none(derived.select(ident).join(source.select(ident), ident, "left_anti").agg(count), "subset_of_source")
+    out = out.unionByName(none(derived.groupBy(ident).agg(F.count(F.lit(1)).alias("c")).agg(F.count_if(F.col("c") > 1).alias("n")), "no_repeated_key"))
     a = derived.groupBy(language).agg(F.count(F.lit(1)).alias("d"))
     b = source.groupBy(language).agg(F.count(F.lit(1)).alias("s"))
     both = b.join(a, language, "left").withColumn("d", F.coalesce("d", F.lit(0)))
-    kept = both.where(F.col(language).isin(preserved)).agg(F.coalesce(F.bool_and(F.col("d") == F.col("s")), F.lit(True)).alias("ok")).select(F.lit("classes_preserved").alias("check"), "ok", F.lit(",".join(preserved)).alias("detail"))
-    ratio = both.where(F.col(language) == sampled).agg(F.coalesce(F.try_divide(F.sum("d"), F.sum("s")), F.lit(0.0)).alias("r")).select(F.lit("sampled_fraction").alias("check"), (F.abs(F.col("r") - fraction) <= 0.005).alias("ok"), F.format_string("%.4f", "r").alias("detail"))
-    out = stray.unionByName(twice).unionByName(kept).unionByName(ratio)
+    out = out.unionByName(both.where(F.col(language).isin(preserved)).agg(F.coalesce(F.bool_and(F.col("d") == F.col("s")), F.lit(True)).alias("ok")).select(F.lit("classes_preserved").alias("check"), "ok", F.lit(",".join(preserved)).alias("detail")))
+    ratio = both.where(F.col(language) == sampled).agg(F.coalesce(F.try_divide(F.sum("d"), F.sum("s")), F.lit(0.0)).alias("r"))
+    out = out.unionByName(ratio.select(F.lit("sampled_fraction").alias("check"), (F.abs(F.col("r") - fraction) <= 0.005).alias("ok"), F.format_string("%.4f", "r").alias("detail")))
     if holdout is not None:
-        leak = derived.join(holdout.select(ident), ident, "left_semi").agg(F.count(F.lit(1)).alias("n"))
-        out = out.unionByName(leak.select(F.lit("no_leak").alias("check"), (F.col("n") == 0).alias("ok"), F.col("n").cast("string").alias("detail")))
+        out = out.unionByName(none(derived.join(holdout.select(ident), ident, "left_semi").agg(count), "no_leak"))
+    if content is not None:
+        # a row is the same where key and checksum meet
+        mark = lambda df: df.select(ident, F.xxhash64(content).alias("c1"), F.xxhash64(F.lit("c"), content).alias("c2"))
+        out = out.unionByName(none(mark(derived).join(mark(source), [ident, "c1", "c2"], "left_anti").agg(count), "content_unchanged"))
+    if expected is not None:
+        rows = derived.agg(count).crossJoin(F.broadcast(expected.select("rows")))
+        out = out.unionByName(rows.select(F.lit("rows_expected").alias("check"), (F.col("n") == F.col("rows")).alias("ok"), F.col("n").cast("string").alias("detail")))
     return out
 
 

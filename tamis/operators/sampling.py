@@ -1,8 +1,8 @@
 """Deterministic samples, splits and caps.
 
 Every order comes from a hash of seed and key, so a result depends neither on the order of the input nor
-on its partitions. Quotas of strata are small aggregates; ``row_number() <= quota`` lets Spark drop rows
-in every task before the shuffle.
+on its partitions. Quotas of strata are small aggregates; the first rows of a stratum are found by a histogram
+of its keys (``ranks.mark_first``), so no stratum is sorted in one task however many rows it has.
 """
 
 from __future__ import annotations
@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tamis.operators.joins import lookup_join
+from tamis.operators.ranks import mark_first, prefix_sums
+
 
 def stable_key(ident: Column | str, seed: int = 42) -> Column:
     """Hex hash of ``seed:id``."""
@@ -38,28 +41,37 @@ def top_k(df: DataFrame, k: int, seed: int = 42, ident: str = "id") -> DataFrame
     return df.withColumn("__k", stable_key(ident, seed)).orderBy("__k", ident).limit(k).drop("__k")
 
 
+def _all(df: DataFrame, quota: int) -> DataFrame:
+    """A quota for one stratum of all rows."""
+    return df.sparkSession.createDataFrame([(0, quota)], "__all int, quota long")
+
+
 def split_exact(df: DataFrame, holdout: int, seed: int = 42, ident: str = "id") -> DataFrame:
-    """Adds ``part``: holdout for exactly that many rows with distinct ids, train for the rest."""
+    """Adds ``part``: holdout for the first that many rows in stable order, train for the rest."""
     if holdout < 0:
         raise ValueError("the holdout is negative")
-    chosen = top_k(df.select(ident), holdout, seed, ident)
-    if holdout and chosen.count() < holdout:
+    if df.count() < holdout:
         raise ValueError(f"{holdout} rows asked for, fewer are there")
-    return df.join(chosen.select(ident, F.lit("holdout").alias("part")), ident, "left").withColumn("part", F.coalesce("part", F.lit("train")))
+    marked = mark_first(df.withColumn("__all", F.lit(0)), _all(df, holdout), "__all", stable_key(ident, seed), ident, "__in")
+    return marked.withColumn("part", F.when(F.col("__in"), "holdout").otherwise("train")).drop("__all", "__in")
 
 
-def take_by_quota(df: DataFrame, quotas: DataFrame, stratum: str, order: list[Column]) -> DataFrame:
-    """Rows whose place in their stratum is within its quota."""
-    placed = df.withColumn("__r", F.row_number().over(Window.partitionBy(stratum).orderBy(*order)))
-    return placed.join(F.broadcast(quotas), stratum).where(F.col("__r") <= F.col("quota")).drop("__r", "quota")
+def take_by_quota(df: DataFrame, quotas: DataFrame, stratum: str, seed: int = 42, ident: str = "id") -> DataFrame:
+    """Rows that are among the first of their stratum within its ``quota``, in stable order."""
+    return mark_first(df, quotas, stratum, stable_key(ident, seed), ident, "__in").where("__in").drop("__in")
+
+
+def _strata(df: DataFrame, stratum: str, missing: str = "__unknown__") -> tuple[DataFrame, DataFrame]:
+    """The table with its stratum as ``__s``, and the rows of each as n."""
+    named = df.withColumn("__s", F.coalesce(F.col(stratum).cast("string"), F.lit(missing)))
+    return named, named.groupBy("__s").agg(F.count(F.lit(1)).alias("n"))
 
 
 def stratified_split(df: DataFrame, holdout: int, stratum: str, seed: int = 42, ident: str = "id", missing: str = "__unknown__") -> DataFrame:
     """Adds ``part``: the holdout is apportioned to the strata by largest remainder and taken in stable order."""
-    named = df.withColumn("__s", F.coalesce(F.col(stratum).cast("string"), F.lit(missing)))
-    quotas = largest_remainder(named.groupBy("__s").agg(F.count(F.lit(1)).alias("n")), "__s", "n", holdout)
-    placed = named.withColumn("__r", F.row_number().over(Window.partitionBy("__s").orderBy(stable_key(ident, seed), ident)))
-    return placed.join(F.broadcast(quotas), "__s").withColumn("part", F.when(F.col("__r") <= F.col("quota"), "holdout").otherwise("train")).drop("__r", "__s", "quota")
+    named, sizes = _strata(df, stratum, missing)
+    marked = mark_first(named, largest_remainder(sizes, "__s", "n", holdout), "__s", stable_key(ident, seed), ident, "__in")
+    return marked.withColumn("part", F.when(F.col("__in"), "holdout").otherwise("train")).drop("__s", "__in")
 
 
 def group_stratified_split(df: DataFrame, holdout: int, group: str, seed: int = 42, ident: str = "id") -> DataFrame:
@@ -70,32 +82,37 @@ def group_stratified_split(df: DataFrame, holdout: int, group: str, seed: int =
 def group_holdout(df: DataFrame, holdout: int, group: str, seed: int = 42) -> DataFrame:
     """Adds ``part``, keeping groups whole: groups in stable order as long as their rows fit into the holdout."""
     named = df.withColumn("__g", F.coalesce(F.col(group).cast("string"), F.lit("__no_group__")))
-    sizes = named.groupBy("__g").agg(F.count(F.lit(1)).alias("n")).withColumn("__k", stable_key("__g", seed))
-    run = sizes.withColumn("upto", F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("__k").rowsBetween(Window.unboundedPreceding, 0)))
-    return named.join(run.select("__g", (F.col("upto") <= holdout).alias("__h")), "__g").withColumn("part", F.when(F.col("__h"), "holdout").otherwise("train")).drop("__g", "__h")
+    sizes = named.groupBy("__g").agg(F.count(F.lit(1)).alias("n")).withColumns({"__k": stable_key("__g", seed), "__all": F.lit(0)})
+    run = prefix_sums(sizes, "__all", "__k", "n", "__g").select("__g", (F.col("before") + F.col("n") <= holdout).alias("__h"))
+    return lookup_join(named, run, ["__g"]).withColumn("part", F.when(F.col("__h"), "holdout").otherwise("train")).drop("__g", "__h")
 
 
 def ratio_split(df: DataFrame, ratio: float, stratum: str, seed: int = 42, ident: str = "id") -> DataFrame:
     """Adds ``part``: a share of every stratum, one row at least, is held out."""
-    named = df.withColumn("__s", F.coalesce(F.col(stratum).cast("string"), F.lit("__unknown__")))
-    w = Window.partitionBy("__s")
-    placed = named.withColumn("__r", F.row_number().over(w.orderBy(stable_key(ident, seed), ident))).withColumn("__n", F.count(F.lit(1)).over(w))
-    return placed.withColumn("part", F.when(F.col("__r") <= F.greatest(F.lit(1), F.floor(F.col("__n") * F.lit(ratio))), "holdout").otherwise("train")).drop("__r", "__n", "__s")
+    named, sizes = _strata(df, stratum)
+    quotas = sizes.select("__s", F.greatest(F.lit(1), F.floor(F.col("n") * F.lit(ratio))).cast("long").alias("quota"))
+    marked = mark_first(named, quotas, "__s", stable_key(ident, seed), ident, "__in")
+    return marked.withColumn("part", F.when(F.col("__in"), "holdout").otherwise("train")).drop("__s", "__in")
 
 
 def three_way_split(df: DataFrame, stratum: str, val: float = 0.05, test: float = 0.05, seed: int = 42, ident: str = "id") -> DataFrame:
     """Adds ``part``: train, val and test in each stratum, sizes by half-even rounding."""
-    w = Window.partitionBy(F.coalesce(F.col(stratum).cast("string"), F.lit("__unknown__")))
-    placed = df.withColumn("__r", F.row_number().over(w.orderBy(stable_key(ident, seed), ident))).withColumn("__n", F.count(F.lit(1)).over(w))
-    nv, nt = F.bround(F.col("__n") * F.lit(val)), F.bround(F.col("__n") * F.lit(test))
-    return placed.withColumn("part", F.when(F.col("__r") <= nv, "val").when(F.col("__r") <= nv + nt, "test").otherwise("train")).drop("__r", "__n")
+    named, sizes = _strata(df, stratum)
+    nv, nt = F.bround(F.col("n") * F.lit(val)).cast("long"), F.bround(F.col("n") * F.lit(test)).cast("long")
+    key = stable_key(ident, seed)
+    marked = mark_first(mark_first(named, sizes.select("__s", nv.alias("quota")), "__s", key, ident, "__v"), sizes.select("__s", (nv + nt).alias("quota")), "__s", key, ident, "__t")
+    return marked.withColumn("part", F.when(F.col("__v"), "val").when(F.col("__t"), "test").otherwise("train")).drop("__s", "__v", "__t")
 
 
 def source_diverse(df: DataFrame, need: int, max_share: float, source: str = "source", seed: int = 42, ident: str = "id") -> DataFrame:
     """``need`` rows in stable order, at most a share from each source, filled up from what is left."""
     cap = max(1, int(need * max_share)) if 0 < max_share < 1 else need
-    keyed = df.withColumn("__k", stable_key(ident, seed)).withColumn("__r", F.row_number().over(Window.partitionBy(F.coalesce(F.col(source), F.lit(""))).orderBy("__k", ident)))
-    return keyed.withColumn("__over", F.col("__r") > cap).orderBy("__over", "__k", ident).limit(need).drop("__k", "__r", "__over")
+    named, sizes = _strata(df, source, "")
+    key = stable_key(ident, seed)
+    under = mark_first(named, sizes.select("__s", F.lit(cap).cast("long").alias("quota")), "__s", key, ident, "__in")
+    # those within the cap come first
+    first = F.concat(F.when(F.col("__in"), "0").otherwise("1"), key)
+    return mark_first(under.withColumn("__all", F.lit(0)), _all(df, need), "__all", first, ident, "__first", skip=1).where("__first").drop("__s", "__in", "__all", "__first")
 
 
 def cap_per(df: DataFrame, key: Column, cap: int, order: list[Column | str], only: Column | None = None) -> DataFrame:

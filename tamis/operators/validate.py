@@ -51,7 +51,7 @@ def intermediate_raw(df: DataFrame, schema: Schema) -> DataFrame:
     df = df.withColumn("turns", F.when(F.col("k_messages").startswith("ARRAY"), F.transform(F.expr("cast(try_variant_get(v, '$.messages', 'array<variant>') as array<variant>)"), turn)))
     flags = F.when(F.col("k_quality").startswith("OBJECT"), F.json_object_keys(F.get_json_object("_raw", "$.quality")))
     bad = F.array_compact(F.array(*[F.when((t := F.schema_of_variant(F.try_variant_get("v", f"$.quality.{q}", "variant"))).isNotNull() & (t != "BOOLEAN"), F.lit(q)) for q in schema.quality_flags]))
-    return df.withColumns({"q_unknown": F.array_except(flags, F.array(*map(F.lit, schema.quality_flags))), "q_bad": bad})
+    return with_order(df).withColumns({"q_unknown": F.array_except(flags, F.array(*map(F.lit, schema.quality_flags))), "q_bad": bad})
 
 
 def intermediate_typed(df: DataFrame, schema: Schema) -> DataFrame:
@@ -61,20 +61,26 @@ def intermediate_typed(df: DataFrame, schema: Schema) -> DataFrame:
     kinds = {f: F.when(have[f].isNull(), "VOID" if f in schema.required else None).otherwise({"messages": "ARRAY", "code_switching": "BOOLEAN", "quality": "OBJECT"}.get(f, "STRING")) for f in schema.known}
     turn = lambda m: F.struct(m.isNotNull().alias("obj"), F.lit(True).alias("has_role"), F.lit(True).alias("has_content"), m["role"].alias("role"), m["content"].alias("content"))
     none = F.array().cast("array<string>")
-    return df.withColumns(
+    df = df.withColumns(
         {"is_object": F.lit(True), "keys": keys, "turns": F.transform(have["messages"], turn), "q_unknown": none, "q_bad": none}
         | {f"k_{f}": k for f, k in kinds.items()}
         | {f"t_{f}": have[f] for f in schema.known if f not in ("messages", "code_switching", "quality")}
     )
+    return with_order(df)
+
+
+def with_order(df: DataFrame) -> DataFrame:
+    """Adds what the rules on the turns share, each computed once a record: the first broken turn, the turns before it, and the roles."""
+    indexed = F.transform("turns", lambda m, i: F.struct(m.alias("m"), i.alias("i")))
+    df = df.withColumns({"__indexed": indexed, "__roles": F.transform("turns", lambda m: m["role"])})
+    broken = lambda x: ~x["m"]["obj"] | ~x["m"]["has_role"] | ~x["m"]["has_content"]
+    df = df.withColumns({"__stop": F.try_element_at(F.filter("__indexed", broken), F.lit(1)), "__body": F.filter("__roles", lambda r: r.isNull() | (r != "system"))})
+    return df.withColumns({"__before": F.when(F.col("__stop").isNull(), F.col("__indexed")).otherwise(F.slice("__indexed", F.lit(1), F.coalesce(F.col("__stop.i"), F.lit(0)))), "__twice": F.exists(F.zip_with(F.slice("__body", F.lit(1), F.greatest(F.size("__body") - 1, F.lit(0))), F.slice("__body", F.lit(2), F.greatest(F.size("__body") - 1, F.lit(0))), lambda a, b: F.coalesce(a == b, F.lit(False))), lambda x: x)})
 
 
 def message_errors(schema: Schema) -> Column:
     """Defects of the turns; a malformed turn ends the look at the order of turns."""
-    t = F.col("turns")
-    indexed = F.transform(t, lambda m, i: F.struct(m.alias("m"), i.alias("i")))
-    broken = lambda x: ~x["m"]["obj"] | ~x["m"]["has_role"] | ~x["m"]["has_content"]
-    stop = F.try_element_at(F.filter(indexed, broken), F.lit(1))
-    before = F.filter(indexed, lambda x: stop.isNull() | (x["i"] < stop["i"]))
+    t, stop, before = F.col("turns"), F.col("__stop"), F.col("__before")
     place = lambda x: F.concat(F.lit("messages["), x["i"].cast("string"), F.lit("]"))
     first = F.array(
         F.when(stop.isNotNull() & ~stop["m"]["obj"], _err("invalid_type", place(stop), "a turn is not an object"))
@@ -86,12 +92,11 @@ def message_errors(schema: Schema) -> Column:
         F.filter(before, lambda x: x["m"]["content"].isNull() | (strip(x["m"]["content"]) == "")),
         lambda x: F.when(x["m"]["content"].isNull(), _err("invalid_type", F.concat(place(x), F.lit(".content")), "content is not a string")).otherwise(_err("empty_content", F.concat(place(x), F.lit(".content")), "content is blank")),
     )
-    roles = F.transform(t, lambda m: m["role"])
+    roles, body = F.col("__roles"), F.col("__body")
     system = F.filter(roles, lambda r: r == "system")
-    body = F.filter(roles, lambda r: r.isNull() | (r != "system"))
     ordered = stop.isNull()
     has_body = ordered & (F.size(body) > 0)
-    wrong = F.exists(F.transform(body, lambda r, i: F.struct(r.alias("r"), i.alias("i"))), lambda x: (x["i"] > 0) & F.coalesce(x["r"] == F.try_element_at(body, x["i"].cast("int")), F.lit(False)))
+    wrong = F.col("__twice")
     order = F.array(
         _when(ordered & (F.size(system) > 1), "invalid_ordering", "messages", "more than one system turn"),
         _when(ordered & (F.array_position(roles, "system") > 1), "invalid_ordering", "messages", "the system turn is not the first"),

