@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +22,8 @@ def get_spark(app: str = "tamis", master: str | None = None, **conf: str) -> Spa
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.variant.allowDuplicateKeys": "true",
         "spark.ui.showConsoleProgress": "false",
+        # checkpoints go when nothing refers to them any more
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     } | {k.replace("__", "."): v for k, v in conf.items()}
     for k, v in settings.items():
         builder = builder.config(k, v)
@@ -29,14 +33,20 @@ def get_spark(app: str = "tamis", master: str | None = None, **conf: str) -> Spa
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder shared by all executors: ``spark.checkpoint.dir`` of the session.
 
-    Only where that is unset (tests on one machine) a temporary folder is made.
+    Only where that is unset and all executors are this process (a local master, as in tests) a temporary folder
+    is made; on a cluster it would be another one on each machine, so there it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     named = sc.getConf().get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="tamis-checkpoint-"))
+    if not named and not (sc.master == "local" or sc.master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if not named:
+        named = tempfile.mkdtemp(prefix="tamis-checkpoint-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
+    sc.setCheckpointDir(named)
     return sc.getCheckpointDir()
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import hashlib
 import json
 import os
 import tempfile
@@ -35,6 +37,27 @@ def json_atomic(path: str, value) -> None:
     os.replace(tmp, path)
 
 
+def pointer(path: str, target: str) -> None:
+    """A file that names another, for example the latest; moved into place as a whole."""
+    fd, tmp = tempfile.mkstemp(dir=os.path.dirname(os.path.abspath(path)))
+    with os.fdopen(fd, "w", encoding="utf-8") as f:
+        f.write(target + "\n")
+    os.replace(tmp, path)
+
+
+def provenance(path: str, about: dict) -> str:
+    """A sidecar beside a finished file: what is said of it, its size, hash and time; both are made read-only. Returns the sidecar's path."""
+    with open(path, "rb") as f:
+        digest = hashlib.file_digest(f, "sha256").hexdigest()
+    side = path + ".provenance.json"
+    if os.path.exists(side):
+        os.chmod(side, 0o644)
+    json_atomic(side, about | {"file": os.path.basename(path), "bytes": os.path.getsize(path), "sha256": digest, "recorded_at": dt.datetime.now(dt.timezone.utc).isoformat()})
+    for p in (path, side):
+        os.chmod(p, 0o444)
+    return side
+
+
 def sharegpt(df: DataFrame, keep_metadata: bool = False) -> DataFrame:
     """Conversations for training; with metadata also id, category, source and language."""
     keep = ["id", "category", "source", "language"] if keep_metadata else []
@@ -57,12 +80,20 @@ def alpaca(df: DataFrame, columns: dict[str, str | None]) -> DataFrame:
 
 
 def alpaca_with_ids(df: DataFrame, columns: dict[str, str | None], row: str) -> tuple[DataFrame, DataFrame]:
-    """Strict rows, and a sidecar by row number with all other columns and the hash of the passage."""
+    """Strict rows with their row number, and a sidecar by it with all other columns and the hash of the passage."""
     used = {v for v in columns.values() if v}
     rest = [c for c in df.columns if c not in used and c != row]
     passage = F.coalesce(F.col(columns["input"]).cast("string"), F.lit("")) if columns.get("input") else F.lit("")
     side = df.select(F.col(row).alias("row"), *rest, F.when(passage != "", F.sha2(passage, 256)).alias("passage_sha256"))
-    return alpaca(df, columns), side
+    strict = df.select(F.col(row).alias("row"), *[F.coalesce(F.col(columns[k]).cast("string"), F.lit("")).alias(k) if columns.get(k) else F.lit("").alias(k) for k in ("instruction", "input", "output")])
+    return strict, side
+
+
+def export_alpaca(df: DataFrame, columns: dict[str, str | None], row: str, path: str) -> None:
+    """Strict rows under ``data`` and the sidecar under ``ids``, both in the order of the row number, which the strict rows don't show."""
+    strict, side = alpaca_with_ids(df, columns, row)
+    strict.orderBy("row").drop("row").write.mode("overwrite").json(f"{path}/data", ignoreNullFields=False)
+    side.orderBy("row").write.mode("overwrite").json(f"{path}/ids")
 
 
 def csv_report(df: DataFrame, path: str) -> None:

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamis.operators.validate import record_errors, intermediate_raw
+from tamis.sources.readers import exists
 from tamis.spec import CANONICAL, Schema
 
 
@@ -18,19 +17,21 @@ def stream_lines(spark: SparkSession, folder: str, max_files: int = 1000) -> Dat
 def ingest(spark: SparkSession, folder: str, target: str, checkpoint: str, schema: Schema = Schema()) -> None:
     """Reads what is new in ``folder``; sound records whose id the target lacks are appended there, defects beside it.
 
-    Each batch is idempotent: it writes to a folder named by its number, so a batch that is run again
+    Of several records of an id in a batch the first by file and line is kept. Each batch is idempotent: it writes to a folder named by its number, so a batch that is run again
     after a failure replaces what it left.
     """
 
     def batch(df: DataFrame, n: int) -> None:
-        parsed = df.where(F.trim("_raw") != "").withColumn("v", F.try_parse_json("_raw"))
+        parsed = df.withColumn("_at", F.monotonically_increasing_id()).where(F.trim("_raw") != "").withColumn("v", F.try_parse_json("_raw"))
         judged = intermediate_raw(parsed, schema).withColumn("errors", F.when(~F.coalesce(F.col("is_object"), F.lit(False)), F.array(F.struct(F.lit("invalid_json").alias("code"), F.lit("no object").alias("message"), F.lit(None).cast("string").alias("field")))).otherwise(record_errors(schema)))
-        good = judged.where("size(errors) = 0").select(F.from_json("_raw", CANONICAL).alias("r")).select("r.*").dropDuplicates(["id"])
-        done = [p for p in (os.path.join(target, x) for x in (os.listdir(target) if os.path.isdir(target) else [])) if not p.endswith(f"batch={n}") and "batch=" in p]
-        if done:
-            good = good.join(spark.read.schema(CANONICAL).parquet(*done).select("id"), "id", "left_anti")
-        good.write.mode("overwrite").parquet(os.path.join(target, f"batch={n}"))
-        judged.where("size(errors) > 0").select("_file", "_raw", F.to_json("errors").alias("errors")).write.mode("overwrite").json(os.path.join(target + "_errors", f"batch={n}"))
+        sound = judged.where("size(errors) = 0").select(F.from_json("_raw", CANONICAL).alias("r"), "_file", "_at", "_raw").select("r.*", F.struct("_file", "_at", "_raw").alias("_first"))
+        first = sound.groupBy("id").agg(F.min("_first").alias("_first"))
+        good = sound.join(first, ["id", "_first"], "left_semi").drop("_first")
+        if exists(spark, f"{target}/batch=*"):
+            done = spark.read.schema(CANONICAL + ", batch long").parquet(target).where(F.col("batch") != n)
+            good = good.join(done.select("id"), "id", "left_anti")
+        good.write.mode("overwrite").parquet(f"{target}/batch={n}")
+        judged.where("size(errors) > 0").select("_file", "_raw", F.to_json("errors").alias("errors")).write.mode("overwrite").json(f"{target}_errors/batch={n}")
 
     q = stream_lines(spark, folder).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
