@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tamis.functions.classify import code_switching
 from tamis.functions.messages import canonical_messages, from_sharegpt, from_text, messages_valid
 from tamis.functions.text import as_text, clean_web, collapse, has_arabic, has_digit_orthography, has_french, is_short, sanitise_id, strip
 
@@ -13,6 +14,13 @@ SENTIMENTS = {"1": "positive", "0": "neutral", "-1": "negative"}
 DIALECT_LANGUAGE = {"tunisian": "ar", "tunisian_arabic": "ar", "arabic": "ar", "tunisian_arabizi": "arabizi", "arabizi": "arabizi", "french": "fr", "english": "en", "mixed": "mixed"}
 
 
+#: Topics of questions and the categories they belong to.
+TOPIC_CATEGORY = {
+    "student_life": "general_instruction", "education": "general_instruction", "work": "general_instruction", "health": "knowledge_qa", "technology": "general_instruction", "culture": "general_instruction",
+    "religion": "knowledge_qa", "politics": "knowledge_qa", "sports": "general_instruction", "food": "general_instruction", "travel": "general_instruction", "family": "general_instruction",
+}
+
+
 def lookup(c: Column, pairs: dict[str, str], default: str | None = None) -> Column:
     m = F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv])
     return F.coalesce(F.try_element_at(m, c), F.lit(default).cast("string"))
@@ -125,3 +133,68 @@ def retag(df: DataFrame, category: Column) -> DataFrame:
 
 def alias_targets(category: Column, aliases: dict[str, str]) -> Column:
     return F.coalesce(lookup(category, aliases), category)
+
+
+# --- pools: rows of one shape as canonical records, code-switching told where the shape calls for it ----------
+def _numbered(source: str, ident: str | None, *parts: Column) -> Column:
+    """An identifier from the source and a column, or from the hash of the parts: the same wherever a row stands."""
+    own = F.col(ident).cast("string") if ident else F.lit(None).cast("string")
+    return F.concat(F.lit(source + "-"), F.coalesce(own, F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, 16)))
+
+
+def _pool(df: DataFrame, source: str, ident: str | None, user: Column, assistant: Column, category: Column | str, language: Column | str, switching: Column | None = None, **optional) -> DataFrame:
+    rows = df.withColumns({"__u": user, "__a": assistant})
+    more = {} if switching is None else {"code_switching": switching}
+    return record(rows, _numbered(source, ident, F.col("__u"), F.col("__a")), F.col("__u"), F.col("__a"), category, source, language, **optional, **more)
+
+
+def instruction_pool(df: DataFrame, source: str, ident: str | None = None, language: str = "ar", category: str = "general_instruction") -> DataFrame:
+    """instruction, output and perhaps input; a filled input follows the instruction on a line of its own."""
+    extra = as_text(F.col("input")) if "input" in df.columns else F.lit("")
+    user = F.concat(as_text(F.col("instruction")), F.when(strip(extra) != "", F.concat(F.lit("\n"), extra)).otherwise(""))
+    return _pool(df, source, ident, user, as_text(F.col("output")), category, language)
+
+
+def conversation_pool(df: DataFrame, source: str, ident: str | None = None, language: str = "ar", category: str = "general_instruction", conversations: str = "conversations") -> DataFrame:
+    """Turns of speakers, as an array or as its JSON text; conversations of less than two known turns are left out."""
+    c = F.col(conversations)
+    turns = F.from_json(c, "array<struct<from:string,value:string>>") if dict(df.dtypes)[conversations] == "string" else c
+    rows = df.withColumn("__m", from_sharegpt(turns)).where("size(__m) >= 2")
+    return rows.select(_numbered(source, ident, F.to_json("__m")).alias("id"), F.col("__m").alias("messages"), F.lit(category).alias("category"), F.lit(source).alias("source"), F.lit(language).alias("language"))
+
+
+def language_pool(df: DataFrame, source: str, ident: str | None = None, code: str = "arb", language: str = "ar", category: str = "general_instruction") -> DataFrame:
+    """inputs, targets of one language code, both filled."""
+    return _pool(multilingual_pairs(df, code), source, ident, as_text(F.col("inputs")), as_text(F.col("targets")), category, language)
+
+
+def dialect_pool(df: DataFrame, source: str, ident: str | None = None, category: str = "general_instruction") -> DataFrame:
+    """instruction, input, output, dialect: language and code-switching from the dialect, mixed where it is unknown."""
+    user = F.concat(as_text(F.col("instruction")), F.when(strip(as_text(F.col("input"))) != "", F.concat(F.lit("\n"), as_text(F.col("input")))).otherwise(""))
+    d = F.lower(F.col("dialect"))
+    switching = code_switching(F.concat_ws(" ", user, as_text(F.col("output"))), F.col("dialect"))
+    return _pool(df, source, ident, user, as_text(F.col("output")), category, lookup(d, DIALECT_LANGUAGE, "mixed"), switching, script="mixed")
+
+
+def topic_pool(df: DataFrame, source: str, ident: str | None = None, language: str = "mixed") -> DataFrame:
+    """instruction, response, category: the topic gives the category."""
+    user, answer = as_text(F.col("instruction")), as_text(F.col("response"))
+    return _pool(df, source, ident, user, answer, lookup(F.lower(F.col("category")), TOPIC_CATEGORY, "general_instruction"), language, code_switching(F.concat_ws(" ", user, answer)), script="mixed")
+
+
+def text_pool(df: DataFrame, source: str, ident: str | None = None, text: str = "text", switching: bool | None = None, language: str = "mixed") -> DataFrame:
+    """Running texts as alternating turns; ``switching`` where the whole pool is known to switch."""
+    rows = df.withColumn("__m", from_text(F.col(text))).where("__m is not null")
+    told = code_switching(F.array_join(F.transform("__m", lambda m: m["content"]), " ")) if switching is None else F.lit(switching)
+    return rows.select(_numbered(source, ident, F.to_json("__m")).alias("id"), F.col("__m").alias("messages"), F.lit("general_instruction").alias("category"), F.lit(source).alias("source"), F.lit(language).alias("language"), F.lit("mixed").alias("script"), told.alias("code_switching"))
+
+
+#: Shapes of pools by name: function (table, source, options) to canonical records.
+POOLS = {"instruction": instruction_pool, "conversation": conversation_pool, "language": language_pool, "dialect": dialect_pool, "topic": topic_pool, "text": text_pool}
+
+
+def load_pool(df: DataFrame, shape: str, source: str, **options) -> DataFrame:
+    """Canonical records of a pool of a registered shape."""
+    if shape not in POOLS:
+        raise ValueError(f"unknown shape {shape}; one of {sorted(POOLS)}")
+    return POOLS[shape](df, source, **options)

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+import subprocess
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -23,6 +26,72 @@ def verify_manifest(manifest: DataFrame, listing: DataFrame, critical: list[str]
     return both.select("name", status.alias("status"), F.col("name").isin(*critical).alias("critical"))
 
 
+def build_manifest(listing: DataFrame) -> DataFrame:
+    """name, bytes, sha256 of a listing with hashes, to verify a copy by."""
+    return listing.select(F.element_at(F.split("path", "/"), -1).alias("name"), "bytes", "sha256")
+
+
+def missing_files(listing: DataFrame, required: list[str]) -> DataFrame:
+    """name, result (PASS, empty, missing) of the files that a finished folder needs."""
+    want = listing.sparkSession.createDataFrame([(x,) for x in required], "name string")
+    have = listing.groupBy(F.element_at(F.split("path", "/"), -1).alias("name")).agg(F.max("bytes").alias("bytes"))
+    return want.join(have, "name", "left").select("name", F.when(F.col("bytes").isNull(), "missing").when(F.col("bytes") == 0, "empty").otherwise("PASS").alias("result"))
+
+
+def settings(found: dict, wanted: dict, prefix: str = "") -> list[tuple[str, str]]:
+    """(name, what is wrong) of every setting of ``wanted``, nested as it is, that isn't so in ``found``."""
+    out = []
+    for k, v in wanted.items():
+        name = f"{prefix}{k}"
+        if k not in found:
+            out.append((name, "missing"))
+        elif isinstance(v, dict) and isinstance(found[k], dict):
+            out += settings(found[k], v, name + ".")
+        elif found[k] != v:
+            out.append((name, f"{found[k]!r}, not {v!r}"))
+    return out
+
+
+def verify_provenance(listing: DataFrame, records: DataFrame) -> DataFrame:
+    """name, result of every data file: whether a provenance record (file, bytes, sha256) is there and holds."""
+    have = listing.where(~F.col("path").endswith(".provenance.json")).select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("bytes").alias("b"), F.col("sha256").alias("s"))
+    said = records.select(F.col("file").alias("name"), F.col("bytes").alias("sb"), F.col("sha256").alias("ss"))
+    result = F.when(F.col("ss").isNull(), "no record").when(F.col("s").isNull(), "no file").when((F.col("b") != F.col("sb")) | (F.col("s") != F.col("ss")), "changed").otherwise("PASS")
+    return have.join(said, "name", "full").select("name", result.alias("result"))
+
+
+def checked_fingerprint(listing: DataFrame, sidecar: str) -> bool:
+    """Whether the fingerprint of the files is the stored one; where none is stored it is computed and kept."""
+    import os
+
+    from tamis.sources.writers import json_atomic
+
+    now = fingerprint(listing)
+    if not os.path.exists(sidecar):
+        json_atomic(sidecar, {"fingerprint": now})
+        return True
+    with open(sidecar, encoding="utf-8") as f:
+        return json.load(f)["fingerprint"] == now
+
+
+def run_step(name: str, command: list[str], output: str | None = None, timeout: float | None = None) -> dict:
+    """Runs an external command and tells: name, exit code, seconds, last line it said, and the lines of its output file."""
+    began = time.time()
+    try:
+        done = subprocess.run(command, capture_output=True, text=True, timeout=timeout)
+        code, said = done.returncode, (done.stdout + done.stderr).strip()
+    except (OSError, subprocess.TimeoutExpired) as e:
+        code, said = -1, str(e)
+    rows = None
+    if output:
+        try:
+            with open(output, "rb") as f:
+                rows = sum(1 for line in f if line.strip())
+        except OSError:
+            pass
+    return {"name": name, "exit_code": code, "seconds": round(time.time() - began, 3), "said": said.splitlines()[-1] if said else "", "rows": rows}
+
+
 def complete_checkpoints(listing: DataFrame, required: list[str]) -> DataFrame:
     """folder, step, complete of every checkpoint folder: complete where each required file is there and not empty."""
     f = listing.select(F.regexp_extract("path", r"^(.*checkpoint-(\d+))/", 1).alias("folder"), F.regexp_extract("path", r"checkpoint-(\d+)/", 1).alias("step"), F.element_at(F.split("path", "/"), -1).alias("name"), "bytes").where("step <> ''")
@@ -122,6 +191,18 @@ def receipt(df: DataFrame, by: list[str], tokens: Column | None = None, **extra)
     return out
 
 
+def selection_receipt(train: DataFrame, holdout: DataFrame, rejected: DataFrame, by: list[str], tokens: Column, **said) -> dict:
+    """A manifest of a selection: train and holdout by column with tokens, rejections by reason, sources, and what else is said of it."""
+    out = receipt(train, [], **said)
+    for name, df in (("train", train), ("holdout", holdout)):
+        part = receipt(df, by, tokens)
+        part.pop("generated_at")
+        out[name] = part | {"total": df.count()}
+    out["rejected"] = {r["reject_reason"]: r["n"] for r in rejected.collect()}
+    out["sources"] = sorted(r[0] for r in train.select("source").unionByName(holdout.select("source")).where("source is not null").distinct().collect())
+    return out
+
+
 def fingerprint(listing: DataFrame) -> str:
     """One hash over all files: names and hashes in order of the name."""
     return listing.agg(F.sha2(F.array_join(F.array_sort(F.collect_list(F.concat_ws("=", F.element_at(F.split("path", "/"), -1), "sha256"))), "\n"), 256)).first()[0]

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tamis.operators.dedup import word_shingles
+from tamis.operators.joins import lookup_join
+from tamis.session import cut
 from tamis.spec import MixtureSpec
 
 
@@ -61,18 +64,59 @@ def pairwise_overlap(df: DataFrame, split: str, key: Column) -> DataFrame:
     return pairs.groupBy("split_a", "split_b").agg(F.count(F.lit(1)).alias("shared"))
 
 
+def line_overlap(df: DataFrame, split: str, line: Column) -> DataFrame:
+    """split_a, split_b, shared: distinct whole lines (or records as text) that stand in two splits, by their hash."""
+    return pairwise_overlap(df, split, F.sha2(line, 256))
+
+
+def key_relation(a: DataFrame, b: DataFrame, on: str = "id") -> DataFrame:
+    """One row on the distinct keys of two tables: only_a, only_b, shared, subset (all of a in b), equal."""
+    side = lambda df, n: df.select(F.col(on).alias("k")).where("k is not null").distinct().withColumn(n, F.lit(1))
+    n = side(a, "a").join(side(b, "b"), "k", "full").agg(F.count_if(F.col("b").isNull()).alias("only_a"), F.count_if(F.col("a").isNull()).alias("only_b"), F.count_if(F.col("a").isNotNull() & F.col("b").isNotNull()).alias("shared"))
+    return n.withColumns({"subset": F.col("only_a") == 0, "equal": (F.col("only_a") == 0) & (F.col("only_b") == 0)})
+
+
+def union_keys(*tables: DataFrame, on: str = "id") -> DataFrame:
+    """The distinct keys of all tables."""
+    out = None
+    for t in tables:
+        k = t.select(on).where(F.col(on).isNotNull())
+        out = k if out is None else out.unionByName(k)
+    return out.distinct()
+
+
+def sub_corpora(df: DataFrame, column: str, include: list[str] | None = None, exclude: list[str] = ()) -> DataFrame:
+    """Rows of the listed sub-corpora, or of all but the excluded ones; rows without a name are of none that is listed or excluded."""
+    out = df if include is None else df.where(F.coalesce(F.col(column).isin(*include), F.lit(False)))
+    return out.where(~F.coalesce(F.col(column).isin(*exclude), F.lit(False))) if exclude else out
+
+
+def code_switched(df: DataFrame) -> DataFrame:
+    """Rows that say they switch languages."""
+    return df.where(F.coalesce("code_switching", F.lit(False)))
+
+
+def zip_rows(a: DataFrame, b: DataFrame, row: str) -> DataFrame:
+    """Two tables row by row over their row number; raises where one has rows that the other lacks."""
+    lost = a.select(row).join(b.select(F.col(row).alias("__b")), F.col(row) == F.col("__b"), "full").where(F.col(row).isNull() | F.col("__b").isNull()).limit(1).count()
+    if lost:
+        raise ValueError("the tables don't have the same rows")
+    return a.join(b, row)
+
+
 def is_subset(a: DataFrame, b: DataFrame, on: str = "id") -> bool:
-    return a.select(on).join(b.select(on).distinct(), on, "left_anti").isEmpty()
+    return bool(key_relation(a, b, on).first()["subset"])
 
 
 def same_keys(a: DataFrame, b: DataFrame, on: str = "id") -> bool:
-    return is_subset(a, b, on) and is_subset(b, a, on)
+    return bool(key_relation(a, b, on).first()["equal"])
 
 
 def shared_shingles(docs: DataFrame, items: DataFrame, doc: str, text: str, item: str, item_text: str, n: int = 8) -> DataFrame:
-    """``doc``, ``item``, shared: distinct runs of n words of an item that a document holds."""
-    from tamis.operators.dedup import word_shingles
+    """``doc``, ``item``, shared: distinct runs of n words of an item that a document holds.
 
+    The items' runs are counted and broadcast; more of them are salted, as a run may stand in a third of the documents.
+    """
     d = docs.select(F.col(doc), F.explode(word_shingles(F.col(text), n)).alias("s"))
-    i = items.select(F.col(item), F.explode(word_shingles(F.col(item_text), n)).alias("s"))
-    return d.join(i, "s").groupBy(doc, item).agg(F.count(F.lit(1)).alias("shared"))
+    i = cut(items.select(F.col(item), F.explode(word_shingles(F.col(item_text), n)).alias("s")))
+    return lookup_join(d, i, ["s"], salt_by=doc).groupBy(doc, item).agg(F.count(F.lit(1)).alias("shared"))

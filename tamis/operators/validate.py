@@ -171,7 +171,8 @@ def duplicate_ids(df: DataFrame, ident: str = "id", line: str = "line_no") -> Da
     ids = df.where(F.coalesce(strip(F.col(ident)), F.lit("")) != "").select(F.col(line).alias("line"), F.col(ident).alias("record_id"))
     first = ids.groupBy("record_id").agg(F.min("line").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     later = ids.join(first, "record_id").where("line > first")
-    return later.select("line", "record_id", F.lit("duplicate_id").alias("code"), F.concat(F.lit("first on line "), F.col("first").cast("string")).alias("message"), F.lit("id").alias("field"))
+    place = F.col("first._line") if dict(ids.dtypes)["line"].startswith("struct") else F.col("first")
+    return later.select("line", "record_id", F.lit("duplicate_id").alias("code"), F.concat(F.lit("first on line "), place.cast("string")).alias("message"), F.lit("id").alias("field"))
 
 
 def error_rows(validated: DataFrame, line: str = "line") -> DataFrame:

@@ -137,3 +137,40 @@ class RetentionSpec:
         if unknown:
             raise SpecError(f"unknown fields: {sorted(unknown)}")
         return RetentionSpec(**{k: tuple(v) if isinstance(v, list) else v for k, v in raw.items()}).validate()
+
+
+@dataclass(frozen=True)
+class SliceSpec:
+    """Plan of one slice: what may enter it and the token budgets of its categories around an anchor."""
+
+    name: str
+    languages: tuple[str, ...]
+    scripts: tuple[str, ...] = ()
+    anchor: str = "knowledge_qa"
+    multipliers: dict[str, float] = field(default_factory=dict)
+    unit_tokens: int | None = None
+    holdout_ratio: float = 0.05
+    tolerance: float = 0.02
+    max_tokens: int = 15_500
+    seed: int = 42
+
+    def problems(self, schema: Schema = Schema()) -> list[str]:
+        out = [f"unknown category {c}" for c in self.multipliers if c not in schema.categories]
+        out += [f"unknown language {x}" for x in self.languages if x not in schema.languages] + [f"unknown script {x}" for x in self.scripts if x not in schema.scripts]
+        if not self.languages or not self.multipliers:
+            out.append("a slice needs languages and multipliers")
+        if self.unit_tokens is None and self.anchor not in self.multipliers:
+            out.append("the anchor has no multiplier and there is no unit")
+        return out
+
+    @staticmethod
+    def load(path: str | Path) -> SliceSpec:
+        import yaml
+
+        raw = yaml.safe_load(Path(path).read_text(encoding="utf-8")) or {}
+        if unknown := set(raw) - set(SliceSpec.__dataclass_fields__):
+            raise SpecError(f"unknown fields: {sorted(unknown)}")
+        spec = SliceSpec(**{k: tuple(v) if isinstance(v, list) else v for k, v in raw.items()})
+        if p := spec.problems():
+            raise SpecError("; ".join(p))
+        return spec
