@@ -12,8 +12,8 @@ from tamis.functions import classify as C
 from tamis.functions import formats
 from tamis.functions import messages as M
 from tamis.functions import text as T
-from tamis.operators import budget, dedup, integrity, mixture, profile, sampling, validate
-from tamis.sources import writers
+from tamis.operators import audit, budget, dedup, integrity, mixture, profile, sampling, validate
+from tamis.sources import synthetic, writers
 from tamis.spec import MixtureSpec, RetentionSpec, Schema
 from tamis.tables import table
 
@@ -586,13 +586,6 @@ def cross_split_overlap(spark, d):
     return mixture.pairwise_overlap(derja(spark, d).where("id is not null"), "split", F.col("id"))
 
 
-@query("select count_if(d.id is null) as missing, count(*) as rows from (select id from raw_dialect_qa where id is not null) q left join (select distinct id from arabic_derja) d using (id)")
-def subset_check(spark, d):
-    q = table(spark, d, "raw_dialect_qa").where("id is not null").select("id")
-    ids = derja(spark, d).select(F.col("id").alias("k")).distinct()
-    return q.join(ids, q["id"] == ids["k"], "left").agg(F.count_if(F.col("k").isNull()).alias("missing"), F.count(F.lit(1)).alias("rows"))
-
-
 _MIX = MixtureSpec({"ar": 0.5, "arabizi": 0.2, "fr": 0.15, "en": 0.15})
 
 
@@ -674,9 +667,17 @@ def trained_spans(spark, d):
     return integrity.trained_spans(derja(spark, d).select("line_no", "messages"), "line_no")
 
 
-@query(r"select doc_id, len(regexp_extract_all(text, 'hf_[A-Za-z0-9]{20,}')) as hits from documents where regexp_matches(text, 'hf_[A-Za-z0-9]{20,}')")
+_CREDENTIALS = {"hub_token": r"hf_[A-Za-z0-9]{20,}", "long_token": r"[A-Za-z0-9_]{16,}"}
+
+
+@query(" union all ".join(f"select '{k}' as pattern, count_if(regexp_matches(coalesce(text, ''), '{p}')) as documents, coalesce(sum(len(regexp_extract_all(text, '{p}'))), 0)::bigint as hits from documents" for k, p in _CREDENTIALS.items()))
 def secret_scan(spark, d):
-    return integrity.secrets(docs(spark, d), "text").select("doc_id", "hits")
+    """Documents and hits of what looks like a credential, or like any long token."""
+    out = None
+    for name, pattern in _CREDENTIALS.items():
+        part = integrity.secrets(docs(spark, d), "text", pattern).agg(F.count(F.lit(1)).alias("documents"), F.coalesce(F.sum("hits"), F.lit(0)).cast("long").alias("hits")).select(F.lit(name).alias("pattern"), "documents", "hits")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 _OK = " and ".join(f"coalesce({_strip(c)} <> '', false)" for c in ("instruction", "output"))
@@ -731,6 +732,191 @@ def events_hourly(spark, d):
     return e.select(F.col("w.start").alias("hour"), "event_type", "n", "total")
 
 
+# --- audits --------------------------------------------------------------------------------------
+def _register_sql(x: str) -> str:
+    a, lat = _chars(x, _ARABIC), _chars(x, "A-Za-z")
+    msa, dialect = f"({_markers(x, C.MSA_MARKERS)} + {_markers(x, C.MSA_QUESTION_WORDS)})", _hits(x, _DIALECT)
+    return f"case when {lat} > {a} * 0.5 and {lat} > 10 then 'latin_or_code_switched' when {a} < 30 and {lat} < 10 then 'other' when {dialect} >= 2 and {dialect} > {msa} then 'dialect' when {msa} >= 1 and {dialect} <= 1 then 'msa' when {msa} >= 1 and {dialect} >= 2 then 'mixed' when {msa} = 0 and {dialect} = 0 then case when {a} >= 30 then 'msa' else 'other' end else 'mixed' end"
+
+
+_PENALTY = f"least(5, greatest(0, {_hits('text', C.COLLOQUIAL_WORDS)} - {_markers('text', C.MSA_MARKERS + C.FORMAL_EXTRA)}))"
+
+
+@query(
+    f"with q as (select concat(coalesce(instruction, ''), ' ', coalesce(output, '')) as text, coalesce(instruction, '') as prompt, coalesce(output, '') as answer, dialect from raw_dialect_qa), t as (select {_register_sql('text')} as register, {_PENALTY}::varchar as penalty, case {_TASK_SQL} else 'other' end as task, "
+    f"case when {_strip('prompt')} = '' or {_strip('answer')} = '' then 'empty_instruction_or_output' else 'none' end as malformed, coalesce(dialect, 'None') as source from q), "
+    f"g as (select count(*) as n from q group by {_strip('prompt')}, {_strip('answer')}) "
+    + " union all ".join(f"select '{c}' as facet, {c} as value, count(*) as n from t group by {c}" for c in ("register", "penalty", "task", "malformed", "source"))
+    + " union all select 'duplicates', 'exact_pair', sum(n - 1)::bigint from g"
+)
+def pool_audit(spark, d):
+    """Register, penalty, task, malformed rows, dialects and repeated pairs of the raw pool."""
+    return audit.pool_audit(table(spark, d, "raw_dialect_qa"), "instruction", "output", "dialect")
+
+
+_SCRIPT_SQL = f"case when {_A} > 0 and {_L} > 0 then 'mixed_script' when {_A} > 0 then 'arabic_script' when {_L} > 0 then 'arabizi' else 'uncertain' end"
+
+
+@query(f"with t as (select source, {_SCRIPT_SQL} as label, text, row_number() over (partition by source, {_SCRIPT_SQL} order by {_KEY.format('doc_id')}, doc_id) as r from documents) select source, label, count(*) as n, md5(coalesce(array_to_string(list(text order by r) filter (where r <= 5), chr(10)), '')) as samples from t group by all")
+def script_samples(spark, d):
+    """Script classes of every source, with the hash of five texts of each."""
+    rows = audit.class_samples(docs(spark, d), "source", C.detect_script(F.col("text")), "text", "doc_id")
+    return rows.withColumn("samples", F.md5(F.array_join("samples", "\n")))
+
+
+@query(f"with g as (select source, count(*) as examples, coalesce(sum({_ASSIST}), 0)::bigint as tokens from arabic_derja group by source) select source, examples, tokens, round(tokens * 100.0::double / sum(tokens) over (), 2) as pct from g")
+def source_contributions(spark, d):
+    """Answer tokens of every source and their share in per cent."""
+    return audit.contributions(derja(spark, d), "source", M.tokens_assistant(F.col("messages")))
+
+
+@query("select split as facet, coalesce(source, 'None') as value, count(*) as n from (select case split when 'train' then 'train' else 'holdout' end as split, source from arabic_derja where split in ('train', 'test')) group by all union all select 'check', 'overlap', (select count(*) from (select id from arabic_derja where split = 'train' and id is not null intersect select id from arabic_derja where split = 'test')) union all select 'check', 'unflagged', (select count(*) from arabic_derja where split in ('train', 'test') and not coalesce(code_switching, false))")
+def selection_check(spark, d):
+    """Counts by source of train and test, keys they share, and records that don't say they switch."""
+    r = derja(spark, d).select("id", "source", "split", "code_switching")
+    return audit.selection_check(r.where("split = 'train'"), r.where("split = 'test'"), flag=F.col("code_switching"))
+
+
+_OPTIONAL = ["id", "messages", "category", "source", "language", "subcategory", "script", "code_switching", "difficulty", "variation_group", "split", "ingested_at"]
+
+
+@query(" union all ".join(f"select '{c}' as field, count({c}) as filled, count(*) - count({c}) as missing from arabic_derja" for c in _OPTIONAL))
+def field_presence(spark, d):
+    return audit.field_presence(derja(spark, d), _OPTIONAL)
+
+
+@query("with r as (select * from arabic_derja) select 'id' as path, 'STRING' as kind, count(id) as n from r union all select 'source', 'STRING', count(source) from r union all select 'messages', 'ARRAY', count(messages) from r union all select 'messages.role', case when m.role is null then 'MISSING' else 'STRING' end, count(*) from (select unnest(messages) as m from r) group by all union all select 'messages.content', case when m.content is null then 'MISSING' else 'STRING' end, count(*) from (select unnest(messages) as m from r) group by all")
+def key_scan(spark, d):
+    """Keys of the records as JSON, and the kinds of their values."""
+    lines = derja(spark, d).select(F.to_json(F.struct("id", "source", "messages")).alias("_raw")).withColumn("v", F.try_parse_json("_raw"))
+    return audit.key_scan(lines)
+
+
+_LAST_ROLE = "messages[-1].role"
+_TESTS = {
+    "no_messages": "coalesce(len(messages), 0) = 0", "over_limit": f"{_TOTAL} > 512", "no_answer": f"len(messages) > 0 and not coalesce(list_contains({_ROLES}, 'assistant'), false)", "ends_without_answer": f"len(messages) > 0 and not coalesce({_LAST_ROLE} = 'assistant', false)",
+    "blank_turn": f"len(messages) > 0 and len(list_filter(messages, lambda m: {_strip(_or_empty('m.content'))} = '')) > 0", "same_role_twice": f"len(messages) > 0 and len(list_filter(range(2, len(messages) + 1), lambda i: coalesce(messages[i].role = messages[i - 1].role, false))) > 0",
+    "marker_in_text": r"len(messages) > 0 and len(list_filter(messages, lambda m: coalesce(regexp_matches(m.content, '<\|[a-z_]+\|>|</?s>|\[/?INST\]'), false))) > 0",
+}
+
+
+@query(" union all ".join(f"select '{k}' as finding, count_if({c}) as n from arabic_derja" for k, c in _TESTS.items()))
+def data_doctor(spark, d):
+    """Records that a trainer would cut or stumble over."""
+    return audit.doctor(derja(spark, d), M.tokens_total(F.col("messages")), 512)
+
+
+@query(f"with c as (select doc_id, {_A} as a, {_L} as l, {_hits('lower(text)', C.FRENCH_COMMON)} as fr, {_hits('lower(text)', audit.ENGLISH_COMMON)} as en, {_hits('lower(text)', C.TUNISIAN_MARKERS)} + len(list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}\\p{{M}}_]+'), lambda w: regexp_full_match(w, '[a-z]*[379][a-z]+'))) as az from documents) select doc_id, case when a > l then 'ar' when az > fr and az > en then 'arabizi' when fr > en and fr > 0 then 'fr' when en > 0 then 'en' else 'unknown' end as lang from c")
+def language_guess(spark, d):
+    """Language of every document by markers alone."""
+    return docs(spark, d).select("doc_id", audit.language_guess(F.col("text")).alias("lang"))
+
+
+@query(f"select substr(sha256({_SYSTEM}), 1, 16) as template, least(count(*), 200) as kept, greatest(count(*) - 200, 0) as dropped, min(left({_SYSTEM}, 80)) as preview from arabic_derja group by 1")
+def template_cap_counts(spark, d):
+    """Records kept and dropped of every template at a cap of 200."""
+    m = F.col("messages")
+    return audit.cap_counts(derja(spark, d), M.template_key(m), 200, M.first_of(m, "system"))
+
+
+@query(f"with p as (select line_no, category, {_TOTAL}::bigint as v, {_KEY.format('line_no')} as k from arabic_derja), s as (select *, coalesce(sum(v) over (partition by category order by k, line_no rows between unbounded preceding and 1 preceding), 0) as before from p), w as (select * from {_weights({'coding': 0.05, 'mathematics': 0.03, 'reasoning': 0.1})}) select line_no, category from s join w using (category) where before + v <= floor(w * (select sum(v) from p))")
+def diversity_shares(spark, d):
+    """Records by which each of three categories holds at most its share of all tokens."""
+    pool = _pool(spark, d).select("line_no", "category", "tokens_total")
+    return audit.within_shares(pool, "category", "tokens_total", {"coding": 0.05, "mathematics": 0.03, "reasoning": 0.1}, ident="line_no").select("line_no", "category")
+
+
+@query("select case when v >= 2048 then 3 when v >= 512 then 2 when v >= 128 then 1 else 0 end as band, count(*) as n from (select " + _TOTAL + " as v from arabic_derja) group by 1")
+def length_bands(spark, d):
+    """Records in bands of length."""
+    rows = derja(spark, d).select(M.tokens_total(F.col("messages")).alias("v"))
+    return rows.groupBy(audit.length_bands(F.col("v"), [128, 512, 2048]).alias("band")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"with s as (select list_sort(list({_TOTAL})) as v, count(*) as n from arabic_derja) select n, " + ", ".join(f"v[floor(n * {q / 100})::int + 1]::bigint as p{q}" for q in (10, 25, 50, 75, 90, 95, 99)) + ", v[1]::bigint as least, v[-1]::bigint as most from s")
+def token_percentiles(spark, d):
+    return audit.token_percentiles(derja(spark, d), M.tokens_total(F.col("messages")))
+
+
+_BODY_TEXT = "array_to_string(list_transform(messages, lambda m: coalesce(m.role, '') || ':' || coalesce(m.content, '')), chr(10))"
+
+
+@query(f"with s as (select distinct sha256({_BODY_TEXT}) as k, split as s from arabic_derja where split is not null and messages is not null) select a.s as split_a, b.s as split_b, count(*) as shared from s a join s b on a.k = b.k and a.s < b.s group by all")
+def cross_split_lines(spark, d):
+    """Whole records that stand in two splits, by the hash of their text."""
+    rows = derja(spark, d).where("messages is not null")
+    text = F.array_join(F.transform("messages", lambda m: F.concat(F.coalesce(m["role"], F.lit("")), F.lit(":"), F.coalesce(m["content"], F.lit("")))), "\n")
+    return mixture.line_overlap(rows, "split", text)
+
+
+@query("with a as (select distinct id from raw_dialect_qa where id is not null), b as (select distinct id from arabic_derja where id is not null), n as (select (select count(*) from (select id from a except select id from b)) as only_a, (select count(*) from (select id from b except select id from a)) as only_b, (select count(*) from (select id from a intersect select id from b)) as shared) select *, only_a = 0 as subset, only_a = 0 and only_b = 0 as equal from n")
+def key_relation(spark, d):
+    """How the identifiers of the raw pool relate to those of the records."""
+    return mixture.key_relation(table(spark, d, "raw_dialect_qa"), derja(spark, d))
+
+
+@query("select id from raw_dialect_qa where id is not null union select id from arabic_derja where id is not null")
+def union_of_keys(spark, d):
+    return mixture.union_keys(table(spark, d, "raw_dialect_qa"), derja(spark, d))
+
+
+@query("select count(*) as rows from arabic_derja where code_switching and coalesce(source in ('derja_majlis', 'souk_talk'), false) = false")
+def switched_sub_corpora(spark, d):
+    """Records that say they switch, some sub-corpora left out."""
+    return mixture.code_switched(mixture.sub_corpora(derja(spark, d), "source", exclude=["derja_majlis", "souk_talk"])).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _grams_sql(x: str) -> str:
+    t = f"lower(regexp_replace({x}, '{_WS}+', ' ', 'g'))"
+    return f"list_distinct(list_transform(range(1, greatest(length({t}) - 1, 1)), lambda i: substr({t}, i, 3)))"
+
+
+@query(f"with g as (select id, {_grams_sql(_or_empty('instruction'))} as a, {_grams_sql(_or_empty('output'))} as b from raw_dialect_qa), n as (select id, len(list_intersect(a, b)) as s, len(a) as x, len(b) as y from g) select id, coalesce(s::double / nullif(x + y - s, 0), 0) as similarity from n")
+def gram_similarity(spark, d):
+    """Jaccard similarity of the three-character runs of question and answer."""
+    q = table(spark, d, "raw_dialect_qa")
+    i, o = (dedup.char_grams(F.coalesce(F.col(c), F.lit(""))) for c in ("instruction", "output"))
+    return q.select("id", i.alias("a"), o.alias("b")).select("id", dedup.jaccard(F.col("a"), F.col("b")).alias("similarity"))
+
+
+_SWITCH = f"case when lower(dialect) in ('mixed', 'french', 'tunisian_arabizi') then true when lower(dialect) in ('arabic', 'tunisian_arabic') then false else {_markers('t', C.FR_SWITCH_MARKERS)} > 0 and {_markers('t', C.AR_SWITCH_MARKERS)} > 0 end"
+
+
+@query(f"with q as (select dialect, lower(concat(coalesce(instruction, ''), case when {_strip(_or_empty('input'))} <> '' then chr(10) || input else '' end, ' ', coalesce(output, ''))) as t from raw_dialect_qa) select case lower(dialect) " + " ".join(f"when '{k}' then '{v}'" for k, v in A.DIALECT_LANGUAGE.items()) + f" else 'mixed' end as language, {_SWITCH} as code_switching, count(*) as n from q group by all")
+def dialect_pool(spark, d):
+    """Languages and code-switching of the raw pool as canonical records."""
+    return A.load_pool(table(spark, d, "raw_dialect_qa"), "dialect", "qa").groupBy("language", "code_switching").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"select count(*) as rows, count_if(coalesce({_strip('instruction')} <> '' and {_strip('output')} <> '' and {_strip('input')} <> '' and output <> input, false)) as valid from raw_dialect_qa")
+def dpo_format(spark, d):
+    q = table(spark, d, "raw_dialect_qa").select(F.col("instruction").alias("prompt"), F.col("output").alias("chosen"), F.col("input").alias("rejected"))
+    return formats.report(q, "dpo")
+
+
+@query(f"select count(*) as rows, count_if(coalesce({_strip('instruction')} <> '' and {_strip('output')} <> '' and dialect is not null, false)) as valid from raw_dialect_qa")
+def kto_format(spark, d):
+    q = table(spark, d, "raw_dialect_qa").select(F.col("instruction").alias("prompt"), F.col("output").alias("completion"), F.col("dialect").alias("label"))
+    return formats.report(q, "kto")
+
+
+@query(f"select count(*) as rows, count_if(coalesce({_strip('text')} <> '', false)) as valid from documents")
+def plaintext_format(spark, d):
+    return formats.report(docs(spark, d), "plaintext")
+
+
+@query(f"select doc_id, left(lang, 80) as lang, left(text, 80) as text from (select * from documents order by {_KEY.format('doc_id')}, doc_id limit 5)")
+def inspect_rows(spark, d):
+    """Five rows in stable order as a preview."""
+    return audit.inspect(docs(spark, d), "doc_id", ["doc_id", "lang", "text"])
+
+
+@query("select printf('syn-%06d', i) as id, (['mathematics', 'reasoning', 'coding', 'general_instruction', 'knowledge_qa'])[i % 5 + 1] as category, (['synthetic_a', 'synthetic_b'])[i % 2 + 1] as source, (['easy', 'medium', 'hard'])[(i // 5) % 3 + 1] as difficulty, printf('Answer %d: the number that follows is %d.', i, i * 7 + 1) as answer from range(1000) t(i)")
+def synthetic_records(spark, d):
+    """A thousand made-up records."""
+    return synthetic.records(spark, 1000).select("id", "category", "source", "difficulty", M.last_of(F.col("messages"), "assistant").alias("answer"))
+
+
 def queries() -> dict:
     return dict(_QUERIES)
 
