@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm import capping, encode, langid, leakage, lookalike, mixing, overlap, pairs, pii, tokens
+from tamis.llm import capping, encode, forms, langid, leakage, lookalike, mixing, overlap, pairs, pii, tokens
 from tamis.llm.labels import with_contributor
 from tamis.tables import table
 
@@ -163,10 +165,43 @@ _NAMED = f"with c as (select source as contributor, {_KEY.format('source')} as k
 _SIZE = "coalesce(list_sum(list_transform(messages, lambda m: coalesce(length(m.content), 0))), 0)"
 
 
+def _folded(x: str) -> str:
+    """A content without case, marks, tatweel, look-alike and invisible characters, as SQL; full-width forms by rule."""
+    wide = {0xFF01 + i: chr(0x21 + i) for i in range(0x5E)}
+    pairs_ = {k: v for k, v in (forms.LOOKALIKE | wide | {0x640: None, 0x200D: None, 0x6CC: "ي", 0x649: "ي"}).items()}
+    kept, gone = {k: v for k, v in pairs_.items() if v}, [k for k, v in pairs_.items() if not v]
+    quote = lambda t: "'" + t.replace("'", "''") + "'"
+    once = f"translate({x}, {quote(''.join(map(chr, kept)) + ''.join(map(chr, gone)))}, {quote(''.join(kept.values()))})"
+    return f"lower(strip_accents({once}))"
+
+
+def _looks(x: str) -> str:
+    """The look of a content as SQL: presentation forms, look-alikes, kinds of a space and invisible characters resolved, composed."""
+    quote = lambda t: "'" + t.replace("'", "''") + "'"
+    forms_ = {c: unicodedata.normalize("NFKC", chr(c)) for a, b in ((0xFB00, 0xFB07), (0xFB50, 0xFDC8), (0xFE70, 0xFEFD), (0xFF01, 0xFFE7)) for c in range(a, b)}
+    many = {chr(c): v for c, v in forms_.items() if len(v) > 1 and (c < 0xFB07 or c > 0xFEF4)}
+    one = {c: v for c, v in forms_.items() if len(v) == 1 and v != chr(c)} | {k: v for k, v in forms.LOOKALIKE.items() if v}
+    gone = [k for k, v in forms.LOOKALIKE.items() if not v] + [0x200D]
+    for k, v in many.items():
+        x = f"replace({x}, {quote(k)}, {quote(v)})"
+    x = f"translate({x}, {quote(''.join(map(chr, one)) + ''.join(map(chr, gone)))}, {quote(''.join(one.values()))})"
+    x = f"replace(regexp_replace({x}, 'ی(\\p{{M}}*[ء-ي])', 'ي\\1', 'g'), 'ی', 'ى')"
+    return f"nfc_normalize({x})"
+
+
+_WORDS = f"list_distinct(flatten(list_transform(list_filter(messages, lambda m: m.role in ('user', 'assistant') and m.content is not null), lambda m: regexp_extract_all({_folded('m.content')}, '[\\p{{L}}\\p{{N}}]+'))))"
+
+
 def oracle_sql() -> dict[str, str]:
     score = "(case when quality.flagged then 0 else 27 end + 9 * case quality.synthetic when false then 2 when true then 0 else 1 end + 3 * case quality.reviewed when true then 2 when false then 0 else 1 end + case quality.native_authored when true then 2 when false then 0 else 1 end)::int"
     sizes = f", z as (select contributor, sum({_SIZE}) as size from r where split = 'train' group by 1), t as (select m.*, coalesce(z.size, 0) as size from mixture_targets m left join z on z.contributor = m.source)"
+    near = f"with r as (select line_no, split = 'train' as train, {_WORDS} as w from arabic_derja where split in ('train', 'val', 'test') and len(messages) > 0), x as (select line_no, train, len(w) as n, unnest(w) as w from r), p as (select a.line_no as a, b.line_no as b, any_value(a.n) + any_value(b.n) - count(*) as whole, count(*) as shared from x a join x b on a.w = b.w and a.train and not b.train where a.n >= 0.79 * b.n and b.n >= 0.79 * a.n group by all) select least(a, b) as line_a, greatest(a, b) as line_b from p where shared >= 0.8::double * whole"
+    words, grams = "regexp_extract_all({0}, '[\\p{{L}}\\p{{N}}]+')", "list_transform(range(1, len(w) - 13), lambda i: array_to_string(w[i:i + 14], ' '))"
     return {
+        "p5_found": near,
+        "p5_report": f"{_NAMED}, f as ({near}), hit as (select line_a as line from f union select line_b from f) select split, coalesce(contributor, 'unknown') as contributor, count(*) as records, count(line) as overlapping, count(line) / count(*) as share from r left join hit on line = line_no where split in ('val', 'test') group by all",
+        "p9_found": f"with d as (select doc_id, {words.format(_folded('text'))} as w from documents where text is not null), i as (select item_id, {words.format(_folded('prompt'))} as w from eval_prompts union all select item_id, {words.format(_folded('expected_behavior'))} from eval_prompts), dg as (select distinct doc_id, unnest({grams}) as g from d where len(w) >= 15), ig as (select distinct item_id, unnest({grams}) as g from i where len(w) >= 15) select distinct doc_id, item_id from dg join ig using (g)",
+        "p7_found": f"with r as (select line_no, array_to_string(list_transform(messages, lambda m: m.role || chr(31) || coalesce({_looks('m.content')}, chr(30))), chr(29)) as look, array_to_string(list_transform(messages, lambda m: m.role || chr(31) || coalesce(m.content, chr(30))), chr(29)) as raw from arabic_derja where len(messages) > 0) select least(a.line_no, b.line_no) as line_a, greatest(a.line_no, b.line_no) as line_b from r a join r b on a.look = b.look and a.line_no < b.line_no and a.raw <> b.raw",
         "p3_found": f"{_NAMED} select distinct source from r where contributor in (select contributor from d)",
         "p3_capped": f"{_NAMED}, s as (select line_no, contributor, {score} as score from r), o as (select *, row_number() over (partition by contributor order by score desc, line_no) as k from s) select o.line_no, o.contributor, o.score from o left join d using (contributor) where d.total is null or k <= floor(0.05::double * d.total)",
         "p4_found": f"{_NAMED}{sizes} select source from t where size * max_repeat < target_share * (select sum(size) from t)",
