@@ -31,6 +31,12 @@ class Flow:
         self.to: list[int] = []
         self.room: list[int] = []
         self.cost: list[int] = []
+        self.copies: dict[int, list[int]] = {}
+
+    def rising(self, a: int, b: int, room: int, copies: int) -> None:
+        """An arc out of the source that is filled ``copies`` times, each time at a cost of one more: only the copy in use is there, however many may follow."""
+        if copies > 0:
+            self.copies[self.arc(a, b, room)] = [room, copies - 1]
 
     def arc(self, a: int, b: int, room: int, cost: int = 0) -> int:
         for x, y, r, c in ((a, b, room, cost), (b, a, 0, -cost)):
@@ -69,6 +75,9 @@ class Flow:
             for e in path:
                 self.room[e] -= most
                 self.room[e ^ 1] += most
+                if not self.room[e] and (copy := self.copies.get(e)) and copy[1]:
+                    self.room[e], self.cost[e] = copy[0], self.cost[e] + 1
+                    copy[1] -= 1
 
 
 def solve(sizes: dict[tuple[str, ...], int], targets: dict[str, tuple[float, int]], total: int) -> tuple[dict[str, int], dict[tuple[tuple[str, ...], str], int]]:
@@ -79,8 +88,7 @@ def solve(sizes: dict[tuple[str, ...], int], targets: dict[str, tuple[float, int
     g = Flow(2 + len(patterns) + len(sources))
     used = {}
     for i, p in enumerate(patterns):
-        for r in range(max(targets[s][1] for s in p)):
-            g.arc(0, 2 + i, sizes[p], r)
+        g.rising(0, 2 + i, sizes[p], max(targets[s][1] for s in p))
         for s in p:
             used[p, s] = g.arc(2 + i, at[s], sizes[p] * targets[s][1])
     for s in sources:
@@ -98,7 +106,7 @@ def members(records: DataFrame, catalog: DataFrame, targets: DataFrame, key: str
     """``key``, size and membership (the target of its contributor) of the train records of the targets."""
     train = records.where("split = 'train'").select(key, "source", content_size(F.col("messages")).alias("size"))
     named = with_contributor(train, catalog)
-    return named.join(F.broadcast(targets.select(F.col("source").alias("contributor")).distinct()), "contributor", "left_semi").select(key, "size", F.array("contributor").alias("membership"))
+    return lookup_join(named, targets.select(F.col("source").alias("contributor")).where("contributor is not null").distinct(), ["contributor"], "left_semi", salt_by=key).select(key, "size", F.array("contributor").alias("membership"))
 
 
 class Mixture:
@@ -155,7 +163,7 @@ class Mixture:
         starts = self.histogram.withColumn("base", F.coalesce(before, F.lit(0))).select("pattern", "bucket", "base")
         inside = F.sum("size").over(Window.partitionBy("pattern", "bucket").orderBy("order", self.key).rowsBetween(Window.unboundedPreceding, -1))
         placed = self.docs.withColumn("inside", F.coalesce(inside, F.lit(0))).join(starts, ["pattern", "bucket"]).withColumn("x", F.col("base") + F.col("inside"))
-        hit = placed.join(F.broadcast(spans), "pattern")
+        hit = placed.join(F.broadcast(spans), "pattern")  # a row for each pattern and target at most
         # copies r with a <= x + r * whole < b
         first = F.greatest(F.ceil((F.col("a") - F.col("x")) / F.col("whole")), F.lit(0)).cast("long")
         last = F.ceil((F.col("b") - F.col("x")) / F.col("whole")).cast("long")

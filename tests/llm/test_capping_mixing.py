@@ -57,6 +57,30 @@ def test_flow_is_cheapest_and_full():
     assert flow[("a",), "a"] == 20
 
 
+def test_flow_against_every_split():
+    import itertools
+
+    # two sources that share a pattern: the cheapest way to fill both quotas, by trying all
+    for sizes, repeats in (((7, 5, 4), (3, 2)), ((2, 9, 3), (4, 1)), ((0, 3, 6), (2, 3)), ((5, 0, 0), (1_000_000, 2))):
+        a, b, ab = sizes
+        total = sum(sizes)
+        quota, flow = mixing.solve({k: v for k, v in ((("a",), a), (("b",), b), (("a", "b"), ab)) if v}, {"a": (0.5, repeats[0]), "b": (0.5, repeats[1])}, total)
+        price = lambda n, size: sum(i // size for i in range(n)) if size else (0 if not n else None)
+        best = None
+        for x, y in itertools.product(range(quota["a"] + 1), range(quota["b"] + 1)):  # from the shared pattern to each
+            if not ab and (x or y) or x > ab * repeats[0] or y > ab * repeats[1]:
+                continue
+            p, q = min(quota["a"] - x, a * repeats[0]), min(quota["b"] - y, b * repeats[1])
+            if x + y > ab * max(repeats):
+                continue
+            cost = price(p, a) + price(q, b) + price(x + y, ab)
+            if best is None or (-(p + q + x + y), cost) < best:
+                best = -(p + q + x + y), cost
+        into = lambda k: sum(n for (p, s), n in flow.items() if p == k)
+        got = -sum(flow.values()), price(into(("a",)), a) + price(into(("b",)), b) + price(into(("a", "b")), ab)
+        assert got == best, (sizes, repeats)
+
+
 def test_mixture(spark):
     rows = [(i, 10, ["a"]) for i in range(50)] + [(100 + i, 5, ["b"]) for i in range(8)] + [(200, None, ["a"]), (201, 3, ["none"]), (202, 7, [])]
     docs = spark.createDataFrame(rows, "line_no long, size long, membership array<string>")
