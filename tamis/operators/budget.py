@@ -71,7 +71,7 @@ def take_fitting(slim: DataFrame, state: DataFrame, group: str, fold_rows: int =
         taken = cut(lookup_join(placed, first, [group], "left", salt_by="__id").where("__bad is null or __key < __bad").select(group, "__id", "__v"))
         chosen = chosen.unionByName(taken.select(group, "__id"))
         sums = taken.groupBy(group).agg(F.sum("__v").alias("__s"))
-        # rows with the key of the first that overflows have its id too, and are passed over with it
+        # keys are distinct, so what is at the key of the first that overflows is that row
         state = cut(state.join(sums, group, "left").join(first, group, "inner").select(group, (F.col("acc") + F.coalesce("__s", F.lit(0.0))).alias("acc"), "room", "stop", F.col("__bad").alias("pos")))
         left = slim
 
@@ -79,10 +79,23 @@ def take_fitting(slim: DataFrame, state: DataFrame, group: str, fold_rows: int =
 def greedy_fill(pool: DataFrame, targets: DataFrame, group: str, value: str, tolerance: float, seed: int = 42, ident: str = "id", fold_rows: int = FOLD_ROWS) -> DataFrame:
     """The rows of ``pool`` that fill the target of their group (``group``, target); all columns come back.
 
-    Rows of no value are passed over; groups without or with a non-positive target get nothing.
+    Rows of no value are passed over; groups without or with a non-positive target get nothing. Rows with one
+    identifier are visited one by one, the smaller value first.
     """
+    twice = cut(pool.groupBy(group, ident).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(group, F.col(ident).alias("__twice")))
+    if twice.isEmpty():
+        return _fill(pool.withColumn("__copy", F.lit("")), targets, group, value, tolerance, seed, ident, fold_rows).drop("__copy")
+    tagged = pool.join(twice, pool[group].eqNullSafe(twice[group]) & pool[ident].eqNullSafe(F.col("__twice")), "left").select(pool["*"], F.col("__twice").isNotNull().alias("__again"))
+    copies = F.row_number().over(Window.partitionBy(group, ident).orderBy(value, *[F.xxhash64(*[F.col(f"`{c}`") for c in pool.columns])]))
+    many = tagged.where("__again").withColumn("__copy", F.format_string("%012d", copies)).drop("__again")
+    numbered = tagged.where("not __again").withColumn("__copy", F.lit("")).drop("__again").unionByName(many)
+    return _fill(cut(numbered), targets, group, value, tolerance, seed, ident, fold_rows).drop("__copy")
+
+
+def _fill(pool: DataFrame, targets: DataFrame, group: str, value: str, tolerance: float, seed: int, ident: str, fold_rows: int) -> DataFrame:
+    """The greedy fill of rows that (group, ident, __copy) tells apart."""
     t = targets.where("target > 0").select(group, (F.col("target") * (1 - tolerance)).alias("lower"), (F.col("target") * (1 + tolerance)).alias("upper"))
-    slim = pool.select(group, F.col(ident).alias("__id"), F.col(value).cast("double").alias("__v")).where("__v > 0").withColumn("__key", stable_key("__id", seed))
+    slim = pool.select(group, F.struct(F.col(ident).alias("id"), F.col("__copy").alias("copy")).alias("__id"), F.col(value).cast("double").alias("__v")).where("__v > 0").withColumn("__key", F.concat(stable_key(F.col("__id.id"), seed), F.col("__id.copy")))
     slim = lookup_join(slim, cut(t), [group], salt_by="__id")
     slim = slim.withColumn("__small", F.when(F.col("__v") <= F.col("upper") - F.col("lower"), F.col("__v")).otherwise(0.0))
     slim = cut(slim)  # the value may be dear, and the sums read it twice
@@ -95,7 +108,7 @@ def greedy_fill(pool: DataFrame, targets: DataFrame, group: str, value: str, tol
     large = kinds.where("__slow").select(group)
     folded = take_fitting(slow, t.join(large, group).select(group, F.lit(0).alias("acc"), F.col("upper").alias("room"), F.col("lower").alias("stop")), group, fold_rows)
     chosen = fast.unionByName(folded)
-    return pool.join(chosen.select(F.col(group), F.col("__id").alias(ident)), [group, ident], "left_semi")
+    return pool.join(chosen.select(F.col(group), F.col("__id.id").alias(ident), F.col("__id.copy").alias("__copy")), [group, ident, "__copy"], "left_semi")
 
 
 def nested_variants(df: DataFrame, fractions: dict[str, float], preserve: list[str], fill: list[str], language: str = "language", tokens: str = "tokens", seed: int = 42, ident: str = "id", fold_rows: int = FOLD_ROWS) -> DataFrame:

@@ -36,6 +36,22 @@ def test_greedy_fill_against_naive(spark, big, fold):
     assert {r["id"] for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("fold", [1000, 0])
+def test_greedy_fill_of_repeated_rows(spark, fold):
+    rng = random.Random(11)
+    rows = [(i % 40, "g", rng.choice([1, 2, 3, 9])) for i in range(120)]
+    df = spark.createDataFrame(rows, "id long, g string, v long")
+    got = budget.greedy_fill(df, spark.createDataFrame([("g", 60.0)], "g string, target double"), "g", "v", 0.05, fold_rows=fold).collect()
+    total, want = 0, []
+    for i, _, v in sorted(rows, key=lambda r: (key(r[0]), r[2])):
+        if total >= 57:
+            break
+        if total + v <= 63:
+            want.append((i, v))
+            total += v
+    assert sorted((r["id"], r["v"]) for r in got) == sorted(want) and set(got[0].asDict()) == {"id", "g", "v"}
+
+
 @pytest.mark.parametrize("fold", [1000, 10])
 def test_nested_variants_against_naive(spark, fold):
     rng = random.Random(3)
