@@ -9,8 +9,6 @@ comparison with the cutoff. No group is sorted or gathered.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,34 +58,31 @@ def every_limit(records: DataFrame, catalog: DataFrame, share: float, source: st
     return by.where("contributor is not null").crossJoin(F.broadcast(total)).select("contributor", F.floor(F.lit(share) * F.col("total")).alias("keep"))
 
 
+def _shared(a: Column, b: Column) -> Column:
+    """The whole bytes (pairs of digits) with which both begin."""
+    differs = F.array_position(F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: F.coalesce(x != y, F.lit(True))), True)
+    n = F.when(differs == 0, F.least(F.length(a), F.length(b))).otherwise(differs - 1)
+    return F.substring(a, F.lit(1), (F.floor(n / 2) * 2).cast("int"))
+
+
 def cutoffs(slim: DataFrame, limits: DataFrame) -> DataFrame:
     """Radix selection over ``slim`` (__c, __key): for each contributor above its limit (__c, left) the digits of its cutoff.
 
     __c, __cut (where its rows begin to be worse), and __left: how many of the rows that begin with __cut stay, null for all.
-    Each round reads only what agrees with the digits fixed so far.
+    Each round fixes one byte, and those behind it that all rows left share, and the next reads only what agrees with them.
     """
-    held = slim.groupBy("__c").agg(F.count(F.lit(1)).alias("held"), F.min("__key").alias("low"), F.max("__key").alias("high"), F.max(F.length("__key")).alias("width"))
+    held = slim.groupBy("__c").agg(F.count(F.lit(1)).alias("held"), F.min("__key").alias("low"), F.max("__key").alias("high"))
     over = held.join(limits, "__c").where("held > left")
-    spans = over.agg(F.min("low"), F.max("high"), F.max("width")).first()
-    kind = dict(slim.dtypes)["__c"]
-    if spans is None or spans[2] is None:
-        return slim.sparkSession.createDataFrame([], f"__c {kind}, __cut string, __left long")
-    shared = os.path.commonprefix([spans[0], spans[1]])
-    prefix = shared[: len(shared) // 2 * 2]
-    state = cut(over.select("__c", F.lit(prefix).alias("prefix"), "left", (F.col("left") == 0).alias("done")))
-    here = slim
-    for at in range(len(prefix), spans[2], 2):
-        open_ = state.where("not done").select("__c", "prefix", "left")
-        if open_.isEmpty():
-            break
+    state = cut(over.select("__c", _shared(F.col("low"), F.col("high")).alias("prefix"), "left", ((F.col("left") == 0) | (F.col("low") == F.col("high"))).alias("done")))
+    here, first = slim, True
+    while not (open_ := state.where("not done").select("__c", "prefix", "left")).isEmpty():
         here = lookup_join(here.select("__c", "__key"), open_, ["__c"], salt_by="__key").where(F.col("__key").startswith(F.col("prefix")))
-        if at > len(prefix):
-            here = cut(here)
-        counted = here.groupBy("__c", "prefix", "left", F.substring("__key", at + 1, 2).alias("digit")).agg(F.count(F.lit(1)).alias("n"))
+        here, first = here if first else cut(here), False
+        counted = here.groupBy("__c", "prefix", "left", F.substring(F.col("__key"), F.length("prefix") + 1, F.lit(2)).alias("digit")).agg(F.count(F.lit(1)).alias("n"), F.min("__key").alias("low"), F.max("__key").alias("high"))
         better = F.sum("n").over(Window.partitionBy("__c").orderBy(F.desc("digit")).rowsBetween(Window.unboundedPreceding, -1))
         fixed = counted.withColumn("before", F.coalesce(better, F.lit(0))).where("before < left and left <= before + n")
-        step = fixed.select("__c", F.concat("prefix", "digit").alias("prefix"), (F.col("left") - F.col("before")).alias("left"), (F.col("left") == F.col("before") + F.col("n")).alias("whole"))
-        step = step.select("__c", "prefix", F.when(F.col("whole"), F.lit(None).cast("long")).otherwise(F.col("left")).alias("left"), (F.col("whole") | (F.length("prefix") < at + 2)).alias("done"))
+        whole = F.col("left") == F.col("before") + F.col("n")
+        step = fixed.select("__c", F.when(whole, F.concat("prefix", "digit")).otherwise(_shared(F.col("low"), F.col("high"))).alias("prefix"), F.when(~whole, F.col("left") - F.col("before")).alias("left"), (whole | (F.col("low") == F.col("high"))).alias("done"))
         state = cut(state.where("done").unionByName(step))
     return state.select("__c", F.col("prefix").alias("__cut"), F.col("left").alias("__left"))
 
