@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamis.functions.messages import from_sharegpt, messages_valid
-from tamis.functions.text import strip
+from tamis.functions.text import blank
 
 #: Columns that a format needs.
 COLUMNS = {
@@ -15,7 +15,7 @@ COLUMNS = {
 
 
 def _filled(c: str) -> Column:
-    return F.coalesce(strip(F.col(c).cast("string")) != "", F.lit(False))
+    return F.coalesce(~blank(F.col(c).cast("string")), F.lit(False))
 
 
 def is_valid(df: DataFrame, fmt: str) -> Column:

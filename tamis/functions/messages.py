@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tamis.functions.text import strip, token_estimate
+from tamis.functions.text import blank, strip, token_estimate
 
 ROLE_OUT = {"system": "system", "user": "human", "assistant": "gpt"}
 ROLE_IN = {"system": "system", "human": "user", "user": "user", "gpt": "assistant", "assistant": "assistant", "model": "assistant"}
@@ -102,6 +102,6 @@ def messages_valid(messages: Column) -> Column:
         (F.size(messages) >= 2)
         & (F.try_element_at(body, F.lit(1)) == "user")
         & (F.try_element_at(body, F.lit(-1)) == "assistant")
-        & F.forall(messages, lambda m: F.coalesce(m["role"].isin("system", "user", "assistant"), F.lit(False)) & (strip(F.coalesce(m["content"], F.lit(""))) != ""))
+        & F.forall(messages, lambda m: F.coalesce(m["role"].isin("system", "user", "assistant"), F.lit(False)) & ~blank(F.coalesce(m["content"], F.lit(""))))
     )
     return F.coalesce(ok, F.lit(False))

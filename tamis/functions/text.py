@@ -31,6 +31,11 @@ def strip(x: Column) -> Column:
     return F.regexp_replace(x, r"(?U)^\s+|\s+$", "")
 
 
+def blank(x: Column) -> Column:
+    """Whether there is nothing but white space; null for null. The first other character ends the look, unlike a strip of the whole text."""
+    return ~x.rlike(r"(?U)\S")
+
+
 def collapse(x: Column) -> Column:
     """Runs of white space to one space, none at the ends."""
     return strip(F.regexp_replace(x, r"(?U)\s+", " "))

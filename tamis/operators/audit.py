@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamis.functions import classify as C
-from tamis.functions.text import strip
+from tamis.functions.text import blank, strip
 from tamis.operators.joins import lookup_join
 from tamis.operators.profile import order_statistics
 from tamis.operators.sampling import stable_key
@@ -27,7 +27,7 @@ def pool_audit(df: DataFrame, instruction: str, output: str, source: str | None
     """facet, value, n over a pool of instruction and output: register and capped penalty of both, task of the instruction, malformed rows, sources, and pairs that are repeated."""
     i, o = (F.coalesce(F.col(c), F.lit("")) for c in (instruction, output))
     text = F.concat_ws(" ", i, o)
-    rows = df.select(*[c.alias(k) for k, c in C.register_signals(text).items()], C.formal_quality(text)["penalty"].alias("penalty"), C.classify_task(i).alias("task"), ((strip(i) == "") | (strip(o) == "")).alias("empty"), (F.col(source) if source else F.lit(None).cast("string")).alias("source"))
+    rows = df.select(*[c.alias(k) for k, c in C.register_signals(text).items()], C.formal_quality(text)["penalty"].alias("penalty"), C.classify_task(i).alias("task"), (blank(i) | blank(o)).alias("empty"), (F.col(source) if source else F.lit(None).cast("string")).alias("source"))
     told = rows.withColumn("register", C.classify_register({k: F.col(k) for k in ("msa_score", "dialect_score", "arabic_chars", "latin_chars")}))
     out = long_counts(told, register=F.col("register"), penalty=F.least("penalty", F.lit(most)), task=F.col("task"), malformed=F.when(F.col("empty"), "empty_instruction_or_output").otherwise("none"), source=F.col("source"))
     twice = df.groupBy(strip(i).alias("i"), strip(o).alias("o")).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n"))
@@ -92,7 +92,7 @@ def doctor(df: DataFrame, tokens: Column, limit: int, messages: str = "messages"
         "over_limit": tokens > limit,
         "no_answer": some & ~F.coalesce(F.array_contains(roles, "assistant"), F.lit(False)),
         "ends_without_answer": some & ~F.coalesce(last["role"] == "assistant", F.lit(False)),
-        "blank_turn": some & F.exists(m, lambda x: strip(F.coalesce(x["content"], F.lit(""))) == ""),
+        "blank_turn": some & F.exists(m, lambda x: blank(F.coalesce(x["content"], F.lit("")))),
         "same_role_twice": some & (F.size(F.filter(F.zip_with(F.slice(roles, F.lit(1), F.greatest(F.size(roles) - 1, F.lit(0))), F.slice(roles, F.lit(2), F.greatest(F.size(roles) - 1, F.lit(0))), lambda a, b: a == b), lambda x: F.coalesce(x, F.lit(False)))) > 0),
         "marker_in_text": some & F.exists(m, lambda x: F.coalesce(x["content"].rlike(r"<\|[a-z_]+\|>|</?s>|\[/?INST\]"), F.lit(False))),
     }

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tamis.functions.messages import last_of, template_key, tokens_assistant, tokens_total
 from tamis.operators.joins import lookup_join
 from tamis.operators.ranks import prefix_sums
-from tamis.operators.sampling import cap_per, scale_targets, source_diverse, stable_key, stratified_split
+from tamis.operators.sampling import cap_per, scale_targets, source_diverse, source_diverse_by, stable_key, stratified_split
 from tamis.session import cut
 from tamis.spec import RetentionSpec
 
@@ -230,10 +230,7 @@ def select_by_count(df: DataFrame, spec: RetentionSpec, scale: float = 1.0, orde
         raise SelectionError(f"too few candidates for {short}: {counts}")
     parted = cut(stratified_split(unique, holdout_size, spec.stratify_by, spec.seed, ident))
     holdout, rest = parted.where("part = 'holdout'").drop("part", "reject_reason"), parted.where("part = 'train'").drop("part", "reject_reason")
-    train = None
-    for c, n in sorted(targets.items()):
-        part = source_diverse(rest.where(F.col("category") == c), n, spec.max_share_per_source, seed=spec.seed, ident=ident)
-        train = part if train is None else train.unionByName(part)
+    train = source_diverse_by(rest, targets, "category", spec.max_share_per_source, seed=spec.seed, ident=ident)
     rejected = judged.where("reject_reason is not null").groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
     return Selection(train, holdout, rejected, {"targets": targets, "holdout": holdout_size, "seed": spec.seed, "scale": scale})
 

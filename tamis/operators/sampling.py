@@ -104,15 +104,22 @@ def three_way_split(df: DataFrame, stratum: str, val: float = 0.05, test: float
     return marked.withColumn("part", F.when(F.col("__v"), "val").when(F.col("__t"), "test").otherwise("train")).drop("__s", "__v", "__t")
 
 
-def source_diverse(df: DataFrame, need: int, max_share: float, source: str = "source", seed: int = 42, ident: str = "id") -> DataFrame:
-    """``need`` rows in stable order, at most a share from each source, filled up from what is left."""
-    cap = max(1, int(need * max_share)) if 0 < max_share < 1 else need
-    named, sizes = _strata(df, source, "")
+def source_diverse_by(df: DataFrame, needs: dict[str, int], group: str, max_share: float, source: str = "source", seed: int = 42, ident: str = "id") -> DataFrame:
+    """Of each named group so many rows in stable order, at most a share of them from each source, filled up from what is left."""
+    plan = [(g, n, max(1, int(n * max_share)) if 0 < max_share < 1 else n) for g, n in needs.items()]
+    wanted = df.sparkSession.createDataFrame(plan, "__g string, quota long, __cap long")
+    named = df.withColumns({"__g": F.col(group).cast("string"), "__s": F.concat_ws("\1", F.col(group).cast("string"), F.coalesce(F.col(source).cast("string"), F.lit("")))}).where(F.col("__g").isin(*needs))
+    caps = named.select("__g", "__s").distinct().join(F.broadcast(wanted), "__g").select("__s", F.col("__cap").alias("quota"))  # a row for each group named
     key = stable_key(ident, seed)
-    under = mark_first(named, sizes.select("__s", F.lit(cap).cast("long").alias("quota")), "__s", key, ident, "__in")
+    under = mark_first(named, caps, "__s", key, ident, "__in")
     # those within the cap come first
     first = F.concat(F.when(F.col("__in"), "0").otherwise("1"), key)
-    return mark_first(under.withColumn("__all", F.lit(0)), _all(df, need), "__all", first, ident, "__first", skip=1).where("__first").drop("__s", "__in", "__all", "__first")
+    return mark_first(under, wanted.select("__g", "quota"), "__g", first, ident, "__first", skip=1).where("__first").drop("__g", "__s", "__in", "__first")
+
+
+def source_diverse(df: DataFrame, need: int, max_share: float, source: str = "source", seed: int = 42, ident: str = "id") -> DataFrame:
+    """The same for all rows as one group."""
+    return source_diverse_by(df.withColumn("__all", F.lit("")), {"": need}, "__all", max_share, source, seed, ident).drop("__all")
 
 
 def cap_per(df: DataFrame, key: Column, cap: int, order: list[Column | str], only: Column | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tamis.functions.text import strip
+from tamis.functions.text import blank
 from tamis.spec import Schema
 
 ERROR = "struct<code:string,message:string,field:string>"
@@ -89,7 +89,7 @@ def message_errors(schema: Schema) -> Column:
     )
     roles_bad = F.transform(F.filter(before, lambda x: ~F.coalesce(x["m"]["role"].isin(*schema.roles), F.lit(False))), lambda x: _err("invalid_role", F.concat(place(x), F.lit(".role")), "unknown role"))
     content_bad = F.transform(
-        F.filter(before, lambda x: x["m"]["content"].isNull() | (strip(x["m"]["content"]) == "")),
+        F.filter(before, lambda x: x["m"]["content"].isNull() | blank(x["m"]["content"])),
         lambda x: F.when(x["m"]["content"].isNull(), _err("invalid_type", F.concat(place(x), F.lit(".content")), "content is not a string")).otherwise(_err("empty_content", F.concat(place(x), F.lit(".content")), "content is blank")),
     )
     roles, body = F.col("__roles"), F.col("__body")
@@ -119,7 +119,7 @@ def record_errors(schema: Schema) -> Column:
     out = [_when(~has(f), "missing_field", f, f"{f} is missing") for f in schema.required]
     out.append(
         F.when(not_str("id"), _err("invalid_type", "id", "id is not a string"))
-        .when(has("id") & (strip(t("id")) == ""), _err("empty_id", "id", "id is blank"))
+        .when(has("id") & blank(t("id")), _err("empty_id", "id", "id is blank"))
         .when(has("id") & ~t("id").rlike(schema.id_pattern), _err("invalid_id", "id", "id has other characters"))
     )
     out.append(_when(has("messages") & ~F.coalesce(k("messages").startswith("ARRAY"), F.lit(False)), "invalid_type", "messages", "messages is not a list"))
@@ -128,7 +128,7 @@ def record_errors(schema: Schema) -> Column:
             out.append(F.when(not_str(f), _err("invalid_type", f, f"{f} is not a string")).when(has(f) & ~t(f).isin(*allowed), _err(f"invalid_{f}", f, f"{f} is unknown")))
         else:
             out.append(_when(has(f) & ~F.coalesce(t(f).isin(*allowed), F.lit(False)), f"invalid_{f}", f, f"{f} is unknown"))
-    out.append(F.when(not_str("source"), _err("invalid_type", "source", "source is not a string")).when(has("source") & (strip(t("source")) == ""), _err("empty_source", "source", "source is blank")))
+    out.append(F.when(not_str("source"), _err("invalid_type", "source", "source is not a string")).when(has("source") & blank(t("source")), _err("empty_source", "source", "source is blank")))
     out.append(_when(has("code_switching") & ~F.coalesce(k("code_switching") == "BOOLEAN", F.lit(False)), "invalid_type", "code_switching", "code_switching is not a boolean"))
     out += [_when(not_str(f), "invalid_type", f, f"{f} is not a string") for f in ("subcategory", "variation_group")]
     out.append(_when(has("quality") & ~F.coalesce(k("quality").startswith("OBJECT"), F.lit(False)), "invalid_type", "quality", "quality is not an object"))
@@ -168,7 +168,7 @@ def duplicate_ids(df: DataFrame, ident: str = "id", line: str = "line_no") -> Da
 
     First rows are found by a partial aggregate, so an id that a third of all rows share is no hot partition.
     """
-    ids = df.where(F.coalesce(strip(F.col(ident)), F.lit("")) != "").select(F.col(line).alias("line"), F.col(ident).alias("record_id"))
+    ids = df.where(~F.coalesce(blank(F.col(ident)), F.lit(True))).select(F.col(line).alias("line"), F.col(ident).alias("record_id"))
     first = ids.groupBy("record_id").agg(F.min("line").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     later = ids.join(first, "record_id").where("line > first")
     place = F.col("first._line") if dict(ids.dtypes)["line"].startswith("struct") else F.col("first")
