@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tamis.llm import bpe
 from tamis.llm.labels import language_label, with_contributor
-from tamis.operators.joins import hot_split_join
+from tamis.operators.joins import BROADCAST_ROWS, hot_split_join
 from tamis.session import cut, spread
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -87,10 +87,15 @@ def facets(records: DataFrame, catalog: DataFrame) -> DataFrame:
     return known.withColumns({c: F.coalesce(c, F.lit("unknown")) for c in FACETS})
 
 
+def _fingerprint() -> list[Column]:
+    """d1 and d2: 128 bits of all contents of a record, on which alone its tokens depend."""
+    text = F.col("messages.content")
+    return [F.xxhash64(text, F.size(text)).alias("d1"), F.xxhash64(F.lit("record"), text).alias("d2")]
+
+
 def snapshot(records: DataFrame, catalog: DataFrame, key: str = "line_no") -> DataFrame:
     """``key``, facets, d1 and d2 (fingerprint of all contents) and copies (rows equal in all of them)."""
-    text = F.col("messages.content")
-    rows = records.select(key, "source", "language", "category", F.xxhash64(text, F.size(text)).alias("d1"), F.xxhash64(F.lit("record"), text).alias("d2"))
+    rows = records.select(key, "source", "language", "category", *_fingerprint())
     return facets(rows, catalog).groupBy(key, *FACETS, "d1", "d2").agg(F.count(F.lit(1)).alias("copies"))
 
 
@@ -108,20 +113,34 @@ def changes(state: DataFrame | None, now: DataFrame, key: str = "line_no") -> Da
     return met.where("delta <> 0")
 
 
-def update_budget(records: DataFrame, catalog: DataFrame, state: DataFrame | None = None, counts: DataFrame | None = None, key: str = "line_no", **how) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _only(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """The rows of ``df`` whose keys are in a table of distinct ones: a small one is broadcast, else the entries of hot keys are."""
+    if keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return df.join(F.broadcast(keys), on, "left_semi")
+    return hot_split_join(df, keys, on)
+
+
+def update_budget(records: DataFrame, catalog: DataFrame, state: DataFrame | None = None, counts: DataFrame | None = None, key: str = "line_no", tokenizer: str = TOKENIZER, folder: str = bpe.TOKENIZERS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """From one snapshot to the next: signed cells, the new state, the new count table.
 
-    Only records that are new or changed have their contents hashed for the count table and, where it lacks them,
-    encoded; removed records leave by the tokens that the state holds of them. Without a state all records are new.
+    Only hashes are compared and shuffled: fingerprints of records with the state, hashes of the contents of new or
+    changed records with the count table. The texts of those that it lacks are fetched and encoded once each; removed
+    records leave by the tokens that the state holds of them. Without a state all records are new.
     """
-    now = cut(snapshot(records, catalog, key))
-    moved = cut(changes(state, now, key))
-    fresh = moved.where("delta > 0 and tokens is null").select(key).distinct()
-    some = records if state is None else hot_split_join(records, fresh.where(F.col(key).isNotNull()), [key])
-    counts = cut(update_counts(some, counts, **how))
-    sized = record_tokens(some.withColumns({"d1": F.xxhash64("messages.content", F.size("messages.content")), "d2": F.xxhash64(F.lit("record"), F.col("messages.content"))}).dropDuplicates([key, "d1", "d2"]).withColumn("__id", F.struct(key, "d1", "d2")), counts, "__id", **how)
-    tokens = sized.select("__id.*", F.col("tokens").alias("__tokens"))
-    cells = cut(moved.join(tokens, [key, "d1", "d2"], "left").withColumn("tokens", F.coalesce("tokens", "__tokens", F.lit(0))).drop("__tokens"))
+    name = bpe.file_hash(tokenizer, folder)
+    moved = cut(changes(state, snapshot(records, catalog, key), key))
+    fresh = moved.where("delta > 0 and tokens is null").select("d1", "d2").distinct()
+    filled = F.filter("messages.content", lambda c: c.isNotNull() & (c != ""))
+    hashed = records.select(*_fingerprint(), F.transform(filled, content_hash).alias("hashes")).where("size(hashes) > 0")
+    parts = cut(_only(hashed, cut(fresh), ["d1", "d2"]).groupBy("d1", "d2").agg(F.first("hashes").alias("hashes")).select("d1", "d2", F.explode("hashes").alias("h")).select("d1", "d2", "h.*"))
+    lacking = parts.select("h1", "h2").distinct()
+    if counts is not None:
+        lacking = lacking.join(counts.where(F.col("tokenizer") == name).select("h1", "h2"), ["h1", "h2"], "left_anti")
+    texts = contents(spread(records.select("messages"))).select(content_hash(F.col("content")).alias("h"), "content").select("h.*", "content")
+    new = cut(count_contents(_only(texts, cut(lacking), ["h1", "h2"]), tokenizer, folder))
+    counts = new if counts is None else counts.unionByName(new)
+    per = hot_split_join(parts, counts.where(F.col("tokenizer") == name).select("h1", "h2", "tokens"), ["h1", "h2"]).groupBy("d1", "d2").agg(F.sum("tokens").alias("__tokens"))
+    cells = cut(moved.join(per, ["d1", "d2"], "left").withColumn("tokens", F.coalesce("tokens", "__tokens", F.lit(0))).drop("__tokens"))
     left = cells.select(key, *FACETS, "d1", "d2", F.col("delta").alias("copies"), "tokens")
     if state is not None:
         left = state.select(*left.columns).unionByName(left).groupBy(key, *FACETS, "d1", "d2").agg(F.sum("copies").alias("copies"), F.max("tokens").alias("tokens")).where("copies > 0")
