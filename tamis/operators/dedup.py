@@ -156,6 +156,8 @@ def near_duplicates(df: DataFrame, ident: str, text: str, similarity: float = SI
 def components(links: DataFrame, nodes: DataFrame) -> DataFrame:
     """``id``, ``class_id``: the least id reachable over links, by alternating large-star and small-star rounds."""
     edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
+    mark = lambda e: e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", F.lit(1), "u"))).first()
+    before = mark(edges)  # two sets of edges are the same if their sizes and hashes are
     while True:
         # every neighbour that is larger points to the least neighbour
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -165,9 +167,10 @@ def components(links: DataFrame, nodes: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         new = cut(small)
-        if new.exceptAll(edges).isEmpty() and edges.exceptAll(new).isEmpty():
+        edges, now = new, mark(new)
+        if now == before:
             break
-        edges = new
+        before = now
     return nodes.join(edges.groupBy("u").agg(F.min("v").alias("class_id")).withColumnRenamed("u", "id"), "id", "left").withColumn("class_id", F.coalesce("class_id", "id"))
 
 

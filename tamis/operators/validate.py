@@ -72,7 +72,8 @@ def intermediate_typed(df: DataFrame, schema: Schema) -> DataFrame:
 def with_order(df: DataFrame) -> DataFrame:
     """Adds what the rules on the turns share, each computed once a record: the first broken turn, the turns before it, and the roles."""
     indexed = F.transform("turns", lambda m, i: F.struct(m.alias("m"), i.alias("i")))
-    df = df.withColumns({"__indexed": indexed, "__roles": F.transform("turns", lambda m: m["role"])})
+    any_of = lambda p: F.exists("turns", lambda m: F.coalesce(m["content"].rlike(p), F.lit(False)))
+    df = df.withColumns({"__indexed": indexed, "__roles": F.transform("turns", lambda m: m["role"]), "__arabic": any_of("[؀-ۿ]"), "__latin": any_of("[A-Za-z]")})
     broken = lambda x: ~x["m"]["obj"] | ~x["m"]["has_role"] | ~x["m"]["has_content"]
     df = df.withColumns({"__stop": F.try_element_at(F.filter("__indexed", broken), F.lit(1)), "__body": F.filter("__roles", lambda r: r.isNull() | (r != "system"))})
     return df.withColumns({"__before": F.when(F.col("__stop").isNull(), F.col("__indexed")).otherwise(F.slice("__indexed", F.lit(1), F.coalesce(F.col("__stop.i"), F.lit(0)))), "__twice": F.exists(F.zip_with(F.slice("__body", F.lit(1), F.greatest(F.size("__body") - 1, F.lit(0))), F.slice("__body", F.lit(2), F.greatest(F.size("__body") - 1, F.lit(0))), lambda a, b: F.coalesce(a == b, F.lit(False))), lambda x: x)})
@@ -132,8 +133,7 @@ def record_errors(schema: Schema) -> Column:
     out.append(_when(has("code_switching") & ~F.coalesce(k("code_switching") == "BOOLEAN", F.lit(False)), "invalid_type", "code_switching", "code_switching is not a boolean"))
     out += [_when(not_str(f), "invalid_type", f, f"{f} is not a string") for f in ("subcategory", "variation_group")]
     out.append(_when(has("quality") & ~F.coalesce(k("quality").startswith("OBJECT"), F.lit(False)), "invalid_type", "quality", "quality is not an object"))
-    all_text = F.array_join(F.transform("turns", lambda m: m["content"]), " ")
-    arabic, latin = all_text.rlike("[؀-ۿ]"), all_text.rlike("[A-Za-z]")
+    arabic, latin = F.col("__arabic"), F.col("__latin")
     both = has("language") & has("script") & t("language").isNotNull() & t("script").isNotNull() & F.col("turns").isNotNull()
     scripted = has("script") & F.col("turns").isNotNull()
     out += [

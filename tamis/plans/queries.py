@@ -15,6 +15,7 @@ from tamis.functions import text as T
 from tamis.operators import audit, budget, dedup, integrity, mixture, profile, sampling, validate
 from tamis.sources import synthetic, writers
 from tamis.spec import MixtureSpec, RetentionSpec, Schema
+from tamis.streaming import ingest
 from tamis.tables import table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -732,6 +733,16 @@ def events_hourly(spark, d):
     return e.select(F.col("w.start").alias("hour"), "event_type", "n", "total")
 
 
+@query("select time_bucket(interval '1 hour', ts) as hour, event_type, count(*) as n from events group by all")
+def events_stream_hourly(spark, d):
+    """The same counts by the streaming operator, run over the events that are there."""
+    path = f"{d}/events.parquet"
+    # a pattern may be a file or a folder
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{d}/events.parque[t]").withColumn("ts", F.col("ts").cast("timestamp"))
+    out = ingest.run_to_table(ingest.windowed_counts(stream, "ts", ["event_type"]), "events")
+    return out.select(F.col("window.start").cast("timestamp_ntz").alias("hour"), "event_type", "n")
+
+
 # --- audits --------------------------------------------------------------------------------------
 def _register_sql(x: str) -> str:
     a, lat = _chars(x, _ARABIC), _chars(x, "A-Za-z")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamis.operators.validate import record_errors, intermediate_raw
+from tamis.session import shared_path
 from tamis.sources.readers import exists
 from tamis.spec import CANONICAL, Schema
 
@@ -46,3 +49,17 @@ def windowed_counts(stream: DataFrame, time: str, by: list[str], width: str = "1
     """Rows in tumbling or sliding windows, late ones up to the delay."""
     w = F.window(time, width, slide) if slide else F.window(time, width)
     return stream.withWatermark(time, delay).groupBy(w, *by).agg(F.count(F.lit(1)).alias("n"))
+
+
+def run_to_table(result: DataFrame, name: str) -> DataFrame:
+    """Runs a stream over what is there and gives its last complete result, kept in the shared folder."""
+    spark = result.sparkSession
+    top = shared_path(spark, f"{name}-{uuid.uuid4().hex}")
+    out = f"{top}/result"
+
+    def keep(df: DataFrame, n: int) -> None:
+        df.write.mode("overwrite").parquet(out)
+
+    q = result.writeStream.foreachBatch(keep).outputMode("complete").option("checkpointLocation", f"{top}/state").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.parquet(out) if exists(spark, out) else spark.createDataFrame([], result.schema)
