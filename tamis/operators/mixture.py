@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tamis.operators.dedup import word_shingles
 from tamis.operators.joins import lookup_join
-from tamis.session import cut
+from tamis.session import cut, spread
 from tamis.spec import MixtureSpec
 
 
@@ -117,6 +117,7 @@ def shared_shingles(docs: DataFrame, items: DataFrame, doc: str, text: str, item
 
     The items' runs are counted and broadcast; more of them are salted, as a run may stand in a third of the documents.
     """
-    d = docs.select(F.col(doc), F.explode(word_shingles(F.col(text), n)).alias("s"))
+    # the outer form: a filter inferred from the inner one would work the runs out twice
+    d = spread(docs.select(doc, text)).select(F.col(doc), F.explode_outer(word_shingles(F.col(text), n)).alias("s")).where("s is not null")
     i = cut(items.select(F.col(item), F.explode(word_shingles(F.col(item_text), n)).alias("s")))
     return lookup_join(d, i, ["s"], salt_by=doc).groupBy(doc, item).agg(F.count(F.lit(1)).alias("shared"))

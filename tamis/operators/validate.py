@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamis.functions.text import blank
+from tamis.session import spread
 from tamis.spec import Schema
 
 ERROR = "struct<code:string,message:string,field:string>"
@@ -159,7 +160,7 @@ def validate_lines(parsed: DataFrame, schema: Schema = Schema()) -> DataFrame:
 
 def validate_table(df: DataFrame, line: str, schema: Schema = Schema(), keep: list[str] = ()) -> DataFrame:
     """Every row of a typed table with its defects: line, record_id, errors. Columns beside the schema's are ignored."""
-    m = intermediate_typed(df.select(line, *[c for c in schema.known if c in df.columns], *[c for c in keep if c not in schema.known]), schema)
+    m = intermediate_typed(spread(df.select(line, *[c for c in schema.known if c in df.columns], *[c for c in keep if c not in schema.known])), schema)
     return m.select(F.col(line).alias("line"), F.col("t_id").alias("record_id"), *keep, record_errors(schema).alias("errors"))
 
 
@@ -177,7 +178,9 @@ def duplicate_ids(df: DataFrame, ident: str = "id", line: str = "line_no") -> Da
 
 def error_rows(validated: DataFrame, line: str = "line") -> DataFrame:
     """Long form: line, record_id, seq, code, message, field."""
-    return validated.select(F.col(line).alias("line"), "record_id", F.posexplode("errors").alias("seq", "e")).select("line", "record_id", "seq", "e.code", "e.message", "e.field")
+    # the outer form, as a filter inferred from the inner one would work the rules out again below each projection
+    rows = validated.select(F.col(line).alias("line"), "record_id", F.posexplode_outer("errors").alias("seq", "e")).where("seq is not null")
+    return rows.select("line", "record_id", "seq", "e.code", "e.message", "e.field")
 
 
 def code_counts(errors: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from tamis.functions import messages as M
 from tamis.functions import text as T
 from tamis.operators import audit, budget, dedup, integrity, mixture, profile, sampling, validate
 from tamis.sources import synthetic, writers
+from tamis.session import spread
 from tamis.spec import MixtureSpec, RetentionSpec, Schema
 from tamis.streaming import ingest
 from tamis.tables import table
@@ -86,6 +87,11 @@ def derja(spark, d):
     return table(spark, d, "arabic_derja")
 
 
+def dear(df, *columns):
+    """The columns that dear expressions need, on all cores: a small file would keep one busy; a table of many parts stays as it is."""
+    return spread(df.select(*columns))
+
+
 # --- profiles ------------------------------------------------------------------------------------
 @query("with g as (select lang, count(*) as records, sum(coalesce(length(text), 0)) as chars, sum(case when coalesce(length(text), 0) = 0 then 0 else greatest(1, length(text) // 4) end) as approx_tokens from documents group by lang) select lang, records, chars::bigint as chars, approx_tokens::bigint as approx_tokens, chars / sum(chars) over () as char_share from g")
 def profile_by_language(spark, d):
@@ -192,24 +198,24 @@ def license_gate(spark, d):
 @query(f"select doc_id, md5({_collapse('text')}) as collapsed, md5({_collapse(_NO_BOM)}) as clean, md5({_NORM}) as norm from documents")
 def clean_text(spark, d):
     t = F.col("text")
-    return docs(spark, d).select("doc_id", F.md5(T.collapse(t)).alias("collapsed"), F.md5(T.clean_bom(t)).alias("clean"), F.md5(T.norm_key(t)).alias("norm"))
+    return dear(docs(spark, d), "doc_id", "text").select("doc_id", F.md5(T.collapse(t)).alias("collapsed"), F.md5(T.clean_bom(t)).alias("clean"), F.md5(T.norm_key(t)).alias("norm"))
 
 
 @query(f"select doc_id, md5({_collapse(_WEB)}) as web from documents")
 def clean_web_text(spark, d):
-    return docs(spark, d).select("doc_id", F.md5(T.clean_web(F.col("text"))).alias("web"))
+    return dear(docs(spark, d), "doc_id", "text").select("doc_id", F.md5(T.clean_web(F.col("text"))).alias("web"))
 
 
 @query(f"select doc_id, coalesce({_chars('text', _ARABIC)}, 0) as arabic, coalesce({_chars('text', 'A-Za-z')}, 0) as latin, coalesce({_chars('text', '379')}, 0) as digits from documents")
 def char_class_counts(spark, d):
     t = F.col("text")
-    return docs(spark, d).select("doc_id", T.count_chars(t, T.ARABIC_CHAR).alias("arabic"), T.count_chars(t, T.LATIN_CHAR).alias("latin"), T.count_chars(t, T.ARABIZI_DIGIT).alias("digits"))
+    return dear(docs(spark, d), "doc_id", "text").select("doc_id", T.count_chars(t, T.ARABIC_CHAR).alias("arabic"), T.count_chars(t, T.LATIN_CHAR).alias("latin"), T.count_chars(t, T.ARABIZI_DIGIT).alias("digits"))
 
 
 @query(f"select doc_id, coalesce({_markers('text', C.MSA_MARKERS)}, 0) as msa, coalesce({_markers('lower(text)', C.FRENCH_MARKERS)}, 0) as french, coalesce({_markers('lower(text)', C.TUNISIAN_MARKERS)}, 0) as tunisian from documents")
 def marker_counts(spark, d):
     t = F.col("text")
-    return docs(spark, d).select("doc_id", T.count_markers(t, C.MSA_MARKERS).alias("msa"), T.count_markers(F.lower(t), C.FRENCH_MARKERS).alias("french"), T.count_markers(F.lower(t), C.TUNISIAN_MARKERS).alias("tunisian"))
+    return dear(docs(spark, d), "doc_id", "text").select("doc_id", T.count_markers(t, C.MSA_MARKERS).alias("msa"), T.count_markers(F.lower(t), C.FRENCH_MARKERS).alias("french"), T.count_markers(F.lower(t), C.TUNISIAN_MARKERS).alias("tunisian"))
 
 
 @query(f"select line_no, {_TOTAL}::bigint as tokens_total, {_ASSIST}::bigint as tokens_assistant, {_CHARS}::bigint as chars from arabic_derja")
@@ -224,7 +230,7 @@ _FRENCH_RE = "(?i)(^|[^\\p{L}\\p{N}\\p{M}_])(" + "|".join(dict.fromkeys(T.FRENCH
 @query(f"select doc_id, coalesce(regexp_matches(text, '[{_ARABIC}]'), false) as arabic, coalesce(regexp_matches(text, '{_FRENCH_RE}'), false) as french, length({_strip(_or_empty('text'))}) < 10 as short, coalesce(length({_strip('text')}) >= 2, false) as valid, coalesce(regexp_matches(text, '[379]'), false) as digits from documents")
 def text_filters(spark, d):
     t = F.col("text")
-    return docs(spark, d).select("doc_id", T.has_arabic(t).alias("arabic"), T.has_french(t).alias("french"), T.is_short(t).alias("short"), T.is_valid_text(t).alias("valid"), T.has_digit_orthography(t).alias("digits"))
+    return dear(docs(spark, d), "doc_id", "text").select("doc_id", T.has_arabic(t).alias("arabic"), T.has_french(t).alias("french"), T.is_short(t).alias("short"), T.is_valid_text(t).alias("valid"), T.has_digit_orthography(t).alias("digits"))
 
 
 # --- classifiers ---------------------------------------------------------------------------------
@@ -233,12 +239,12 @@ _A, _L = _chars("text", _ARABIC), _chars("text", "A-Za-z")
 
 @query(f"select doc_id, case when {_A} > 0 and {_L} > 0 then 'tunisian_mixed_script' when {_A} > 0 then 'tunisian_arabic_script' when {_L} > 0 and not ({_chars('text', '379')} = 0 and {_markers('lower(text)', C.TUNISIAN_MARKERS)} = 0 and len(list_intersect(regexp_split_to_array(lower(text), '{_WS}+'), [{_list(C.FRENCH_COMMON)}])) > 2) then 'tunisian_arabizi' else 'non_tunisian_or_uncertain' end as label from documents")
 def classify_script(spark, d):
-    return docs(spark, d).select("doc_id", C.classify_script(F.col("text")).alias("label"))
+    return dear(docs(spark, d), "doc_id", "text").select("doc_id", C.classify_script(F.col("text")).alias("label"))
 
 
 @query(f"select doc_id, case when {_A} > 0 and {_L} > 0 then 'mixed_script' when {_A} > 0 then 'arabic_script' when {_L} > 0 then 'arabizi' else 'uncertain' end as label from documents")
 def detect_script(spark, d):
-    return docs(spark, d).select("doc_id", C.detect_script(F.col("text")).alias("label"))
+    return dear(docs(spark, d), "doc_id", "text").select("doc_id", C.detect_script(F.col("text")).alias("label"))
 
 
 #: The same words as whole tokens; one of them stands with and without its doubling.
@@ -249,13 +255,13 @@ _DIALECT = [w for w in C.DIALECT_WORDS if "?" not in w] + ["نحب", "نحبّ"]
 def classify_register(spark, d):
     names = ("msa_score", "dialect_score", "arabic_chars", "latin_chars")
     s = C.register_signals(F.col("text"))
-    told = docs(spark, d).select("doc_id", *[s[k].alias(k) for k in names])
+    told = dear(docs(spark, d), "doc_id", "text").select("doc_id", *[s[k].alias(k) for k in names])
     return told.withColumn("label", C.classify_register({k: F.col(k) for k in names}))
 
 
 @query(f"with s as (select doc_id, coalesce({_markers('text', C.MSA_MARKERS + C.FORMAL_EXTRA)}, 0) as formal_markers, coalesce({_hits('text', C.COLLOQUIAL_WORDS)}, 0) as colloquial_markers from documents) select *, greatest(0, colloquial_markers - formal_markers) as penalty from s")
 def formal_quality(spark, d):
-    return docs(spark, d).select("doc_id", *[c.alias(k) for k, c in C.formal_quality(F.col("text")).items()])
+    return dear(docs(spark, d), "doc_id", "text").select("doc_id", *[c.alias(k) for k, c in C.formal_quality(F.col("text")).items()])
 
 
 _TASK_SQL = " ".join(f"when regexp_matches(prompt, '(?i){p}') then '{n}'" for n, p in C.TASK_PATTERNS)
@@ -273,12 +279,12 @@ def _tag_sql(x: str, r, k) -> str:
 @query(f"select line_no, {_tag_sql(_LAST_USER, C.REASONING_HINTS, C.KNOWLEDGE_HINTS)} as long_label, {_tag_sql(_LAST_USER, C.REASONING_HINTS_SHORT, C.KNOWLEDGE_HINTS_SHORT)} as short_label from arabic_derja")
 def tag_record(spark, d):
     u = M.last_of(F.col("messages"), "user")
-    return derja(spark, d).select("line_no", C.tag_record(u).alias("long_label"), C.tag_record_short(u).alias("short_label"))
+    return dear(derja(spark, d), "line_no", "messages").select("line_no", C.tag_record(u).alias("long_label"), C.tag_record_short(u).alias("short_label"))
 
 
 @query(f"select doc_id, coalesce({_markers('lower(text)', C.TRANSLATION_HINTS)} > 0, false) as translation from documents")
 def is_translation(spark, d):
-    return docs(spark, d).select("doc_id", C.is_translation(F.col("text")).alias("translation"))
+    return dear(docs(spark, d), "doc_id", "text").select("doc_id", C.is_translation(F.col("text")).alias("translation"))
 
 
 _TEXTS = "lower(coalesce(array_to_string(list_transform(messages, lambda m: m.content), ' '), ''))"
@@ -286,7 +292,7 @@ _TEXTS = "lower(coalesce(array_to_string(list_transform(messages, lambda m: m.co
 
 @query(f"select line_no, {_markers(_TEXTS, C.FR_SWITCH_MARKERS)} > 0 and {_markers(_TEXTS, C.AR_SWITCH_MARKERS)} > 0 as switching from arabic_derja")
 def code_switching(spark, d):
-    return derja(spark, d).select("line_no", C.code_switching(M.contents(F.col("messages"))).alias("switching"))
+    return dear(derja(spark, d), "line_no", "messages").select("line_no", C.code_switching(M.contents(F.col("messages"))).alias("switching"))
 
 
 # --- validation ----------------------------------------------------------------------------------
@@ -820,7 +826,7 @@ def data_doctor(spark, d):
 @query(f"with c as (select doc_id, {_A} as a, {_L} as l, {_hits('lower(text)', C.FRENCH_COMMON)} as fr, {_hits('lower(text)', audit.ENGLISH_COMMON)} as en, {_hits('lower(text)', C.TUNISIAN_MARKERS)} + len(list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}\\p{{M}}_]+'), lambda w: regexp_full_match(w, '[a-z]*[379][a-z]+'))) as az from documents) select doc_id, case when a > l then 'ar' when az > fr and az > en then 'arabizi' when fr > en and fr > 0 then 'fr' when en > 0 then 'en' else 'unknown' end as lang from c")
 def language_guess(spark, d):
     """Language of every document by markers alone."""
-    return docs(spark, d).select("doc_id", audit.language_guess(F.col("text")).alias("lang"))
+    return dear(docs(spark, d), "doc_id", "text").select("doc_id", audit.language_guess(F.col("text")).alias("lang"))
 
 
 @query(f"select substr(sha256({_SYSTEM}), 1, 16) as template, least(count(*), 200) as kept, greatest(count(*) - 200, 0) as dropped, min(left({_SYSTEM}, 80)) as preview from arabic_derja group by 1")
