@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left, insort
 from functools import lru_cache, reduce
 from itertools import repeat
 from operator import or_
@@ -134,12 +135,13 @@ _TOWN = rf"(?:{_alt(TOWNS)})(?!\w)"
 _POSTAL, _ENDS = r"(?:\d{4,5}[ ]+)", r"(?=[ ]*(?:$|[\n.,،;:!?؟|/<>()\[\]«»\"*_`]))"
 #: A town that no table has: capitalised or Arabic words behind a comma or a postal code, and then the end of the clause.
 _SOME_TOWN = rf"(?:[,،][ ]+{_POSTAL}?|[ ]{_POSTAL})(?-i:[A-ZÀ-ÖØ-Þ][\w'’-]*(?:[ -](?-i:[A-ZÀ-ÖØ-Þ])[\w'’-]*)*|[ء-ي]+(?:[ ][ء-ي]+)?){_ENDS}"
-_STREET_NAME = r"(?:(?!\d{1,3}\b)[^\n,،|/<>.;:!?؟])+?"
+#: The name of a street: within a clause, and of 300 characters at most, as a text may be one clause of street words.
+_STREET_NAME = r"(?:(?!\d{1,3}\b)[^\n,،|/<>.;:!?؟]){1,300}?"
 _TO_TOWN = rf"(?:[,،]?[ ]+{_POSTAL}?{_TOWN}|{_SOME_TOWN})"
 _INITIALS = "".join(sorted({x[0] for x in STREETS_FIRST}))
 _ADDRESS = re.compile(
     rf"(?=[\d{_INITIALS}])(?<![\w-])(?:\d{{1,4}}(?:[ ]?(?:bis|ter|مكرر))?,?[ ]+(?:{_alt(STREETS_FIRST)})[ ]+{_STREET_NAME}{_TO_TOWN}"
-    rf"|(?:{_alt(STREETS_FIRST)})[ ]+[^\n,،|/<>.;:!?؟]+?[ ,،]+(?:عدد|رقم|n°|no|num|numéro|3dad|number|3add)[ ]*\d{{1,4}}[ ]*{_TO_TOWN}"
+    rf"|(?:{_alt(STREETS_FIRST)})[ ]+[^\n,،|/<>.;:!?؟]{{1,300}}?[ ,،]+(?:عدد|رقم|n°|no|num|numéro|3dad|number|3add)[ ]*\d{{1,4}}[ ]*{_TO_TOWN}"
     rf"|\d{{1,4}}[ab]?,?[ ]+(?:[A-Z][\w'’-]*[ ]+)+?(?:{_alt(STREETS_LAST)}){_TO_TOWN})",
     re.I,
 )
@@ -261,9 +263,21 @@ def names(text: str, given: frozenset, family: frozenset):
         i += 1
 
 
-def _clause(s: str, a: int) -> str:
-    """What stands before a number: its clause, and 40 characters at least."""
-    return s[min(max(0, a - 40), max(s.rfind(x, 0, a) for x in "\n.!?؟;|") + 1) : a]
+class _Taken:
+    """Spans that don't overlap, looked up by their starts."""
+
+    def __init__(self, found):
+        self.starts, self.spans = [], {}
+        for x in found:
+            self.add(*x)
+
+    def add(self, a: int, b: int, kind: str) -> None:
+        insort(self.starts, a)
+        self.spans[a] = (b, kind)
+
+    def free(self, a: int, b: int) -> bool:
+        i = bisect_left(self.starts, b)
+        return not i or self.spans[self.starts[i - 1]][0] <= a
 
 
 def detect(text: str | None, given: frozenset = frozenset(), family: frozenset = frozenset(), quick: bool = True):
@@ -278,43 +292,50 @@ def detect(text: str | None, given: frozenset = frozenset(), family: frozenset =
     found: list[tuple[int, int, str]] = []
     if "@" in s:
         found += [(m.start(), m.end(), "email") for m in _EMAIL.finditer(s)]
+    taken = _Taken(found)
     if held & STREET:
-        found += [(m.start(), m.end(), "address") for m in _ADDRESS.finditer(s)]
-    taken = list(found)
-
-    def free(a, b):
-        return all(b <= x or a >= y for x, y, _ in taken)
-
+        for m in _ADDRESS.finditer(s):
+            if taken.free(*m.span()):
+                taken.add(*m.span(), "address")
     # a number lies in one stretch of digits and what parts them; letters may stand before, and two characters behind decide
-    places = [(max(0, m.start() - 3), min(len(s), m.end() + 2)) for m in _STRETCH.finditer(s)] if quick else [(0, len(s))]
+    stretches = [m.span() for m in _STRETCH.finditer(s)]
+    places = [(max(0, a - 3), min(len(s), b + 2)) for a, b in stretches] if quick else [(0, len(s))]
 
     def numbers(p):
         return (m for a, b in places for m in p.finditer(s, a, b))
 
+    def left(a: int) -> str:
+        """What stands before a number: its clause back to the number before it, and 40 characters at least."""
+        i = a - 1
+        while i >= 0 and s[i] not in "\n.!?؟;|" and not (s[i].isdigit() and not s[i + 1].isalpha() and not (i and s[i - 1].isalpha())):
+            i -= 1
+        return s[min(max(0, a - 40), i + 1) : a]
+
     for m in numbers(_ID):
-        if free(*m.span()) and _ID_CUE.search(left := _clause(s, m.start())) and not _NOT_PHONE.search(left):
-            taken.append((*m.span(), "id_number"))
+        if taken.free(*m.span()) and _ID_CUE.search(before := left(m.start())) and not _NOT_PHONE.search(before):
+            taken.add(*m.span(), "id_number")
     for p, coded in ((_NUMBER, True), (_FOREIGN, True), (_TRUNK, False), (_NUMBER, False)):
         for m in numbers(p):
             a, b = m.span()
-            if not free(a, b):
+            if not taken.free(a, b):
                 continue
             code = p is _FOREIGN or (p is _NUMBER and m.group("cc"))
             if coded and not code:
                 continue
             if not code:
-                left = _clause(s, a)
-                if _DATE.match(m.group()) or _NOT_PHONE.search(left):
+                before = left(a)
+                if _DATE.match(m.group()) or _NOT_PHONE.search(before):
                     continue
-                field = _FIELD_START.search(left) and _FIELD_END.match(s, b) or _PARTED.match(s, b)
+                field = _FIELD_START.search(before) and _FIELD_END.match(s, b) or _PARTED.match(s, b)
                 grouped = p is _NUMBER and any(c in m.group() for c in " .-")
-                if not (_PHONE.search(left) or field or grouped):
+                if not (_PHONE.search(before) or field or grouped):
                     continue
-            taken.append((a, b, "phone"))
+            taken.add(a, b, "phone")
     if given and family and held & GIVEN:
-        taken += [(a, b, "name") for a, b in names(s, given, family) if free(a, b)]
-    out = [(*t.span(a, b), k) for a, b, k in taken]
-    return sorted(out)
+        for a, b in names(s, given, family):
+            if taken.free(a, b):
+                taken.add(a, b, "name")
+    return [(*t.span(a, taken.spans[a][0]), taken.spans[a][1]) for a in taken.starts]
 
 
 def placeholders(text: str, spans) -> str:
