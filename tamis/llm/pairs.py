@@ -67,10 +67,10 @@ _ASKED = re.compile("|".join(rf"(?<!\w){x}(?!\w)" for x in LANGUAGE_NAMES), re.I
 #: Any Latin letter, full-width and look-alike ones too: whoever has none is in Arabic script or has no letter.
 _ROMAN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿŒœΑ-Ωα-ωА-яёѐ-ӿＡ-Ｚａ-ｚ]")
 _ANY = re.compile(r"[^\W_]")
-_TAIL = re.compile(r"[\s\U0001F000-\U0001FAFF☀-➿️‍]+$")
-_SENTENCE_END = re.compile(r"(?<!\.)[.!?؟]+(?=[\s»”\")\]]|$)")
-#: A list marker with nothing behind it.
-_MARKER = re.compile(r"(?:^|\n|[.!?؟]\s)\s*(?:\d{1,3}[.)]|[-*•])\s*$")
+#: Pictographs at the end of an answer, taken off as white space is.
+_PICTOGRAPH = re.compile("[\U0001F000-\U0001FAFF☀-➿️‍]")
+_SENTENCE_END = re.compile(r"(?<![.!?؟])[.!?؟]++(?=[\s»”\")\]]|$)")
+_MARKER = re.compile(r"(?:\d{1,3}[.)]|[-*•])$")
 _DIGITS = r"^\p{Nd}+$"
 _CLOSED = tuple(".!?؟»”)]}\"'`;؛")
 
@@ -172,11 +172,29 @@ def is_copy(question: str | None, answer: str) -> bool:
     return residue(" ".join(q), " ".join(a)) <= RESIDUE
 
 
+def tail_off(text: str) -> str:
+    """Without white space and pictographs at the end; one look at each of these characters."""
+    n = len(text)
+    while n and (text[n - 1].isspace() or _PICTOGRAPH.match(text[n - 1])):
+        n -= 1
+    return text[:n]
+
+
+def ends_in_marker(text: str) -> bool:
+    """A list marker with nothing behind it, at the start of a line or behind a sentence."""
+    m = _MARKER.search(text, max(0, len(text) - 4))
+    if not m:
+        return False
+    before = text[: m.start()]
+    said = before.rstrip()
+    return not said or "\n" in before[len(said) :] or (len(said) < len(before) and said[-1] in ".!?؟")
+
+
 def open_end(answer: str) -> list[str] | bool:
     """Whether an answer stops inside a list, bracket, quotation or code block; else the words of a last sentence without mark."""
     if answer.count("```") % 2:
         return True
-    text = _TAIL.sub("", answer)
+    text = tail_off(answer)
     if not text:
         return False
     for o, c in ("()", "[]", "«»", "“”", "{}"):
@@ -184,7 +202,7 @@ def open_end(answer: str) -> list[str] | bool:
             return True
     if text.count('"') % 2 and not re.search(r'\d"', text):
         return True
-    if text.endswith(":") or _MARKER.search(text):
+    if text.endswith(":") or ends_in_marker(text):
         return True
     if text.endswith(_CLOSED) and not text.endswith(("...", ";", "؛")):
         return False
