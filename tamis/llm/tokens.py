@@ -137,7 +137,9 @@ def update_budget(records: DataFrame, catalog: DataFrame, state: DataFrame | Non
     if counts is not None:
         lacking = lacking.join(counts.where(F.col("tokenizer") == name).select("h1", "h2"), ["h1", "h2"], "left_anti")
     texts = contents(spread(records.select("messages"))).select(content_hash(F.col("content")).alias("h"), "content").select("h.*", "content")
-    new = cut(count_contents(_only(texts, cut(lacking), ["h1", "h2"]), tokenizer, folder))
+    if state is not None or counts is not None:  # at first all of them lack
+        texts = _only(texts, cut(lacking), ["h1", "h2"])
+    new = cut(count_contents(texts, tokenizer, folder))
     counts = new if counts is None else counts.unionByName(new)
     per = hot_split_join(parts, counts.where(F.col("tokenizer") == name).select("h1", "h2", "tokens"), ["h1", "h2"]).groupBy("d1", "d2").agg(F.sum("tokens").alias("__tokens"))
     cells = cut(moved.join(per, ["d1", "d2"], "left").withColumn("tokens", F.coalesce("tokens", "__tokens", F.lit(0))).drop("__tokens"))
