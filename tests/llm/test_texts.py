@@ -350,6 +350,22 @@ def test_quick_looks_lose_nothing():
         assert pii.detect(text, given, family) == pii.detect(text, given, family, quick=False), text
 
 
+def test_long_texts_take_no_longer_than_their_length(dictionaries):
+    import time
+
+    began = time.process_time()
+    for piece in ("12345678 ", "place ", "12 rue ", "passport ", "tel ", "a@b.cd ", "five ", "rue n° 4 ", "(at) ", "1.", "Slim "):
+        pii.detect(piece * (40_000 // len(piece)), frozenset({"slim"}), frozenset({"borganine"}))
+    for piece in (" ", "\n", ".", "!", "?!", "1. ", "\u064e", "\u0301", "- ", "``` ", "( ", "désolé ", "je ne peux pas "):
+        pairs.judge("Pourquoi ?", "x" + piece * (40_000 // len(piece)) + "y", dictionaries)
+    assert time.process_time() - began < 20
+
+
+def test_ends_of_answers():
+    assert [pairs.ends_in_marker(x) for x in ("a.\n2.", "1)", "a. -", "a.\n\n  •", "a 12.", "le 3.", "a - b", "a.-", "dit: 3)")] == [True, True, True, True, False, False, False, False, False]
+    assert pairs.tail_off("a 😀 \n☀️") == "a" and pairs.tail_off(" ") == "" and pairs.complete_sentences("a b... c d?! e") == [["a", "b"], ["c", "d"]]
+
+
 def test_long_and_odd_personal_information():
     kinds = lambda text: [(text[a:b], k) for a, b, k in pii.detect(text)]
     long = "24, rue du Puits Vert derrière la grande mosquée et le vieux marché aux poissons séchés, 5952 Sfax"
